@@ -1,0 +1,39 @@
+"""Restore row multiplicity from a weighted (factorized) relation.
+
+A join that multiplies ``m`` rows by ``n`` rows of the same key can be
+computed on the *distinct* value combinations of each side, carrying a row
+weight ``m_i * n_j``; only the final output needs the copies back. Emitting
+them naively would put every copy of a heavy combination into the task that
+holds it. Here copies are produced in two hops: a weight is cut into chunks
+of at most ``chunk_rows``, chunks are hash-partitioned by (combination,
+chunk number) so a heavy combination spreads over all tasks, and each chunk
+is exploded locally. Every task emits at most ``chunk_rows`` rows per input
+chunk, whatever the skew.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_CHUNK_ROWS = 50_000
+
+
+def expand_weighted(df: DataFrame, weight_col: str, partitions: int,
+                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Replace each row by ``weight`` identical rows (weight column dropped).
+
+    ``partitions`` fixes the chunk shuffle width; a fixed count keeps
+    adaptive coalescing from folding the (tiny) chunk rows back into one task.
+    """
+    cols = [c for c in df.columns if c != weight_col]
+    w = F.col(weight_col).cast("long")
+    n_chunks = F.floor((w + (chunk_rows - 1)) / chunk_rows).cast("int")
+    chunked = (df.filter(w > 0)
+               .withColumn("_chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
+               .withColumn("_len", F.least(F.lit(chunk_rows).cast("long"),
+                                           w - F.col("_chunk").cast("long") * chunk_rows).cast("int")))
+    spread = chunked.repartition(partitions, *cols, "_chunk")
+    return (spread
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_len"))))
+            .select(*cols))
