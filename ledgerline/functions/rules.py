@@ -155,11 +155,18 @@ def grade_table() -> list[tuple[str, str, Decimal]]:
 
 
 def grade_points(grade: Column, sub_grade: Column) -> Column:
-    """Decimal points; F/G score 0, a mismatched or NULL sub-grade NULL."""
-    rules = [((grade == g) & (sub_grade == sg), F.lit(pts).cast("decimal(12,2)"))
-             for g, sg, pts in grade_table()]
-    rules.append((grade.isin(*ZERO_GRADES), F.lit(Decimal(tier("unacceptable"))).cast("decimal(12,2)")))
-    return first_match(rules)
+    """Decimal points; F/G score 0, a mismatched or NULL sub-grade NULL.
+
+    The 25 (sub-grade -> points) pairs are one constant map, so the rule is a
+    single lookup instead of a 26-branch CASE; the sub-grade must start with
+    the grade letter to count.
+    """
+    table = grade_table()
+    lookup = F.map_from_arrays(F.array(*[F.lit(sg) for _, sg, _ in table]),
+                               F.array(*[F.lit(p) for _, _, p in table]).cast("array<decimal(12,2)>"))
+    zero = F.lit(Decimal(tier("unacceptable"))).cast("decimal(12,2)")
+    return (F.when(grade.isin(*ZERO_GRADES), zero)
+             .when(F.substring(sub_grade, 1, 1) == grade, F.element_at(lookup, sub_grade)))
 
 
 def _w(weight: str) -> Column:

@@ -12,6 +12,7 @@ applies what the code comments describe where the two differ:
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -39,21 +40,40 @@ def _check_mode(mode: str) -> None:
 
 
 # ---------------------------------------------------------------- customers
-class CustomerStages(NamedTuple):
-    distinct: DataFrame        # whole-row DISTINCT
-    with_income: DataFrame     # annual_income present
-    emp_length_int: DataFrame  # emp_length -> INT
-    imputed: DataFrame         # NULL emp_length -> floor(mean)
-    state_clean: DataFrame     # long state names -> "NA"
+class CustomerStages:
+    """Customer cleaning stages, each built on first use."""
+
+    def __init__(self, raw: DataFrame):
+        self.raw = raw
+
+    @cached_property
+    def distinct(self) -> DataFrame:
+        """Whole-row DISTINCT."""
+        return self.raw.distinct()
+
+    @cached_property
+    def with_income(self) -> DataFrame:
+        """annual_income present."""
+        return self.distinct.filter(F.col("annual_income").isNotNull())
+
+    @cached_property
+    def emp_length_int(self) -> DataFrame:
+        """emp_length text -> INT."""
+        return self.with_income.withColumn("emp_length", fx.emp_length_years("emp_length"))
+
+    @cached_property
+    def imputed(self) -> DataFrame:
+        """NULL emp_length -> floor(mean)."""
+        return impute_floor_mean(self.emp_length_int, "emp_length")
+
+    @cached_property
+    def state_clean(self) -> DataFrame:
+        """Long state names -> "NA"."""
+        return self.imputed.withColumn("address_state", fx.state_code("address_state"))
 
 
 def customer_stages(raw: DataFrame) -> CustomerStages:
-    distinct = raw.distinct()
-    with_income = distinct.filter(F.col("annual_income").isNotNull())
-    emp_int = with_income.withColumn("emp_length", fx.emp_length_years("emp_length"))
-    imputed = impute_floor_mean(emp_int, "emp_length")
-    state = imputed.withColumn("address_state", fx.state_code("address_state"))
-    return CustomerStages(distinct, with_income, emp_int, imputed, state)
+    return CustomerStages(raw)
 
 
 def clean_customers(raw: DataFrame, mode: str = "reference") -> Split:

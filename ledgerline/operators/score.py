@@ -38,9 +38,15 @@ def _payment_exprs() -> list[Column]:
     ]
 
 
-def _customer_exprs() -> list[Column]:
-    return [rules.home_points(F.col("home_ownership")).alias("home_pts"),
-            rules.grade_points(F.col("grade"), F.col("sub_grade")).alias("grade_pts")]
+def _health_exprs() -> list[Column]:
+    """loan_status_pts, home_pts, credit_limit_pts, grade_pts (in that order)."""
+    return [
+        rules.loan_status_points(F.col("loan_status")).alias("loan_status_pts"),
+        rules.home_points(F.col("home_ownership")).alias("home_pts"),
+        rules.credit_limit_points(F.col("funded_amount"), F.col("total_high_credit_limit"))
+             .alias("credit_limit_pts"),
+        rules.grade_points(F.col("grade"), F.col("sub_grade")).alias("grade_pts"),
+    ]
 
 
 def _score_exprs() -> list[Column]:
@@ -81,14 +87,7 @@ def loan_health_points(loans: DataFrame, customers: DataFrame) -> DataFrame:
     """Per loan: (loan_id, member_id, 4 financial-health points)."""
     l = loans.select("loan_id", "member_id", "loan_status", "funded_amount")
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    return l.join(a, "member_id").select(
-        "loan_id", "member_id",
-        rules.loan_status_points(F.col("loan_status")).alias("loan_status_pts"),
-        *_customer_exprs()[:1],
-        rules.credit_limit_points(F.col("funded_amount"), F.col("total_high_credit_limit"))
-             .alias("credit_limit_pts"),
-        *_customer_exprs()[1:],
-    )
+    return l.join(a, "member_id").select("loan_id", "member_id", *_health_exprs())
 
 
 # ------------------------------------------------------ weighted member sides
@@ -112,11 +111,9 @@ def _weighted_health(loans, customers) -> DataFrame:
                   .groupBy("member_id", "loan_status_pts", "funded_amount")
                   .agg(F.count(F.lit(1)).alias("_n")))
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
+    _, home, limit, grade = _health_exprs()
     scored = per_amount.join(a, "member_id").select(
-        "member_id", "loan_status_pts", *_customer_exprs()[:1],
-        rules.credit_limit_points(F.col("funded_amount"), F.col("total_high_credit_limit"))
-             .alias("credit_limit_pts"),
-        *_customer_exprs()[1:], "_n")
+        "member_id", "loan_status_pts", home, limit, grade, "_n")
     return scored.groupBy("member_id", *HEALTH_PTS).agg(F.sum("_n").alias("_wr"))
 
 
@@ -163,11 +160,5 @@ def credit_score_per_loan(repayments, loans, public_records, delinquents, custom
     per_loan = (p.join(l, "loan_id")
                 .join(a, "member_id")
                 .join(defaulter_points(public_records, delinquents), "member_id"))
-    pts = per_loan.select(
-        "loan_id", "member_id", *_payment_exprs(), *DEFAULTER_PTS,
-        rules.loan_status_points(F.col("loan_status")).alias("loan_status_pts"),
-        *_customer_exprs()[:1],
-        rules.credit_limit_points(F.col("funded_amount"), F.col("total_high_credit_limit"))
-             .alias("credit_limit_pts"),
-        *_customer_exprs()[1:])
+    pts = per_loan.select("loan_id", "member_id", *_payment_exprs(), *DEFAULTER_PTS, *_health_exprs())
     return pts.select("loan_id", "member_id", *_score_exprs())

@@ -19,8 +19,17 @@ from ledgerline import schemas
 DRIVER_TABLES = ("customer", "nation", "region", "orders")
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of a driver table; the DataFrame is reused per session so
+    the file listing and footer are resolved once, not once per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _s(c: Column) -> Column:
