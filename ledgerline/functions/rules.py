@@ -163,14 +163,20 @@ def grade_points(grade: Column, sub_grade: Column) -> Column:
     """
     table = grade_table()
     lookup = F.map_from_arrays(F.array(*[F.lit(sg) for _, sg, _ in table]),
-                               F.array(*[F.lit(p) for _, _, p in table]).cast("array<decimal(12,2)>"))
-    zero = F.lit(Decimal(tier("unacceptable"))).cast("decimal(12,2)")
+                               F.array(*[F.lit(str(p)) for _, _, p in table]).cast("array<decimal(12,2)>"))
+    zero = decimal_lit(tier("unacceptable"), "decimal(12,2)")
     return (F.when(grade.isin(*ZERO_GRADES), zero)
              .when(F.substring(sub_grade, 1, 1) == grade, F.element_at(lookup, sub_grade)))
 
 
+def decimal_lit(value: str | Decimal, dtype: str) -> Column:
+    """Decimal constant built from its text (folded to a literal by Catalyst)."""
+    return F.lit(str(value)).cast(dtype)
+
+
 def _w(weight: str) -> Column:
-    return F.lit(Decimal(weight))
+    # a weight such as 0.20 is a DECIMAL(2,2) literal, as in SQL
+    return decimal_lit(weight, "decimal(2,2)")
 
 
 def payment_history(last_pts: Column, total_pts: Column) -> Column:

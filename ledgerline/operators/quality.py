@@ -30,11 +30,14 @@ def split_unique(df: DataFrame, key: str) -> Split:
     rows against a key set derived from the grouped counts; adaptive
     execution splits a hot key's partition on the row side.
     """
-    counts = key_counts(df, key)
+    # NULL keys can never match; dropping them first keeps them out of the
+    # shuffle (they would all hash to the same reducer).
+    rows = df.filter(F.col(key).isNotNull())
+    counts = key_counts(rows, key)
 
     def keep(cond) -> DataFrame:
         keys = counts.filter(cond).select(F.col(key).alias("_key"))
-        return df.join(keys, df[key] == keys["_key"], "left_semi")
+        return rows.join(keys, rows[key] == keys["_key"], "left_semi")
 
     return Split(keep(F.col("_rows") == 1), keep(F.col("_rows") > 1))
 

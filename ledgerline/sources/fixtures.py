@@ -28,10 +28,31 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), spark.sparkContext.applicationId, path)
     if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
+        _READS[key] = spread_if_undersplit(spark.read.parquet(path), PRIMARY_KEYS.get(name))
     return _READS[key]
 
 
+# driver-table keys used to spread an under-split input
+PRIMARY_KEYS = {"customer": "c_custkey", "orders": "o_orderkey"}
+
+
+def spread_if_undersplit(df: DataFrame, key: str | None) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has cores.
+
+    A single-row-group file is read by one task, so every narrow operator
+    fused into that scan runs serially. Large inputs arrive in many splits
+    and are returned unchanged (no extra shuffle); small ones are
+    hash-partitioned on their key (deterministic on retry, unlike
+    round-robin) so the derivation work runs in parallel.
+    """
+    if key is None:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
