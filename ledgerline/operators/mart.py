@@ -9,10 +9,10 @@ heavy side here is the right one (loans). The equivalent plan used here is
 * loans LEFT JOIN repayments on loan_id (loan grain, no hot keys);
 * customers LEFT JOIN delinquencies LEFT JOIN public records on member_id
   (customer grain, unique keys, one shared partitioning);
-* the customer side INNER JOIN the loan side on member_id (adaptive
-  execution may split either side) UNION ALL customers without any loan
-  (anti join against the distinct loan members, which partial aggregation
-  collapses before the shuffle).
+* the loan side INNER JOIN the customer side on member_id, salting members
+  that own a large share of the loans (``skew.skew_join``), UNION ALL
+  customers without any loan (anti join against the loan members' counts,
+  which partial aggregation collapses before the shuffle).
 
 It returns exactly the rows of the LEFT JOIN chain.
 """
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.skew import key_row_counts, skew_join
+
 # ---- fixed values: mart columns in output order, grouped by source table ----
 CUSTOMER_COLS = ["member_id", "emp_title", "emp_length", "home_ownership", "annual_income",
                  "address_state", "address_zipcode", "address_country", "grade", "sub_grade",
@@ -45,8 +47,9 @@ def customer_loan_mart(customers: DataFrame, loans: DataFrame, repayments: DataF
     member_side = (customers.select(*CUSTOMER_COLS)
                    .join(delinquents.select("member_id", *DELINQUENCY_COLS), "member_id", "left")
                    .join(public_records.select("member_id", *PUBLIC_RECORD_COLS), "member_id", "left"))
-    with_loans = member_side.join(loan_side, "member_id", "inner")
-    loan_members = loans.select("member_id").distinct()
+    loan_members = key_row_counts(loans, "member_id")
+    # a member may own a large share of all loans: salt hot members
+    with_loans = skew_join(loan_side, member_side, "member_id", "inner", counts=loan_members)
     loan_schema = {f.name: f.dataType for f in loan_side.schema.fields}
     without_loans = (member_side.join(loan_members, "member_id", "left_anti")
                      .select("*", *[F.lit(None).cast(loan_schema[c]).alias(c)

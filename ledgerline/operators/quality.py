@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators.skew import skew_join
+
 
 class Split(NamedTuple):
     clean: DataFrame   # rows whose key occurs exactly once
@@ -26,22 +28,40 @@ def split_unique(df: DataFrame, key: str) -> Split:
 
     ``clean`` keeps rows whose key occurs once, ``bad`` keeps all rows of keys
     that occur more than once. Rows with a NULL key are in neither output
-    (``NULL IN (...)`` is never true). Each output is a left-semi join of the
-    rows against a key set derived from the grouped counts; adaptive
-    execution splits a hot key's partition on the row side.
+    (``NULL IN (...)`` is never true) and are dropped before any shuffle.
+    Each output is a left-semi join of the rows against a key set taken from
+    the grouped counts; keys holding a large share of the rows are salted
+    (``skew.skew_join``), so no task receives a hot key's rows alone.
     """
-    # NULL keys can never match; dropping them first keeps them out of the
-    # shuffle (they would all hash to the same reducer).
     rows = df.filter(F.col(key).isNotNull())
     counts = key_counts(rows, key)
 
     def keep(cond) -> DataFrame:
-        keys = counts.filter(cond).select(F.col(key).alias("_key"))
-        return rows.join(keys, rows[key] == keys["_key"], "left_semi")
+        keys = counts.filter(cond).select(key)
+        return skew_join(rows, keys, key, "left_semi", counts=counts, count_col="_rows").select(*df.columns)
 
     return Split(keep(F.col("_rows") == 1), keep(F.col("_rows") > 1))
 
 
+def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFrame:
+    """Rows with a non-NULL key, each tagged with how often its key occurs.
+
+    One (salted) shuffle of the rows serves both outputs of a split when the
+    tagged rows are materialised once.
+    """
+    rows = df.filter(F.col(key).isNotNull())
+    counts = key_counts(rows, key)
+    tagged = skew_join(rows, counts.withColumnRenamed("_rows", count_col) if count_col != "_rows" else counts,
+                       key, "inner", counts=counts, count_col="_rows")
+    return tagged.select(*df.columns, count_col)
+
+
+def split_tagged(tagged: DataFrame, count_col: str = "_rows") -> Split:
+    """Clean/bad outputs from ``tag_key_counts`` rows (two narrow filters)."""
+    return Split(tagged.filter(F.col(count_col) == 1).drop(count_col),
+                 tagged.filter(F.col(count_col) > 1).drop(count_col))
+
+
 def drop_missing(df: DataFrame, columns: list[str]) -> DataFrame:
     """Drop rows with NULL (or NaN, for floating columns) in any of ``columns``."""
     return df.na.drop(how="any", subset=columns)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import rules
 from ledgerline.operators.expand import DEFAULT_CHUNK_ROWS, expand_weighted
+from ledgerline.operators.skew import skew_join
 
 PAYMENT_PTS = ["last_payment_pts", "total_payment_pts"]
 DEFAULTER_PTS = ["delinq_pts", "public_records_pts", "public_bankruptcies_pts", "enq_pts"]
@@ -80,14 +81,14 @@ def defaulter_points(public_records: DataFrame, delinquents: DataFrame) -> DataF
 
 def loan_history_points(payment: DataFrame, defaulters: DataFrame) -> DataFrame:
     """Payment points of delinquent members (one row per repaid loan)."""
-    return payment.join(defaulters, "member_id").select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS)
+    return skew_join(payment, defaulters, "member_id").select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS)
 
 
 def loan_health_points(loans: DataFrame, customers: DataFrame) -> DataFrame:
     """Per loan: (loan_id, member_id, 4 financial-health points)."""
     l = loans.select("loan_id", "member_id", "loan_status", "funded_amount")
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    return l.join(a, "member_id").select("loan_id", "member_id", *_health_exprs())
+    return skew_join(l, a, "member_id").select("loan_id", "member_id", *_health_exprs())
 
 
 # ------------------------------------------------------ weighted member sides
@@ -112,7 +113,7 @@ def _weighted_health(loans, customers) -> DataFrame:
                   .agg(F.count(F.lit(1)).alias("_n")))
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
     _, home, limit, grade = _health_exprs()
-    scored = per_amount.join(a, "member_id").select(
+    scored = skew_join(per_amount, a, "member_id").select(
         "member_id", "loan_status_pts", home, limit, grade, "_n")
     return scored.groupBy("member_id", *HEALTH_PTS).agg(F.sum("_n").alias("_wr"))
 
@@ -157,8 +158,9 @@ def credit_score_per_loan(repayments, loans, public_records, delinquents, custom
     p = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
     l = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount", "loan_status")
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    per_loan = (p.join(l, "loan_id")
-                .join(a, "member_id")
-                .join(defaulter_points(public_records, delinquents), "member_id"))
+    # member-grain sides first (one row per member each), then one salted
+    # join with the loan-grain rows
+    members = a.join(defaulter_points(public_records, delinquents), "member_id")
+    per_loan = skew_join(p.join(l, "loan_id"), members, "member_id")
     pts = per_loan.select("loan_id", "member_id", *_payment_exprs(), *DEFAULTER_PTS, *_health_exprs())
     return pts.select("loan_id", "member_id", *_score_exprs())

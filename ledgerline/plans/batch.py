@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators import clean, score
-from ledgerline.operators.quality import fill_zero_counts, split_unique
+from ledgerline.operators.quality import fill_zero_counts, split_tagged, tag_key_counts
 from ledgerline.session import default_parallelism, shared_dir
 from ledgerline.sources import catalog, files
 
@@ -52,13 +52,15 @@ def _cut(df: DataFrame) -> DataFrame:
 
 def _clean_customers(raw: DataFrame, mode: str):
     st = clean.customer_stages(raw)
-    base = _cut(st.emp_length_int if mode == "reference" else st.state_clean)
-    return split_unique(base, "member_id")
+    base = st.emp_length_int if mode == "reference" else st.state_clean
+    # rows are shuffled once, tagged with their key count, and materialised;
+    # the clean and bad sinks are two filters over the checkpoint
+    return split_tagged(_cut(tag_key_counts(base, "member_id")))
 
 
 def _clean_delinquencies(raw: DataFrame):
-    unique, bad = split_unique(raw, "member_id")
-    processed = _cut(fill_zero_counts(unique, ["delinq_2yrs"]))
+    unique, bad = split_tagged(_cut(tag_key_counts(raw, "member_id")))
+    processed = fill_zero_counts(unique, ["delinq_2yrs"])
     delinquents = (processed
                    .filter((F.col("delinq_2yrs") > 0) | (F.col("mths_since_last_delinq") > 0))
                    .select("member_id", "delinq_2yrs", "delinq_amnt",

@@ -47,10 +47,12 @@ def spread_if_undersplit(df: DataFrame, key: str | None) -> DataFrame:
     """
     if key is None:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Connect session): leave as is
         return df
-    return df.repartition(cores, key)
+    return df if splits >= cores else df.repartition(cores, key)
 
 
 def _s(c: Column) -> Column:

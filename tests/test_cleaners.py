@@ -1,6 +1,7 @@
 """Cleaner semantics on literal rows, including the reference traps."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from ledgerline import schemas
@@ -100,3 +101,40 @@ def test_clean_delinquencies(spark):
     records = {r.member_id: tuple(r)[1:] for r in out.public_records.collect()}
     assert records == {"m1": (0, 1, 3), "m2": (1, 0, 0), "m3": (0, 0, 0)}
     assert out.bad.count() == 2  # exact duplicates are quarantined, not merged
+
+
+def test_tagged_split_equals_semi_join_split(spark):
+    from collections import Counter
+    from ledgerline.operators.quality import split_tagged, tag_key_counts
+    rows = [("hot", i) for i in range(500)] + [(f"k{i}", i) for i in range(300)] + [(None, 1), ("k1", 9)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    a, b = split_unique(df, "k"), split_tagged(tag_key_counts(df, "k"))
+    assert Counter(map(tuple, a.clean.collect())) == Counter(map(tuple, b.clean.collect()))
+    assert Counter(map(tuple, a.bad.collect())) == Counter(map(tuple, b.bad.collect()))
+    assert b.clean.columns == ["k", "v"]
+
+
+def test_hot_key_rows_are_spread(spark):
+    """A key holding a third of the rows is salted: its rows reach the join
+    in many partitions instead of one task."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = [("hot", i) for i in range(20000)] + [(f"k{i}", i) for i in range(40000)]
+        df = spark.createDataFrame(rows, "k string, v int").repartition(8)
+        clean_rows, bad = split_unique(df, "k")
+        per_part = (bad.withColumn("pid", F.spark_partition_id())
+                    .groupBy("pid").count().collect())
+        assert sum(r["count"] for r in per_part) == 20000
+        assert len(per_part) >= 6 and max(r["count"] for r in per_part) < 20000 / 3
+        assert clean_rows.count() == 40000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
