@@ -3,6 +3,7 @@ mean imputation."""
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -63,8 +64,20 @@ def split_tagged(tagged: DataFrame, count_col: str = "_rows") -> Split:
 
 
 def drop_missing(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Drop rows with NULL (or NaN, for floating columns) in any of ``columns``."""
-    return df.na.drop(how="any", subset=columns)
+    """Drop rows with NULL (or NaN, for floating columns) in any of ``columns``.
+
+    Same rows as ``na.drop(how="any", subset=columns)``, but written as one
+    ``IS NOT NULL`` per column so the checks are pushed into the file scan
+    (``PushedFilters``), where ``na.drop``'s combined predicate is not.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    conds = []
+    for c in columns:
+        cond = F.col(c).isNotNull()
+        if isinstance(types[c], (T.FloatType, T.DoubleType)):
+            cond = cond & ~F.isnan(F.col(c))
+        conds.append(cond)
+    return df.filter(reduce(lambda a, b: a & b, conds))
 
 
 def floor_mean(df: DataFrame, column: str):

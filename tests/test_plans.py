@@ -35,3 +35,21 @@ def test_mart_has_no_left_join_on_loans(spark, sf_dir):
     df = Q.QUERIES["customers_loan_view"](spark, sf_dir)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan  # customers without loans come from an anti join
+
+
+def test_required_field_checks_reach_the_csv_scan(spark, sf_dir):
+    from ledgerline.operators import clean
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import files
+    from ledgerline.sources.fixtures import LendingInputs
+    path = scratch_path(spark, "loans_csv")
+    files.write_csv(LendingInputs(spark, sf_dir).loans(ingest=False), path, keep_whitespace=True)
+    df = clean.clean_loans(files.read_loans(spark, path))
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    for c in ("loan_amount", "funded_amount", "loan_status", "loan_title"):
+        assert f"IsNotNull({c})" in plan
