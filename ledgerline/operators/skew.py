@@ -28,6 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEY_BUDGET = 10_000
+BUDGET_CONF = "spark.ledgerline.hotKeyBudget"
+
+
+def session_budget(df: DataFrame) -> int:
+    """Hot-key budget from the session conf, else ``HOT_KEY_BUDGET``."""
+    try:
+        return int(df.sparkSession.conf.get(BUDGET_CONF, str(HOT_KEY_BUDGET)))
+    except Exception:
+        return HOT_KEY_BUDGET
 
 
 def key_row_counts(df: DataFrame, key: str, count_col: str = "_n") -> DataFrame:
@@ -69,7 +78,7 @@ def copy_per_salt(small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
 
 def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-              budget: int = HOT_KEY_BUDGET, counts: DataFrame | None = None,
+              budget: int | None = None, counts: DataFrame | None = None,
               count_col: str = "_n") -> DataFrame:
     """``big JOIN small USING (key)`` for inner / left / left_semi / left_anti.
 
@@ -77,6 +86,7 @@ def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
     hold hot keys. ``counts`` may pass precomputed (key, count_col) rows of
     ``big``. Output columns: those of ``big.join(small, key, how)``.
     """
+    budget = budget or session_budget(big)
     counts = counts if counts is not None else key_row_counts(big, key, count_col)
     hot = hot_key_salts(counts, key, count_col, budget)
     b = salt_rows(big, key, hot, budget)

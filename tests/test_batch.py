@@ -30,3 +30,24 @@ def test_batch_job_matches_query(spark, sf_dir):
     got = Counter(tuple(r) for r in written.select("member_id", *[F.col(c).cast("double") for c in cols]).collect())
     want = Counter(tuple(r) for r in Q.credit_score(spark, sf_dir).select("member_id", *cols).collect())
     assert got == want and sum(got.values()) == 10107
+
+
+def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
+    from ledgerline.operators import score
+    inputs = LendingInputs(spark, sf_dir)
+    raw = {}
+    for name in ("customers", "loans", "repayments", "delinquencies"):
+        raw[name] = scratch_path(spark, f"raw_{name}")
+        files.write_csv(inputs.raw(name, ingest=False), raw[name], keep_whitespace=True)
+    db = f"lcb_{uuid.uuid4().hex[:8]}"
+    run_batch(spark, BatchPaths(raw["customers"], raw["loans"], raw["repayments"], raw["delinquencies"],
+                                scratch_path(spark, "out"), db=db, table_buckets=8))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = score.payment_points(spark.table(f"{db}.repayments"), spark.table(f"{db}.loans"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        assert j.count() == Q.payment_history_points(spark, sf_dir).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
