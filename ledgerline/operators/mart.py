@@ -9,8 +9,8 @@ heavy side here is the right one (loans). The equivalent plan used here is
 * loans LEFT JOIN repayments on loan_id (loan grain, no hot keys);
 * customers LEFT JOIN delinquencies LEFT JOIN public records on member_id
   (customer grain, unique keys, one shared partitioning);
-* the loan side INNER JOIN the customer side on member_id, salting members
-  that own a large share of the loans (``skew.skew_join``), UNION ALL
+* the loan side INNER JOIN the customer side on member_id, joining members
+  that own a large share of the loans map-side (``skew.skew_join``), UNION ALL
   customers without any loan (anti join against the loan members' counts,
   which partial aggregation collapses before the shuffle).
 
@@ -48,7 +48,7 @@ def customer_loan_mart(customers: DataFrame, loans: DataFrame, repayments: DataF
                    .join(delinquents.select("member_id", *DELINQUENCY_COLS), "member_id", "left")
                    .join(public_records.select("member_id", *PUBLIC_RECORD_COLS), "member_id", "left"))
     loan_members = key_row_counts(loans, "member_id")
-    # a member may own a large share of all loans: salt hot members
+    # a member may own a large share of all loans: hot members join map-side
     with_loans = skew_join(loan_side, member_side, "member_id", "inner", counts=loan_members)
     loan_schema = {f.name: f.dataType for f in loan_side.schema.fields}
     without_loans = (member_side.join(loan_members, "member_id", "left_anti")

@@ -31,8 +31,9 @@ def split_unique(df: DataFrame, key: str) -> Split:
     that occur more than once. Rows with a NULL key are in neither output
     (``NULL IN (...)`` is never true) and are dropped before any shuffle.
     Each output is a left-semi join of the rows against a key set taken from
-    the grouped counts; keys holding a large share of the rows are salted
-    (``skew.skew_join``), so no task receives a hot key's rows alone.
+    the grouped counts; rows of keys holding a large share of the data are
+    joined map-side against the broadcast hot keys (``skew.skew_join``), so
+    no task receives a hot key's rows alone.
     """
     rows = df.filter(F.col(key).isNotNull())
     counts = key_counts(rows, key)
@@ -47,7 +48,7 @@ def split_unique(df: DataFrame, key: str) -> Split:
 def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFrame:
     """Rows with a non-NULL key, each tagged with how often its key occurs.
 
-    One (salted) shuffle of the rows serves both outputs of a split when the
+    One shuffle of the (non-hot) rows serves both outputs of a split when the
     tagged rows are materialised once.
     """
     rows = df.filter(F.col(key).isNotNull())

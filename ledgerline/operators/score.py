@@ -158,8 +158,8 @@ def credit_score_per_loan(repayments, loans, public_records, delinquents, custom
     p = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
     l = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount", "loan_status")
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    # member-grain sides first (one row per member each), then one salted
-    # join with the loan-grain rows
+    # member-grain sides first (one row per member each), then one
+    # hot-key-aware join with the loan-grain rows
     members = a.join(defaulter_points(public_records, delinquents), "member_id")
     per_loan = skew_join(p.join(l, "loan_id"), members, "member_id")
     pts = per_loan.select("loan_id", "member_id", *_payment_exprs(), *DEFAULTER_PTS, *_health_exprs())

@@ -4,27 +4,30 @@ Adaptive execution splits a skewed sort-merge partition only when *both*
 inputs of the join are fresh shuffles. A join against an aggregate's output
 (key counts), or against a side already partitioned by an earlier join on the
 same key, does not qualify, so a key with a third of all rows would still be
-processed by one task. ``skew_join`` salts such keys explicitly:
+processed by one task. ``skew_join`` therefore routes hot keys around the
+shuffle:
 
 1. exact row counts per key of the big side (partial aggregation, so a hot
    key ships one row per task);
 2. *hot* keys are those holding more than ``1/budget`` of all rows. There are
-   fewer than ``budget`` of them, so the hot list has a proven size bound and
-   is broadcast;
-3. a hot key with ``n`` rows gets ``ceil(n * budget / total)`` salts; each big
-   row of it takes one salt, each small row of it is copied once per salt.
-   In total at most ``2 * budget`` extra small rows are created;
-4. the join runs on (key, salt): every salt bucket holds at most about
-   ``total / budget`` rows of a hot key.
-
-Salts are assigned by row position (``monotonically_increasing_id``), which
-spreads even identical rows; Spark treats the salted stage as indeterminate
-and re-runs its consumers after a fetch failure, so retries stay correct.
+   fewer than ``budget`` of them: the list has a proven size bound and is
+   broadcast;
+3. big rows of hot keys (and rows with a NULL key, which never match) are
+   joined map-side against the small side's rows of those keys, broadcast
+   too (at most ``budget`` keys times the small side's rows per key); they
+   are never shuffled, so neither a hot key nor a group of identical copies
+   lands in one task;
+4. all other rows take the ordinary shuffle join, in which no key holds more
+   than ``1/budget`` of the rows.
+
+Both branches are deterministic (no random or positional salt), so a task
+re-run after an executor loss produces the same rows. The cost is a second
+pass over the big side's lineage (one branch each) and the key-count pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEY_BUDGET = 10_000
@@ -43,38 +46,11 @@ def key_row_counts(df: DataFrame, key: str, count_col: str = "_n") -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
 
 
-def hot_key_salts(counts: DataFrame, key: str, count_col: str = "_n",
-                  budget: int = HOT_KEY_BUDGET) -> DataFrame:
-    """(_hot_key, _salts) for keys above ``1/budget`` of the rows (< budget keys)."""
+def hot_keys(counts: DataFrame, key: str, count_col: str = "_n",
+             budget: int = HOT_KEY_BUDGET) -> DataFrame:
+    """``_hot_key`` for keys above ``1/budget`` of all rows (fewer than budget)."""
     total = counts.agg(F.sum(count_col)).scalar()
-    n = F.col(count_col)
-    return (counts.filter(n * budget > total)
-            .select(F.col(key).alias("_hot_key"),
-                    F.ceil(n * budget / total).cast("int").alias("_salts")))
-
-
-def _tag(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(hot), df[key] == F.col("_hot_key"), "left").drop("_hot_key")
-
-
-def _row_salt(key: str, budget: int) -> Column:
-    pos = F.monotonically_increasing_id()
-    # NULL keys never match: spread them over many buckets as well
-    return (F.when(F.col(key).isNull(), F.pmod(pos, F.lit(budget)))
-             .when(F.col("_salts").isNull(), F.lit(0))
-             .otherwise(F.pmod(pos, F.col("_salts")))).cast("int")
-
-
-def salt_rows(big: DataFrame, key: str, hot: DataFrame, budget: int = HOT_KEY_BUDGET) -> DataFrame:
-    """Big side: one salt per row (0 unless its key is hot)."""
-    return _tag(big, key, hot).withColumn("_salt", _row_salt(key, budget)).drop("_salts")
-
-
-def copy_per_salt(small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Small side: each row of a hot key once per salt, others once (salt 0)."""
-    salts = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("_salts") - 1))
-    return _tag(small, key, hot).withColumn("_salt", F.explode(salts)).drop("_salts")
+    return counts.filter(F.col(count_col) * budget > total).select(F.col(key).alias("_hot_key"))
 
 
 def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
@@ -82,13 +58,20 @@ def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
               count_col: str = "_n") -> DataFrame:
     """``big JOIN small USING (key)`` for inner / left / left_semi / left_anti.
 
-    ``small`` must hold few rows per key (it is copied per salt); ``big`` may
-    hold hot keys. ``counts`` may pass precomputed (key, count_col) rows of
-    ``big``. Output columns: those of ``big.join(small, key, how)``.
+    ``small`` must hold few rows per key (its hot-key rows are broadcast);
+    ``big`` may hold hot keys. ``counts`` may pass precomputed
+    (key, count_col) rows of ``big``. Output columns are those of
+    ``big.join(small, key, how)``.
     """
     budget = budget or session_budget(big)
     counts = counts if counts is not None else key_row_counts(big, key, count_col)
-    hot = hot_key_salts(counts, key, count_col, budget)
-    b = salt_rows(big, key, hot, budget)
-    s = copy_per_salt(small, key, hot)
-    return b.join(s, [key, "_salt"], how).drop("_salt")
+    hot = F.broadcast(hot_keys(counts, key, count_col, budget))
+    flagged = (big.join(hot, big[key] == hot["_hot_key"], "left")
+               .withColumn("_route_hot", F.col("_hot_key").isNotNull() | F.col(key).isNull())
+               .drop("_hot_key"))
+    hot_big = flagged.filter(F.col("_route_hot")).drop("_route_hot")
+    cold_big = flagged.filter(~F.col("_route_hot")).drop("_route_hot")
+    hot_small = small.join(hot, small[key] == hot["_hot_key"], "left_semi")
+    routed = hot_big.join(F.broadcast(hot_small), key, how)
+    shuffled = cold_big.join(small, key, how)
+    return routed.unionByName(shuffled)

@@ -115,8 +115,8 @@ def test_tagged_split_equals_semi_join_split(spark):
 
 
 def test_hot_key_rows_are_spread(spark):
-    """A key holding a third of the rows is salted: its rows reach the join
-    in many partitions instead of one task."""
+    """A key holding a third of the rows is joined map-side: its rows stay
+    spread over the input partitions instead of meeting in one task."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
