@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.skew import skew_join
+from ledgerline.operators.skew import session_budget, skew_join
 
 
 class Split(NamedTuple):
@@ -30,19 +30,32 @@ def split_unique(df: DataFrame, key: str) -> Split:
     ``clean`` keeps rows whose key occurs once, ``bad`` keeps all rows of keys
     that occur more than once. Rows with a NULL key are in neither output
     (``NULL IN (...)`` is never true) and are dropped before any shuffle.
-    Each output is a left-semi join of the rows against a key set taken from
-    the grouped counts; rows of keys holding a large share of the data are
-    joined map-side against the broadcast hot keys (``skew.skew_join``), so
-    no task receives a hot key's rows alone.
+
+    Plan: partial + final count per key; *hot* keys are duplicated keys
+    holding more than ``1/budget`` of the rows (fewer than ``budget``, so the
+    list is broadcast). A hot key can only be in ``bad``: ``clean`` drops its
+    rows map-side (broadcast anti join) and semi-joins the rest against the
+    keys seen once; ``bad`` takes hot rows map-side (broadcast semi join) plus
+    the other rows semi-joined against the duplicated keys. No task receives
+    a hot key's rows, and no salt is involved (deterministic on retries).
     """
     rows = df.filter(F.col(key).isNotNull())
     counts = key_counts(rows, key)
-
-    def keep(cond) -> DataFrame:
-        keys = counts.filter(cond).select(key)
-        return skew_join(rows, keys, key, "left_semi", counts=counts, count_col="_rows").select(*df.columns)
-
-    return Split(keep(F.col("_rows") == 1), keep(F.col("_rows") > 1))
+    total = counts.agg(F.sum("_rows")).scalar()
+    budget = session_budget(df)
+    hot = F.broadcast(counts.filter((F.col("_rows") > 1) & (F.col("_rows") * budget > total))
+                      .select(F.col(key).alias("_hot_key")))
+    cold_rows = rows.join(hot, rows[key] == hot["_hot_key"], "left_anti")
+
+    def keys(cond) -> DataFrame:
+        return counts.filter(cond).select(F.col(key).alias("_key"))
+
+    once = keys(F.col("_rows") == 1)
+    clean = cold_rows.join(once, cold_rows[key] == once["_key"], "left_semi")
+    dup = keys(F.col("_rows") > 1)
+    bad = (rows.join(hot, rows[key] == hot["_hot_key"], "left_semi")
+           .unionByName(cold_rows.join(dup, cold_rows[key] == dup["_key"], "left_semi")))
+    return Split(clean.select(*df.columns), bad.select(*df.columns))
 
 
 def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFrame:
