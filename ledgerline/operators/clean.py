@@ -12,6 +12,7 @@ applies what the code comments describe where the two differ:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 from typing import NamedTuple
 
@@ -172,21 +173,66 @@ def published_customers(clean: DataFrame) -> DataFrame:
     })
 
 
-class CleanTables(NamedTuple):
-    customers: DataFrame
-    customers_bad: DataFrame
-    loans: DataFrame
-    repayments: DataFrame
-    delinquencies: DataFrame
-    public_records: DataFrame
-    delinquencies_bad: DataFrame
+class CleanTables:
+    """The published tables of one run, each built on first use.
+
+    Attributes: customers (published types), customers_bad, loans,
+    repayments, delinquencies (delinquent members), public_records,
+    delinquencies_bad.
+    """
+
+    def __init__(self, raw: Callable[[str], DataFrame], mode: str = "reference"):
+        """``raw(name)`` returns the raw relation ``customers`` / ``loans`` /
+        ``repayments`` / ``delinquencies``; it is called at most once each."""
+        _check_mode(mode)
+        self._get = raw
+        self._cache: dict[str, DataFrame] = {}
+        self.mode = mode
+
+    def _raw(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = self._get(name)
+        return self._cache[name]
+
+    @cached_property
+    def _customer_split(self) -> Split:
+        return clean_customers(self._raw("customers"), self.mode)
+
+    @cached_property
+    def _delinquency_outputs(self) -> DelinquencyOutputs:
+        return clean_delinquencies(self._raw("delinquencies"))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return published_customers(self._customer_split.clean)
+
+    @cached_property
+    def customers_bad(self) -> DataFrame:
+        return self._customer_split.bad
+
+    @cached_property
+    def loans(self) -> DataFrame:
+        return clean_loans(self._raw("loans"))
+
+    @cached_property
+    def repayments(self) -> DataFrame:
+        return clean_repayments(self._raw("repayments"), self.mode)
+
+    @cached_property
+    def delinquencies(self) -> DataFrame:
+        return self._delinquency_outputs.delinquents
+
+    @cached_property
+    def public_records(self) -> DataFrame:
+        return self._delinquency_outputs.public_records
+
+    @cached_property
+    def delinquencies_bad(self) -> DataFrame:
+        return self._delinquency_outputs.bad
 
 
 def clean_all(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
               delinquencies: DataFrame, mode: str = "reference") -> CleanTables:
-    """Run the four cleaners; customers come out with published types."""
-    cust, cust_bad = clean_customers(customers, mode)
-    d = clean_delinquencies(delinquencies)
-    return CleanTables(published_customers(cust), cust_bad, clean_loans(loans),
-                       clean_repayments(repayments, mode), d.delinquents,
-                       d.public_records, d.bad)
+    """The four cleaners' outputs (lazily); customers come with published types."""
+    raw = {"customers": customers, "loans": loans, "repayments": repayments, "delinquencies": delinquencies}
+    return CleanTables(raw.__getitem__, mode)

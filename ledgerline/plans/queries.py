@@ -49,8 +49,7 @@ def _inputs(spark, sf_dir) -> LendingInputs:
 
 
 def _tables(spark, sf_dir, mode="reference") -> clean.CleanTables:
-    i = _inputs(spark, sf_dir)
-    return clean.clean_all(i.customers(), i.loans(), i.repayments(), i.delinquencies(), mode)
+    return clean.CleanTables(_inputs(spark, sf_dir).raw, mode)
 
 
 def _score_args(t: clean.CleanTables):
