@@ -57,11 +57,13 @@ def customer_loan_mart(customers: DataFrame, loans: DataFrame, repayments: DataF
     return with_loans.select(*MART_COLUMNS).unionByName(without_loans.select(*MART_COLUMNS))
 
 
-def mart_view_sql(db: str, view: str = "customers_loan_v") -> str:
+def mart_view_sql(db: str, view: str = "customers_loan_v", budget: int = 10_000) -> str:
     """CREATE OR REPLACE VIEW over the published catalog tables.
 
     Same plan shape as ``customer_loan_mart``, written as SQL because a
-    permanent view is stored as query text.
+    permanent view is stored as query text: members owning more than
+    ``1/budget`` of the loans (fewer than ``budget`` of them, broadcast) are
+    joined map-side, all other loans through the shuffle join.
     """
     member_cols = set(CUSTOMER_COLS + DELINQUENCY_COLS + PUBLIC_RECORD_COLS)
     joined = ", ".join(f"m.{c}" if c in member_cols else f"s.{c}" for c in MART_COLUMNS)
@@ -82,11 +84,23 @@ WITH loan_side AS (
   FROM {db}.customers c
   LEFT JOIN {db}.delinquencies d ON c.member_id = d.member_id
   LEFT JOIN {db}.delinquencies_public_records e ON c.member_id = e.member_id
+), loan_members AS (
+  SELECT member_id, COUNT(*) AS n FROM {db}.loans WHERE member_id IS NOT NULL GROUP BY member_id
+), hot AS (
+  SELECT member_id AS hot_id FROM loan_members
+  WHERE n * {budget} > (SELECT SUM(n) FROM loan_members)
+), hot_members AS (
+  SELECT /*+ BROADCAST(h) */ m.* FROM member_side m LEFT SEMI JOIN hot h ON m.member_id = h.hot_id
 )
-SELECT {joined} FROM member_side m JOIN loan_side s ON m.member_id = s.member_id
+SELECT /*+ BROADCAST(h), BROADCAST(m) */ {joined}
+FROM loan_side s LEFT SEMI JOIN hot h ON s.member_id = h.hot_id
+JOIN hot_members m ON m.member_id = s.member_id
 UNION ALL
-SELECT {lonely} FROM member_side m
-WHERE NOT EXISTS (SELECT 1 FROM {db}.loans x WHERE x.member_id = m.member_id)
+SELECT /*+ BROADCAST(h) */ {joined}
+FROM loan_side s LEFT ANTI JOIN hot h ON s.member_id = h.hot_id
+JOIN member_side m ON m.member_id = s.member_id
+UNION ALL
+SELECT {lonely} FROM member_side m LEFT ANTI JOIN loan_members x ON x.member_id = m.member_id
 """
 
 
