@@ -66,9 +66,8 @@ def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFra
     """
     rows = df.filter(F.col(key).isNotNull())
     counts = key_counts(rows, key)
-    tagged = skew_join(rows, counts.withColumnRenamed("_rows", count_col) if count_col != "_rows" else counts,
-                       key, "inner", counts=counts, count_col="_rows")
-    return tagged.select(*df.columns, count_col)
+    tagged = skew_join(rows, counts, key, "inner", counts=counts, count_col="_rows")
+    return tagged.select(*df.columns, F.col("_rows").alias(count_col))
 
 
 def split_tagged(tagged: DataFrame, count_col: str = "_rows") -> Split:
