@@ -24,3 +24,13 @@ def test_stream_cleans_loans_incrementally(spark, sf_dir):
     want = Q.clean_loans(spark, sf_dir)
     assert 0 < n1 < got.count()
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_stream_cleans_repayments(spark, sf_dir):
+    raw = LendingInputs(spark, sf_dir).repayments(ingest=False)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("src", "sink", "ckpt"))
+    files.write_csv(raw, src, keep_whitespace=True)
+    start_cleaning(spark, "repayments", src, sink, ckpt).awaitTermination()
+    got = spark.read.parquet(sink).drop("ingest_date")
+    want = Q.clean_repayments(spark, sf_dir)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
