@@ -44,12 +44,27 @@ def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols if c in df.columns})
 
 
+# Plan memo: building a DataFrame costs Python->JVM analysis per operator
+# (about 2 s for a score query), so the raw-relation and cleaned-table plans
+# are built once per session and input folder. Only plans are shared, never
+# data: every execution scans the inputs and computes everything again.
+_PLANS: dict[tuple, object] = {}
+
+
+def _memo(spark, *key, build):
+    k = (id(spark), spark.sparkContext.applicationId, *key)
+    if k not in _PLANS:
+        _PLANS[k] = build()
+    return _PLANS[k]
+
+
 def _inputs(spark, sf_dir) -> LendingInputs:
-    return LendingInputs(spark, sf_dir)
+    return _memo(spark, "inputs", sf_dir, build=lambda: LendingInputs(spark, sf_dir))
 
 
 def _tables(spark, sf_dir, mode="reference") -> clean.CleanTables:
-    return clean.CleanTables(_inputs(spark, sf_dir).raw, mode)
+    return _memo(spark, "tables", sf_dir, mode,
+                 build=lambda: clean.CleanTables(lambda name: _inputs(spark, sf_dir).raw(name), mode))
 
 
 def _score_args(t: clean.CleanTables):
@@ -161,7 +176,7 @@ def customers_loan_table(spark, sf_dir):
 
 # ---------------------------------------------------------------- customers
 def _cust(spark, sf_dir) -> clean.CustomerStages:
-    return clean.customer_stages(_inputs(spark, sf_dir).customers())
+    return clean.customer_stages(_inputs(spark, sf_dir).raw("customers"))
 
 
 @query
@@ -202,22 +217,22 @@ def customers_unique_rows(spark, sf_dir):
 
 @query
 def customers_bad_rows(spark, sf_dir):
-    return _drop(clean.clean_customers(_inputs(spark, sf_dir).customers(), "reference").bad)
+    return _drop(clean.clean_customers(_inputs(spark, sf_dir).raw("customers"), "reference").bad)
 
 
 @query
 def clean_customers_reference(spark, sf_dir):
-    return _drop(clean.clean_customers(_inputs(spark, sf_dir).customers(), "reference").clean)
+    return _drop(clean.clean_customers(_inputs(spark, sf_dir).raw("customers"), "reference").clean)
 
 
 @query
 def clean_customers_intended(spark, sf_dir):
-    return _drop(clean.clean_customers(_inputs(spark, sf_dir).customers(), "intended").clean)
+    return _drop(clean.clean_customers(_inputs(spark, sf_dir).raw("customers"), "intended").clean)
 
 
 # -------------------------------------------------------------------- loans
 def _loans(spark, sf_dir) -> clean.LoanStages:
-    return clean.loan_stages(_inputs(spark, sf_dir).loans())
+    return clean.loan_stages(_inputs(spark, sf_dir).raw("loans"))
 
 
 @query
@@ -237,12 +252,12 @@ def loan_purpose_standardized(spark, sf_dir):
 
 @query
 def clean_loans(spark, sf_dir):
-    return _drop(clean.clean_loans(_inputs(spark, sf_dir).loans()))
+    return _drop(clean.clean_loans(_inputs(spark, sf_dir).raw("loans")))
 
 
 # --------------------------------------------------------------- repayments
 def _rep(spark, sf_dir, mode="reference") -> clean.RepaymentStages:
-    return clean.repayment_stages(_inputs(spark, sf_dir).repayments(), mode)
+    return clean.repayment_stages(_inputs(spark, sf_dir).raw("repayments"), mode)
 
 
 @query
@@ -272,17 +287,17 @@ def repayment_dates_intended(spark, sf_dir):
 
 @query
 def clean_repayments(spark, sf_dir):
-    return _drop(clean.clean_repayments(_inputs(spark, sf_dir).repayments()))
+    return _drop(clean.clean_repayments(_inputs(spark, sf_dir).raw("repayments")))
 
 
 # ------------------------------------------------------------ delinquencies
 def _delinq(spark, sf_dir) -> clean.DelinquencyOutputs:
-    return clean.clean_delinquencies(_inputs(spark, sf_dir).delinquencies())
+    return clean.clean_delinquencies(_inputs(spark, sf_dir).raw("delinquencies"))
 
 
 @query
 def delinquencies_unique_rows(spark, sf_dir):
-    return _drop(split_unique(_inputs(spark, sf_dir).delinquencies(), "member_id").clean)
+    return _drop(split_unique(_inputs(spark, sf_dir).raw("delinquencies"), "member_id").clean)
 
 
 @query
@@ -435,7 +450,7 @@ def top_duplicate_members(spark, sf_dir):
 
 @query
 def profile_null_loan_amount(spark, sf_dir):
-    l = _inputs(spark, sf_dir).loans()
+    l = _inputs(spark, sf_dir).raw("loans")
     return profile.count_rows(l, F.col("loan_amount").isNull(), "null_loan_amount")
 
 
@@ -456,7 +471,7 @@ def profile_loan_members(spark, sf_dir):
 
 @query
 def profile_null_principal(spark, sf_dir):
-    r = _inputs(spark, sf_dir).repayments()
+    r = _inputs(spark, sf_dir).raw("repayments")
     return profile.count_rows(r, F.col("total_principal_received").isNull(), "null_principal")
 
 
@@ -480,7 +495,7 @@ def profile_last_payment_date(spark, sf_dir):
 
 @query
 def profile_delinquency_members(spark, sf_dir):
-    return profile.frequency(_inputs(spark, sf_dir).delinquencies(), "member_id")
+    return profile.frequency(_inputs(spark, sf_dir).raw("delinquencies"), "member_id")
 
 
 @query
@@ -494,10 +509,10 @@ def row_counts(spark, sf_dir):
     i = _inputs(spark, sf_dir)
     t = _tables(spark, sf_dir)
     return profile.row_counts({
-        "customers_raw": i.customers(), "customers_clean": t.customers,
-        "customers_bad": t.customers_bad, "loans_raw": i.loans(), "loans_clean": t.loans,
-        "repayments_raw": i.repayments(), "repayments_clean": t.repayments,
-        "delinquencies_raw": i.delinquencies(), "delinquent_members": t.delinquencies,
+        "customers_raw": i.raw("customers"), "customers_clean": t.customers,
+        "customers_bad": t.customers_bad, "loans_raw": i.raw("loans"), "loans_clean": t.loans,
+        "repayments_raw": i.raw("repayments"), "repayments_clean": t.repayments,
+        "delinquencies_raw": i.raw("delinquencies"), "delinquent_members": t.delinquencies,
         "public_records": t.public_records, "delinquencies_bad": t.delinquencies_bad,
         "credit_score_per_loan": score.credit_score_per_loan(*_score_args(t)),
     })

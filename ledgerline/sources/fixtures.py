@@ -182,6 +182,7 @@ class LendingInputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self.ingest_ts = ingest_ts
+        self._plans: dict[tuple[str, bool], DataFrame] = {}
 
     def _t(self, name: str) -> DataFrame:
         return read_driver_table(self.spark, self.sf_dir, name)
@@ -207,7 +208,11 @@ class LendingInputs:
         return self._ingest(df) if ingest else df
 
     def raw(self, name: str, ingest: bool = True) -> DataFrame:
-        return getattr(self, name)(ingest)
+        """The raw relation's plan, built once per instance (DataFrames are
+        immutable; each execution still scans and derives everything)."""
+        if (name, ingest) not in self._plans:
+            self._plans[(name, ingest)] = getattr(self, name)(ingest)
+        return self._plans[(name, ingest)]
 
 
 RAW_SCHEMAS = {
