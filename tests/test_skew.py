@@ -29,3 +29,19 @@ def test_matches_plain_join(spark, sides, how):
     got_df = skew_join(big, small, "key", how, budget=10)
     assert got_df.columns == big.join(small, "key", how).columns
     assert Counter(map(tuple, got_df.collect())) == want
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e"]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(big=st.lists(_keys, min_size=1, max_size=60), small=st.lists(_keys, max_size=8),
+       how=st.sampled_from(["inner", "left", "left_semi", "left_anti"]), budget=st.integers(2, 12))
+def test_property_equals_plain_join(spark, big, small, how, budget):
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(big)], "key string, v int")
+    s = spark.createDataFrame([(k, f"w{i}") for i, k in enumerate(small)], "key string, w string")
+    want = Counter(map(tuple, b.join(s, "key", how).collect()))
+    assert Counter(map(tuple, skew_join(b, s, "key", how, budget=budget).collect())) == want
