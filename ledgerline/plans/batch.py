@@ -38,7 +38,7 @@ class BatchPaths:
     repayments: str
     delinquencies: str
     out_root: str
-    db: str = "lending_club"
+    db: str = "lending"
     mode: str = "reference"
     write_parquet_score: bool = False
     ingest_ts: str | None = None
@@ -132,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
     if len(args) < 5:
         raise SystemExit("usage: batch.py CUSTOMERS LOANS REPAYMENTS DELINQUENCIES OUT_ROOT [DB]")
     spark = build_session()
-    paths = BatchPaths(*args[:5], db=args[5] if len(args) > 5 else "lending_club")
+    paths = BatchPaths(*args[:5], db=args[5] if len(args) > 5 else "lending")
     for name, path in run_batch(spark, paths).items():
         print(f"{name}\t{path}")
 
