@@ -127,12 +127,13 @@ def main(argv: list[str] | None = None) -> None:
     """spark-submit entry: batch.py customers loans repayments delinquencies out_root [db]"""
     import sys
 
-    from ledgerline.session import build_session
+    from ledgerline.session import build_session, size_shuffle_partitions
     args = argv if argv is not None else sys.argv[1:]
     if len(args) < 5:
         raise SystemExit("usage: batch.py CUSTOMERS LOANS REPAYMENTS DELINQUENCIES OUT_ROOT [DB]")
     spark = build_session()
     paths = BatchPaths(*args[:5], db=args[5] if len(args) > 5 else "lending")
+    size_shuffle_partitions(spark, [paths.customers, paths.loans, paths.repayments, paths.delinquencies])
     for name, path in run_batch(spark, paths).items():
         print(f"{name}\t{path}")
 

@@ -75,3 +75,33 @@ def default_parallelism(spark: SparkSession) -> int:
     except Exception:  # pragma: no cover - conf always present in practice
         n = os.cpu_count() or 8
     return max(1, n)
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so one shuffle partition of the
+    input volume is about ``target_bytes`` (never below the current value).
+
+    Adaptive execution coalesces partitions that turn out small and splits
+    skewed ones; starting from a count that scales with the input keeps every
+    partition within executor memory at any size. Returns the count set.
+    """
+    current = default_parallelism(spark)
+    wanted = max(current, -(-input_bytes(spark, paths) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 128 * 1024 * 1024)))
+    return wanted

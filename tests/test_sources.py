@@ -50,3 +50,21 @@ def test_csv_roundtrip_keeps_values(spark, sf_dir):
     files.write_csv(loans, path, keep_whitespace=True)
     back = files.read_loans(spark, path).drop("ingest_date")
     assert back.exceptAll(loans).count() == 0 and loans.exceptAll(back).count() == 0
+
+
+def test_shuffle_partitions_scale_with_input(spark, sf_dir):
+    from ledgerline.session import input_bytes, size_shuffle_partitions
+    paths = [f"{sf_dir}/orders.parquet", f"{sf_dir}/customer.parquet"]
+    assert input_bytes(spark, paths) > 0
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    old_adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        # a 1 KB target over these files asks for many partitions
+        n = size_shuffle_partitions(spark, paths, target_bytes=1024)
+        assert n >= input_bytes(spark, paths) // 1024
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+        # never below the configured count
+        assert size_shuffle_partitions(spark, paths, target_bytes=1 << 40) == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
