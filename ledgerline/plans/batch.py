@@ -124,15 +124,22 @@ def run_batch(spark: SparkSession, p: BatchPaths) -> dict[str, str]:
 
 
 def main(argv: list[str] | None = None) -> None:
-    """spark-submit entry: batch.py customers loans repayments delinquencies out_root [db]"""
-    import sys
+    """Command-line entry (see README): four raw CSV paths and an output root."""
+    import argparse
 
     from ledgerline.session import build_session, size_shuffle_partitions
-    args = argv if argv is not None else sys.argv[1:]
-    if len(args) < 5:
-        raise SystemExit("usage: batch.py CUSTOMERS LOANS REPAYMENTS DELINQUENCIES OUT_ROOT [DB]")
+    ap = argparse.ArgumentParser(prog="python -m ledgerline.plans.batch")
+    for name in ("customers", "loans", "repayments", "delinquencies", "out_root"):
+        ap.add_argument(name)
+    ap.add_argument("db", nargs="?", default="lending")
+    ap.add_argument("--mode", choices=clean.MODES, default="reference")
+    ap.add_argument("--buckets", type=int, default=0,
+                    help="publish bucketed Parquet tables with this many buckets (0: CSV tables)")
+    ap.add_argument("--parquet-score", action="store_true", help="also write the score as Parquet")
+    a = ap.parse_args(argv)
     spark = build_session()
-    paths = BatchPaths(*args[:5], db=args[5] if len(args) > 5 else "lending")
+    paths = BatchPaths(a.customers, a.loans, a.repayments, a.delinquencies, a.out_root, db=a.db,
+                       mode=a.mode, write_parquet_score=a.parquet_score, table_buckets=a.buckets)
     size_shuffle_partitions(spark, [paths.customers, paths.loans, paths.repayments, paths.delinquencies])
     for name, path in run_batch(spark, paths).items():
         print(f"{name}\t{path}")
