@@ -51,3 +51,21 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
         assert j.count() == Q.payment_history_points(spark, sf_dir).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_command_line_entry(spark, sf_dir, capsys):
+    from ledgerline.plans.batch import main
+    inputs = LendingInputs(spark, sf_dir)
+    raw = []
+    for name in ("customers", "loans", "repayments", "delinquencies"):
+        raw.append(scratch_path(spark, f"raw_{name}"))
+        files.write_csv(inputs.raw(name, ingest=False), raw[-1], keep_whitespace=True)
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        main([*raw, scratch_path(spark, "cli_out"), f"cli_{uuid.uuid4().hex[:8]}", "--buckets", "4"])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert spark.read.csv(printed["credit_score"], header=True).count() == 10107
