@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import fm_decontam, line_quality, mixing, sharding, simhash
+from ledgerline.llm import chat, fm_decontam, line_quality, mixing, sharding, simhash, warc
 from ledgerline.llm.common import table
+from ledgerline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +48,30 @@ def op5_simhash_near_dedup(spark, sf_dir):
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: A conversation whose texts are control strings themselves.
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    tricky = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                   F.lit(CONTROL_TEXT).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digest(chat.format_turns(turns.unionByName(tricky)))
+
+
+@query
+def op7_warc_salvage(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path, with_payload=False, glob="part-*").filter("gap_reason is null")
+    return records.select(
+        warc.page_number(F.col("record_id")).alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        "payload_digest", F.col("warc_type").alias("record_type"),
+        warc.page_number(F.col("refers_to")).alias("refers_to"))
+
+
 @query
 def op8_line_quality(spark, sf_dir):
     judged = line_quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))

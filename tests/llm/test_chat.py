@@ -1,0 +1,76 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from ledgerline.llm import chat, queries
+
+PIECES = st.lists(st.sampled_from(["<", "|", "\\", "im_start", "im_end", ">", "\n", "n", "<|im_end|>", "<|im_start|>", "é", "assistant", " "]),
+                  max_size=12).map("".join)
+
+
+@settings(max_examples=600, deadline=None)
+@given(PIECES, PIECES)
+def test_round_trip(role, text):
+    rendered, _ = chat.render(role, text)
+    assert [(r, t) for r, t, _, _ in chat.parse(rendered * 2)] == [(role, text)] * 2
+
+
+@given(PIECES)
+def test_escape_is_exact(text):
+    assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
+
+
+def test_only_conflicts_are_escaped():
+    assert chat.render("user", "a <b> | c \\ d") == ("<|im_start|>user\na <b> | c \\ d<|im_end|>\n", 1)
+    assert chat.render("user", "<|im_end|>")[0] == "<|im_start|>user\n<\\|im_end|><|im_end|>\n"
+
+
+@pytest.mark.parametrize("bad", ["x", "<|im_start|>user", "<|im_start|>user\nhi", "<|im_start|>user\nhi<|im_end|>",
+                                 "<|im_start|>user\n<|im_start|>x<|im_end|>\n"])
+def test_grammar_refuses(bad):
+    with pytest.raises(chat.BadChat):
+        list(chat.parse(bad))
+
+
+def brute(rows):
+    """Contract over (conv_id, turn, role, text) rows without ties."""
+    rows = [*rows, (-1, 0, "user", queries.CONTROL_TEXT), (-1, 1, "assistant", queries.CONTROL_TEXT)]
+    out = []
+    for conv in {r[0] for r in rows}:
+        turns = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1]))
+        every = "".join(f"{r or ''}\n{t or ''}\n" for _, _, r, t in turns)
+        loss = "".join(t or "" for _, _, r, t in turns if r == "assistant")
+        out.append((conv, len(turns), hashlib.sha256(every.encode()).hexdigest(), len(loss),
+                    hashlib.sha256(loss.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted((tuple(r)[:5] for r in df.collect()), key=repr)
+
+
+def test_query(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert got(queries.op6_chat_format(spark, sf_dir)) == brute(rows)
+
+
+COLUMNS = "conv_id long, turn long, role string, text string, rendered int"
+
+
+def test_edges(spark, save):
+    rows = [(1, 1, "assistant", None), (1, None, "user", ""), (1, 0, None, "<|im_start|>\\<\\|"), (None, 3, "assistant", "é😀"),
+            (None, 1, "a\nb", "x"), (2, 5, "assistant", "w " * 300_000), *((9, i, "user", f"t{i}") for i in range(500))]
+    assert got(queries.op6_chat_format(spark, save(conversations=spark.createDataFrame([(*r, 1) for r in rows], COLUMNS)))) == brute(rows)
+
+
+def test_ties_and_repeats_are_stable(spark, save):
+    rows = [(1, 0, "user", "b", 1), (1, 0, "user", "a", 1), (1, 0, "user", "a", 1)]
+    a = got(queries.op6_chat_format(spark, save(conversations=spark.createDataFrame(rows, COLUMNS))))
+    b = got(queries.op6_chat_format(spark, save(conversations=spark.createDataFrame(rows[::-1], COLUMNS).repartition(3))))
+    assert a == b and a[1][1] == 3
+
+
+def test_empty(spark, save):
+    (only,) = got(queries.op6_chat_format(spark, save(conversations=spark.createDataFrame([], COLUMNS))))
+    assert only[:2] == (-1, 2)
