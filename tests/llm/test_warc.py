@@ -66,7 +66,7 @@ def test_salvage(kind):
     starts = [sum(map(len, members[:i])) for i in range(21)]
     for bad in (0, 7, 19):
         broken = bytearray(data)
-        middle = starts[bad] + (len(members[bad]) - 8) // 2
+        middle = starts[bad] + len(members[bad]) - 20
         for i in range(middle, middle + 6):
             broken[i] ^= 0x5A
         found = list(warc.salvage(bytes(broken)))
