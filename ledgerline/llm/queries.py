@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, fm_decontam, line_quality, mixing, sharding, simhash, warc
+from ledgerline.llm import chat, fm_decontam, html_blocks, license_scan, line_quality, mixing, packing, sharding, simhash, warc
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -34,6 +34,11 @@ def op1_temperature_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+@query
+def op2_html_extraction(spark, sf_dir):
+    return html_blocks.extract(spark, table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op3_fm_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,6 +47,23 @@ def op3_fm_decontamination(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", sha256_hex(ids).alias("items_sha256"), "contaminated")
 
 
+def document_path() -> Column:
+    """A file path for each document: its source, then the digits of its id as directories (0123 -> src/1/2/123.txt).
+
+    The documents have no paths of their own; this tree has directories of
+    every depth, so notices in documents with short ids govern those below.
+    """
+    digits = F.regexp_replace(F.col("doc_id").cast("string"), "([0-9])(?=.)", "$1/")
+    folder = F.regexp_replace(digits, "[^/]*$", "")
+    return F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), folder, F.col("doc_id").cast("string"), F.lit(".txt"))
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", document_path().alias("path"), "text")
+    return license_scan.scan(spark, docs)
+
+
 @query
 def op5_simhash_near_dedup(spark, sf_dir):
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
@@ -79,6 +101,11 @@ def op8_line_quality(spark, sf_dir):
                          "base_failed", "kept", "lost_chars")
 
 
+@query
+def op9_token_packing(spark, sf_dir):
+    return packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_feistel_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
