@@ -16,14 +16,15 @@ from collections.abc import Callable
 from functools import cached_property
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import cleaning as fx
-from ledgerline.operators.quality import (Split, drop_missing, fill_zero_counts,
+from ledgerline.operators.quality import (Split, all_present, drop_missing, fill_zero_counts,
                                           impute_floor_mean, split_unique)
 
 MODES = ("reference", "intended")
+Cut = Callable[[DataFrame], DataFrame]
 
 # ---- fixed values: required columns and count columns ----
 LOAN_REQUIRED = ["loan_amount", "funded_amount", "loan_term_months", "interest_rate",
@@ -77,12 +78,12 @@ def customer_stages(raw: DataFrame) -> CustomerStages:
     return CustomerStages(raw)
 
 
-def clean_customers(raw: DataFrame, mode: str = "reference") -> Split:
+def clean_customers(raw: DataFrame, mode: str = "reference", cut: Cut | None = None) -> Split:
     """-> (clean, bad). Duplicated member_ids are quarantined in ``bad``."""
     _check_mode(mode)
     st = customer_stages(raw)
     base = st.emp_length_int if mode == "reference" else st.state_clean
-    return split_unique(base, "member_id")
+    return split_unique(base, "member_id", cut)
 
 
 # -------------------------------------------------------------------- loans
@@ -94,8 +95,8 @@ class LoanStages(NamedTuple):
 
 def loan_stages(raw: DataFrame) -> LoanStages:
     required = drop_missing(raw, LOAN_REQUIRED)
-    term = (required.withColumn("loan_term_months", fx.term_in_years("loan_term_months"))
-            .withColumnRenamed("loan_term_months", "loan_term_years"))
+    years = {"loan_term_months": fx.term_in_years("loan_term_months").alias("loan_term_years")}
+    term = required.select(*[years.get(c, F.col(c)) for c in required.columns])
     standardized = term.withColumn("loan_purpose", fx.standard_purpose("loan_purpose"))
     return LoanStages(required, term, standardized)
 
@@ -114,16 +115,11 @@ class RepaymentStages(NamedTuple):
 
 def clean_payment_dates(df: DataFrame, mode: str = "reference") -> DataFrame:
     _check_mode(mode)
-    if mode == "intended":
-        return df.withColumns({
-            "last_payment_date": fx.null_if_numeric("last_payment_date"),
-            "next_payment_date": fx.null_if_numeric("next_payment_date"),
-        })
-    # reference: the cleaned last date overwrites next_payment_date, which is
-    # then cleaned again into last_payment_date; both end up equal.
-    cleaned_last = fx.null_if_numeric("last_payment_date")
-    step = df.withColumn("next_payment_date", cleaned_last)
-    return step.withColumn("last_payment_date", fx.null_if_numeric("next_payment_date"))
+    last = fx.null_if_numeric("last_payment_date")
+    own_next = fx.null_if_numeric("next_payment_date")
+    # the published output has the cleaned last date in both columns
+    return df.withColumns({"last_payment_date": last,
+                           "next_payment_date": own_next if mode == "intended" else last})
 
 
 def repayment_stages(raw: DataFrame, mode: str = "reference") -> RepaymentStages:
@@ -147,12 +143,17 @@ class DelinquencyOutputs(NamedTuple):
     filled: DataFrame           # unique rows with all four counts filled
 
 
-def clean_delinquencies(raw: DataFrame) -> DelinquencyOutputs:
-    unique, bad = split_unique(raw, "member_id")
+def has_delinquency_signal() -> Column:
+    """Reads the filled two-year count and the raw FLOAT months."""
+    return (F.col("delinq_2yrs") > 0) | (F.col("mths_since_last_delinq") > 0)
+
+
+def clean_delinquencies(raw: DataFrame, cut: Cut | None = None) -> DelinquencyOutputs:
+    unique, bad = split_unique(raw, "member_id", cut)
     processed = fill_zero_counts(unique, ["delinq_2yrs"])
-    # the filter reads the raw FLOAT months; the output truncates it to INT
+    # the output truncates the months to INT after the filter
     delinquents = (processed
-                   .filter((F.col("delinq_2yrs") > 0) | (F.col("mths_since_last_delinq") > 0))
+                   .filter(has_delinquency_signal())
                    .select("member_id", "delinq_2yrs", "delinq_amnt",
                            F.col("mths_since_last_delinq").cast("int").alias("mths_since_last_delinq")))
     filled = fill_zero_counts(processed, PUBLIC_RECORD_COUNTS)
@@ -231,8 +232,46 @@ class CleanTables:
         return self._delinquency_outputs.bad
 
 
-def clean_all(customers: DataFrame, loans: DataFrame, repayments: DataFrame,
-              delinquencies: DataFrame, mode: str = "reference") -> CleanTables:
-    """The four cleaners' outputs (lazily); customers come with published types."""
-    raw = {"customers": customers, "loans": loans, "repayments": repayments, "delinquencies": delinquencies}
-    return CleanTables(raw.__getitem__, mode)
+# ------------------------------------------------------------- stage counts
+def customer_counts(raw: DataFrame) -> DataFrame:
+    """One row: customers_raw, customers_clean, customers_bad, in one pass.
+
+    Equal rows fold into one with their number (the DISTINCT), those into one
+    row per member, and the members are summed.
+    """
+    rows = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("_n"))
+    kept = F.col("annual_income").isNotNull() & F.col("member_id").isNotNull()
+    members = rows.groupBy("member_id").agg(F.sum("_n").alias("_raw"), F.count_if(kept).alias("_kept"))
+    return members.agg(_total("_raw", "customers_raw"), F.count_if(F.col("_kept") == 1).alias("customers_clean"),
+                       _total(F.when(F.col("_kept") > 1, F.col("_kept")), "customers_bad"))
+
+
+def delinquency_counts(raw: DataFrame) -> DataFrame:
+    """One row: delinquencies_raw, delinquent_members, public_records, delinquencies_bad, in one pass."""
+    signal = has_delinquency_signal()
+    filled = raw.select("member_id", *[c for c in raw.columns if c == "mths_since_last_delinq"],
+                        fx.count_or_zero("delinq_2yrs").alias("delinq_2yrs"))
+    members = filled.groupBy("member_id").agg(F.count(F.lit(1)).alias("_n"), F.max(signal).alias("_signal"))
+    known = F.col("member_id").isNotNull()
+    single = known & (F.col("_n") == 1)
+    return members.agg(_total("_n", "delinquencies_raw"), F.count_if(single & F.col("_signal")).alias("delinquent_members"),
+                       F.count_if(single).alias("public_records"),
+                       _total(F.when(known & (F.col("_n") > 1), F.col("_n")), "delinquencies_bad"))
+
+
+def loan_counts(raw: DataFrame) -> DataFrame:
+    """One row: loans_raw, loans_clean."""
+    return raw.agg(F.count(F.lit(1)).alias("loans_raw"), F.count_if(all_present(raw, LOAN_REQUIRED)).alias("loans_clean"))
+
+
+def repayment_counts(raw: DataFrame) -> DataFrame:
+    """One row: repayments_raw, repayments_clean."""
+    total = fx.repaired_total("total_principal_received", "total_interest_received", "total_late_fee_received",
+                              "total_payment_received")
+    return raw.agg(F.count(F.lit(1)).alias("repayments_raw"),
+                   F.count_if(all_present(raw, REPAYMENT_REQUIRED) & (total != 0)).alias("repayments_clean"))
+
+
+def _total(value: str | Column, name: str) -> Column:
+    column = F.col(value) if isinstance(value, str) else value
+    return F.coalesce(F.sum(column), F.lit(0)).alias(name)

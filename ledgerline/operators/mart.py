@@ -9,11 +9,12 @@ heavy side here is the right one (loans). The equivalent plan used here is
 * loans LEFT JOIN repayments on loan_id (loan grain, no hot keys);
 * customers LEFT JOIN delinquencies LEFT JOIN public records on member_id
   (customer grain, unique keys, one shared partitioning);
-* the loan side INNER JOIN the customer side on member_id, joining members
-  that own a large share of the loans map-side (``skew.skew_join``), UNION ALL
-  customers without any loan (anti join against the loan members' counts,
-  which partial aggregation collapses before the shuffle).
+* the customer side LEFT JOIN the loan side on member_id and salt
+  (``skew.salted``): a member with more loans than one task is to take is
+  repeated once per salt, and the empty rows of repeats without loans are
+  dropped (such a member has loans under other salts).
 
+Each side is built once; loans are read once more for the counts per member.
 It returns exactly the rows of the LEFT JOIN chain.
 """
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.skew import key_row_counts, skew_join
+from ledgerline.operators.skew import ROWS_PER_TASK, key_row_counts, salted
 
 # ---- fixed values: mart columns in output order, grouped by source table ----
 CUSTOMER_COLS = ["member_id", "emp_title", "emp_length", "home_ownership", "annual_income",
@@ -47,28 +48,20 @@ def customer_loan_mart(customers: DataFrame, loans: DataFrame, repayments: DataF
     member_side = (customers.select(*CUSTOMER_COLS)
                    .join(delinquents.select("member_id", *DELINQUENCY_COLS), "member_id", "left")
                    .join(public_records.select("member_id", *PUBLIC_RECORD_COLS), "member_id", "left"))
-    loan_members = key_row_counts(loans, "member_id")
-    # a member may own a large share of all loans: hot members join map-side
-    with_loans = skew_join(loan_side, member_side, "member_id", "inner", counts=loan_members)
-    loan_schema = {f.name: f.dataType for f in loan_side.schema.fields}
-    without_loans = (member_side.join(loan_members, "member_id", "left_anti")
-                     .select("*", *[F.lit(None).cast(loan_schema[c]).alias(c)
-                                    for c in ["loan_id", *LOAN_COLS, *REPAYMENT_COLS]]))
-    return with_loans.select(*MART_COLUMNS).unionByName(without_loans.select(*MART_COLUMNS))
+    loan_rows, members = salted(loan_side.withColumn("_has_loan", F.lit(True)), member_side, "member_id",
+                                counts=key_row_counts(loans, "member_id"))
+    wide = members.join(loan_rows, ["member_id", "_salt"], "left")
+    return wide.filter(F.col("_has_loan").isNotNull() | (F.col("_salts") == 1)).select(*MART_COLUMNS)
 
 
-def mart_view_sql(db: str, view: str = "customers_loan_v", budget: int = 10_000) -> str:
+def mart_view_sql(db: str, view: str = "customers_loan_v", limit: int = ROWS_PER_TASK) -> str:
     """CREATE OR REPLACE VIEW over the published catalog tables.
 
     Same plan shape as ``customer_loan_mart``, written as SQL because a
-    permanent view is stored as query text: members owning more than
-    ``1/budget`` of the loans (fewer than ``budget`` of them, broadcast) are
-    joined map-side, all other loans through the shuffle join.
+    permanent view is stored as query text; ``limit`` is the rows per task.
     """
     member_cols = set(CUSTOMER_COLS + DELINQUENCY_COLS + PUBLIC_RECORD_COLS)
     joined = ", ".join(f"m.{c}" if c in member_cols else f"s.{c}" for c in MART_COLUMNS)
-    lonely = ", ".join(f"m.{c}" if c in member_cols else f"CAST(NULL AS {_LOAN_TYPES[c]}) AS {c}"
-                       for c in MART_COLUMNS)
     loan = ", ".join(f"l.{c}" for c in LOAN_COLS)
     rep = ", ".join(f"r.{c}" for c in REPAYMENT_COLS)
     cust = ", ".join(f"c.{c}" for c in CUSTOMER_COLS)
@@ -76,40 +69,24 @@ def mart_view_sql(db: str, view: str = "customers_loan_v", budget: int = 10_000)
     pr = ", ".join(f"e.{c}" for c in PUBLIC_RECORD_COLS)
     return f"""
 CREATE OR REPLACE VIEW {db}.{view} AS
-WITH loan_side AS (
-  SELECT l.loan_id, l.member_id, {loan}, {rep}
+WITH hot AS (
+  SELECT member_id AS hot_id, CAST(ceil(COUNT(*) / {limit}) AS INT) AS salts
+  FROM {db}.loans WHERE member_id IS NOT NULL GROUP BY member_id HAVING COUNT(*) > {limit}
+), loan_side AS (
+  SELECT /*+ BROADCAST(h) */ l.loan_id, l.member_id, {loan}, {rep}, TRUE AS has_loan,
+    CAST(pmod(xxhash64(l.loan_id, l.member_id, spark_partition_id()), coalesce(h.salts, 1)) AS INT) AS salt
   FROM {db}.loans l LEFT JOIN {db}.repayments r ON l.loan_id = r.loan_id
+  LEFT JOIN hot h ON l.member_id = h.hot_id
 ), member_side AS (
-  SELECT {cust}, {dq}, {pr}
+  SELECT /*+ BROADCAST(h) */ {cust}, {dq}, {pr}, coalesce(h.salts, 1) AS salts
   FROM {db}.customers c
   LEFT JOIN {db}.delinquencies d ON c.member_id = d.member_id
   LEFT JOIN {db}.delinquencies_public_records e ON c.member_id = e.member_id
-), loan_members AS (
-  SELECT member_id, COUNT(*) AS n FROM {db}.loans WHERE member_id IS NOT NULL GROUP BY member_id
-), hot AS (
-  SELECT member_id AS hot_id FROM loan_members
-  WHERE n * {budget} > (SELECT SUM(n) FROM loan_members)
-), hot_members AS (
-  SELECT /*+ BROADCAST(h) */ m.* FROM member_side m LEFT SEMI JOIN hot h ON m.member_id = h.hot_id
+  LEFT JOIN hot h ON c.member_id = h.hot_id
+), members AS (
+  SELECT *, explode(sequence(0, salts - 1)) AS salt FROM member_side
 )
-SELECT /*+ BROADCAST(h), BROADCAST(m) */ {joined}
-FROM loan_side s LEFT SEMI JOIN hot h ON s.member_id = h.hot_id
-JOIN hot_members m ON m.member_id = s.member_id
-UNION ALL
-SELECT /*+ BROADCAST(h) */ {joined}
-FROM loan_side s LEFT ANTI JOIN hot h ON s.member_id = h.hot_id
-JOIN member_side m ON m.member_id = s.member_id
-UNION ALL
-SELECT {lonely} FROM member_side m LEFT ANTI JOIN loan_members x ON x.member_id = m.member_id
+SELECT {joined}
+FROM members m LEFT JOIN loan_side s ON s.member_id = m.member_id AND s.salt = m.salt
+WHERE s.has_loan IS NOT NULL OR m.salts = 1
 """
-
-
-_LOAN_TYPES = {
-    "loan_id": "STRING",
-    "loan_amount": "FLOAT", "funded_amount": "FLOAT", "loan_term_years": "INT",
-    "interest_rate": "FLOAT", "monthly_installment": "FLOAT", "issue_date": "STRING",
-    "loan_status": "STRING", "loan_purpose": "STRING",
-    "total_principal_received": "FLOAT", "total_interest_received": "FLOAT",
-    "total_late_fee_received": "FLOAT", "last_payment_date": "STRING",
-    "next_payment_date": "STRING",
-}

@@ -26,6 +26,7 @@ def top_k(df: DataFrame, column: str, k: int, total: str = "total") -> DataFrame
 
 
 def bottom_k(df: DataFrame, column: str, k: int, total: str = "total") -> DataFrame:
+    """The k least frequent values (value ascending breaks ties)."""
     return frequency(df, column, False, total).limit(k)
 
 
@@ -45,12 +46,15 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """(stage, row_count) for several outputs, as one union of aggregates."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
-               .select(F.lit(name).alias("stage"), "row_count")
-             for name, df in stages.items()]
-    return reduce(DataFrame.unionByName, parts)
+def as_rows(counts: DataFrame) -> DataFrame:
+    """(stage, row_count): one row per column of a one-row DataFrame of counts."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).alias("row_count")) for c in counts.columns])
+    return counts.select(F.explode(pairs).alias("c")).select("c.stage", "c.row_count")
+
+
+def row_counts(counts: list[DataFrame]) -> DataFrame:
+    """(stage, row_count) of several one-row DataFrames, each with a column per stage."""
+    return reduce(DataFrame.unionByName, [as_rows(c) for c in counts])
 
 
 def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:

@@ -3,14 +3,15 @@ mean imputation."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.skew import session_budget, skew_join
+from ledgerline.operators.skew import skew_join
 
 
 class Split(NamedTuple):
@@ -24,45 +25,11 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def split_unique(df: DataFrame, key: str) -> Split:
-    """Quarantine rows with a duplicated key.
-
-    ``clean`` keeps rows whose key occurs once, ``bad`` keeps all rows of keys
-    that occur more than once. Rows with a NULL key are in neither output
-    (``NULL IN (...)`` is never true) and are dropped before any shuffle.
-
-    Plan: partial + final count per key; *hot* keys are duplicated keys
-    holding more than ``1/budget`` of the rows (fewer than ``budget``, so the
-    list is broadcast). A hot key can only be in ``bad``: ``clean`` drops its
-    rows map-side (broadcast anti join) and semi-joins the rest against the
-    keys seen once; ``bad`` takes hot rows map-side (broadcast semi join) plus
-    the other rows semi-joined against the duplicated keys. No task receives
-    a hot key's rows, and no salt is involved (deterministic on retries).
-    """
-    rows = df.filter(F.col(key).isNotNull())
-    counts = key_counts(rows, key)
-    total = counts.agg(F.sum("_rows")).scalar()
-    budget = session_budget(df)
-    hot = F.broadcast(counts.filter((F.col("_rows") > 1) & (F.col("_rows") * budget > total))
-                      .select(F.col(key).alias("_hot_key")))
-    cold_rows = rows.join(hot, rows[key] == hot["_hot_key"], "left_anti")
-
-    def keys(cond) -> DataFrame:
-        return counts.filter(cond).select(F.col(key).alias("_key"))
-
-    once = keys(F.col("_rows") == 1)
-    clean = cold_rows.join(once, cold_rows[key] == once["_key"], "left_semi")
-    dup = keys(F.col("_rows") > 1)
-    bad = (rows.join(hot, rows[key] == hot["_hot_key"], "left_semi")
-           .unionByName(cold_rows.join(dup, cold_rows[key] == dup["_key"], "left_semi")))
-    return Split(clean.select(*df.columns), bad.select(*df.columns))
-
-
 def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFrame:
     """Rows with a non-NULL key, each tagged with how often its key occurs.
 
-    One shuffle of the (non-hot) rows serves both outputs of a split when the
-    tagged rows are materialised once.
+    One shuffle of the rows, salted where a key has more rows than a task is
+    to take. Rows with a NULL key are dropped before any shuffle.
     """
     rows = df.filter(F.col(key).isNotNull())
     counts = key_counts(rows, key)
@@ -70,19 +37,22 @@ def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFra
     return tagged.select(*df.columns, F.col("_rows").alias(count_col))
 
 
-def split_tagged(tagged: DataFrame, count_col: str = "_rows") -> Split:
-    """Clean/bad outputs from ``tag_key_counts`` rows (two narrow filters)."""
-    return Split(tagged.filter(F.col(count_col) == 1).drop(count_col),
-                 tagged.filter(F.col(count_col) > 1).drop(count_col))
+def split_unique(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> Split:
+    """Quarantine rows with a duplicated key.
 
+    ``clean`` keeps rows whose key occurs once, ``bad`` keeps all rows of keys
+    that occur more than once. Rows with a NULL key are in neither output
+    (``NULL IN (...)`` is never true). Both outputs are filters of the same
+    tagged rows; ``cut`` materialises those once for jobs that write both.
+    """
+    tagged = tag_key_counts(df, key)
+    tagged = tagged if cut is None else cut(tagged)
+    return Split(tagged.filter(F.col("_rows") == 1).drop("_rows"),
+                 tagged.filter(F.col("_rows") > 1).drop("_rows"))
 
-def drop_missing(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Drop rows with NULL (or NaN, for floating columns) in any of ``columns``.
 
-    Same rows as ``na.drop(how="any", subset=columns)``, but written as one
-    ``IS NOT NULL`` per column so the checks are pushed into the file scan
-    (``PushedFilters``), where ``na.drop``'s combined predicate is not.
-    """
+def all_present(df: DataFrame, columns: list[str]) -> Column:
+    """True where no column is NULL (or NaN, for floating columns)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     conds = []
     for c in columns:
@@ -90,7 +60,17 @@ def drop_missing(df: DataFrame, columns: list[str]) -> DataFrame:
         if isinstance(types[c], (T.FloatType, T.DoubleType)):
             cond = cond & ~F.isnan(F.col(c))
         conds.append(cond)
-    return df.filter(reduce(lambda a, b: a & b, conds))
+    return reduce(lambda a, b: a & b, conds)
+
+
+def drop_missing(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Drop rows with NULL (or NaN, for floating columns) in any of ``columns``.
+
+    Same rows as ``na.drop(how="any", subset=columns)``, but written as one
+    ``IS NOT NULL`` per column so the checks are pushed into the file scan
+    (``PushedFilters``), where ``na.drop``'s combined predicate is not.
+    """
+    return df.filter(all_present(df, columns))
 
 
 def floor_mean(df: DataFrame, column: str):

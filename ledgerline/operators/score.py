@@ -5,11 +5,12 @@ Inputs are the published tables (``clean.CleanTables`` or catalog tables).
 Grain. The published score is at *member x repaid loan x loan* grain: payment
 points are computed per repaid loan, then every loan of the member is joined
 back on member_id, so a member with m repaid loans and n loans yields m*n
-rows. ``credit_score`` keeps that result exactly, but never materialises the
-pairs inside a join: each side is first collapsed to its distinct point
-combinations per member with a row weight (both bounded by the rule tables,
-at most 20 and 36 rows per member), the bounded sides are joined, and the
-output multiplicity is restored by ``expand_weighted`` in skew-proof chunks.
+rows, all copies of at most a few hundred distinct ones. ``credit_score`` and
+``financial_health_points`` return each distinct row once with the number of
+published rows it stands for (``n_rows``, DECIMAL(38,0)): each side is collapsed
+to its distinct point combinations per member with a row count (both bounded
+by the rule tables, at most 20 and 36 rows per member) and only those meet.
+No pairs of rows are ever formed, however many loans a member has.
 ``credit_score_per_loan`` is the one-row-per-loan form (repayment and loan
 matched on loan_id).
 """
@@ -20,12 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import rules
-from ledgerline.operators.expand import DEFAULT_CHUNK_ROWS, expand_weighted
-from ledgerline.operators.skew import skew_join
+from ledgerline.operators.skew import key_row_counts, skew_join
 
 PAYMENT_PTS = ["last_payment_pts", "total_payment_pts"]
 DEFAULTER_PTS = ["delinq_pts", "public_records_pts", "public_bankruptcies_pts", "enq_pts"]
 HEALTH_PTS = ["loan_status_pts", "home_pts", "credit_limit_pts", "grade_pts"]
+#: Row counts multiply, so they outgrow BIGINT.
+COUNT_TYPE = "decimal(38,0)"
 SCORE_COLS = ["payment_history_pts", "defaulters_history_pts", "financial_health_pts", "credit_score"]
 
 
@@ -58,19 +60,23 @@ def _score_exprs() -> list[Column]:
             fh.alias("financial_health_pts"), (ph + dh + fh).alias("credit_score")]
 
 
+def _credit_profile(customers: DataFrame) -> DataFrame:
+    return customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
+
+
 # ------------------------------------------------------------- components
 def payment_points(repayments: DataFrame, loans: DataFrame) -> DataFrame:
     """Repayment matched with its loan: (loan_id, member_id, 2 points)."""
-    p = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
-    c = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount")
-    return p.join(c, "loan_id").select("loan_id", "member_id", *_payment_exprs())
+    paid = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
+    owed = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount")
+    return paid.join(owed, "loan_id").select("loan_id", "member_id", *_payment_exprs())
 
 
 def defaulter_points(public_records: DataFrame, delinquents: DataFrame) -> DataFrame:
     """Members present in both delinquency tables: (member_id, 4 points)."""
-    d = delinquents.select("member_id", "delinq_2yrs")
-    l = public_records.select("member_id", "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
-    return l.join(d, "member_id").select(
+    late = delinquents.select("member_id", "delinq_2yrs")
+    records = public_records.select("member_id", "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
+    return records.join(late, "member_id").select(
         "member_id",
         rules.delinquency_points(F.col("delinq_2yrs")).alias("delinq_pts"),
         rules.public_record_points(F.col("pub_rec")).alias("public_records_pts"),
@@ -79,16 +85,19 @@ def defaulter_points(public_records: DataFrame, delinquents: DataFrame) -> DataF
     )
 
 
-def loan_history_points(payment: DataFrame, defaulters: DataFrame) -> DataFrame:
-    """Payment points of delinquent members (one row per repaid loan)."""
-    return skew_join(payment, defaulters, "member_id").select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS)
+def loan_history_points(payment: DataFrame, defaulters: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Payment points of delinquent members (one row per repaid loan).
+
+    ``counts`` (member_id, _n) may give at least the rows of each member, which
+    spares a second pass over the payment join.
+    """
+    return skew_join(payment, defaulters, "member_id", counts=counts).select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS)
 
 
 def loan_health_points(loans: DataFrame, customers: DataFrame) -> DataFrame:
     """Per loan: (loan_id, member_id, 4 financial-health points)."""
-    l = loans.select("loan_id", "member_id", "loan_status", "funded_amount")
-    a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    return skew_join(l, a, "member_id").select("loan_id", "member_id", *_health_exprs())
+    held = loans.select("loan_id", "member_id", "loan_status", "funded_amount")
+    return skew_join(held, _credit_profile(customers), "member_id").select("loan_id", "member_id", *_health_exprs())
 
 
 # ------------------------------------------------------ weighted member sides
@@ -111,9 +120,8 @@ def _weighted_health(loans, customers) -> DataFrame:
                           rules.loan_status_points(F.col("loan_status")).alias("loan_status_pts"))
                   .groupBy("member_id", "loan_status_pts", "funded_amount")
                   .agg(F.count(F.lit(1)).alias("_n")))
-    a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
     _, home, limit, grade = _health_exprs()
-    scored = skew_join(per_amount, a, "member_id").select(
+    scored = skew_join(per_amount, _credit_profile(customers), "member_id").select(
         "member_id", "loan_status_pts", home, limit, grade, "_n")
     return scored.groupBy("member_id", *HEALTH_PTS).agg(F.sum("_n").alias("_wr"))
 
@@ -123,44 +131,37 @@ def _weighted_fanout(repayments, loans, public_records, delinquents, customers)
     right = _weighted_health(loans, customers)
     return (left.join(right, "member_id")
             .select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS, *HEALTH_PTS,
-                    (F.col("_wl") * F.col("_wr")).alias("_w")))
+                    (F.col("_wl").cast(COUNT_TYPE) * F.col("_wr").cast(COUNT_TYPE)).cast(COUNT_TYPE).alias("n_rows")))
 
 
 # ------------------------------------------------------------------ results
-def financial_health_points(repayments, loans, public_records, delinquents, customers,
-                            partitions: int, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """All ten point columns at the published (m x n per member) grain."""
-    combos = _weighted_fanout(repayments, loans, public_records, delinquents, customers)
-    return expand_weighted(combos, "_w", partitions, chunk_rows)
+def financial_health_points(repayments, loans, public_records, delinquents, customers) -> DataFrame:
+    """All ten point columns, each distinct row of a member once, with ``n_rows``."""
+    return _weighted_fanout(repayments, loans, public_records, delinquents, customers)
 
 
-def credit_score(repayments, loans, public_records, delinquents, customers,
-                 partitions: int, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def credit_score(repayments, loans, public_records, delinquents, customers) -> DataFrame:
     """(member_id, payment_history_pts, defaulters_history_pts,
-    financial_health_pts, credit_score) at the published grain.
+    financial_health_pts, credit_score, n_rows), one row per distinct score of a member.
 
     Weights: 20 % payment history, 45 % defaulters history, 35 % financial
     health; decimal arithmetic; NULL when any part is NULL.
     """
     combos = _weighted_fanout(repayments, loans, public_records, delinquents, customers)
-    scored = (combos.select("member_id", *_score_exprs(), "_w")
-              .groupBy("member_id", *SCORE_COLS).agg(F.sum("_w").alias("_w")))
-    return expand_weighted(scored, "_w", partitions, chunk_rows)
+    return (combos.select("member_id", *_score_exprs(), "n_rows").groupBy("member_id", *SCORE_COLS)
+            .agg(F.sum("n_rows").cast(COUNT_TYPE).alias("n_rows")))
 
 
 def credit_score_per_loan(repayments, loans, public_records, delinquents, customers) -> DataFrame:
     """One row per repaid loan of a delinquent member; no member fan-out.
 
-    Loans are scanned once: repayment and loan meet on loan_id, then the
-    member-grain tables (customer, delinquency points) join on member_id and
-    share one partitioning.
+    Repayment and loan meet on loan_id; the member-grain tables (customer,
+    delinquency points) join on member_id and share one partitioning, then
+    meet the loans in one salted join.
     """
-    p = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
-    l = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount", "loan_status")
-    a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    # member-grain sides first (one row per member each), then one
-    # hot-key-aware join with the loan-grain rows
-    members = a.join(defaulter_points(public_records, delinquents), "member_id")
-    per_loan = skew_join(p.join(l, "loan_id"), members, "member_id")
+    paid = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
+    owed = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount", "loan_status")
+    members = _credit_profile(customers).join(defaulter_points(public_records, delinquents), "member_id")
+    per_loan = skew_join(paid.join(owed, "loan_id"), members, "member_id", counts=key_row_counts(loans, "member_id"))
     pts = per_loan.select("loan_id", "member_id", *_payment_exprs(), *DEFAULTER_PTS, *_health_exprs())
     return pts.select("loan_id", "member_id", *_score_exprs())

@@ -10,11 +10,12 @@ Stages
 3. Write eight CSV outputs (header, overwrite) below ``out_root/cleaned``.
 4. Register five external tables over them in database ``db`` (or, with
    ``table_buckets``, Parquet tables bucketed on their join keys).
-5. Score from the catalog tables and write ``out_root/processed/credit_score``
+5. Create or replace the 35-column customer-loan view over the tables.
+6. Score from the catalog tables and write ``out_root/processed/credit_score``
    as CSV (and Parquet when asked).
 
-Everything runs as Spark jobs; the driver only issues DDL and collects the
-row counts of the written outputs for the returned report.
+Everything runs as Spark jobs; the driver only issues DDL and returns the
+paths of the outputs. A second run over the same database replaces everything.
 """
 
 from __future__ import annotations
@@ -22,12 +23,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.operators import clean, score
-from ledgerline.operators.quality import fill_zero_counts, split_tagged, tag_key_counts
-from ledgerline.session import default_parallelism, shared_dir
+from ledgerline.operators import clean, mart, score
+from ledgerline.session import shared_dir
 from ledgerline.sources import catalog, files
 
 
@@ -55,26 +54,6 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _clean_customers(raw: DataFrame, mode: str):
-    st = clean.customer_stages(raw)
-    base = st.emp_length_int if mode == "reference" else st.state_clean
-    # rows are shuffled once, tagged with their key count, and materialised;
-    # the clean and bad sinks are two filters over the checkpoint
-    return split_tagged(_cut(tag_key_counts(base, "member_id")))
-
-
-def _clean_delinquencies(raw: DataFrame):
-    unique, bad = split_tagged(_cut(tag_key_counts(raw, "member_id")))
-    processed = fill_zero_counts(unique, ["delinq_2yrs"])
-    delinquents = (processed
-                   .filter((F.col("delinq_2yrs") > 0) | (F.col("mths_since_last_delinq") > 0))
-                   .select("member_id", "delinq_2yrs", "delinq_amnt",
-                           F.col("mths_since_last_delinq").cast("int").alias("mths_since_last_delinq")))
-    public = fill_zero_counts(processed, clean.PUBLIC_RECORD_COUNTS).select(
-        "member_id", *clean.PUBLIC_RECORD_COUNTS)
-    return delinquents, public, bad
-
-
 def run_batch(spark: SparkSession, p: BatchPaths) -> dict[str, str]:
     """Run the job; returns {output name: path}."""
     cleaned = f"{p.out_root.rstrip('/')}/cleaned"
@@ -85,16 +64,15 @@ def run_batch(spark: SparkSession, p: BatchPaths) -> dict[str, str]:
         files.write_csv(df, path)
         out[name] = path
 
-    customers, customers_bad = _clean_customers(files.read_customers(spark, p.customers, p.ingest_ts), p.mode)
+    customers, customers_bad = clean.clean_customers(files.read_customers(spark, p.customers, p.ingest_ts), p.mode, _cut)
     sink("customers", customers)
     sink("customers_bad_data", customers_bad)
     sink("loans", clean.clean_loans(files.read_loans(spark, p.loans, p.ingest_ts)))
     sink("repayments", clean.clean_repayments(files.read_repayments(spark, p.repayments, p.ingest_ts), p.mode))
-    delinquents, public, delinquencies_bad = _clean_delinquencies(
-        files.read_delinquencies(spark, p.delinquencies, p.ingest_ts))
-    sink("delinquencies", delinquents)
-    sink("delinquencies_bad_data", delinquencies_bad)
-    sink("delinquencies_public_records", public)
+    late = clean.clean_delinquencies(files.read_delinquencies(spark, p.delinquencies, p.ingest_ts), _cut)
+    sink("delinquencies", late.delinquents)
+    sink("delinquencies_bad_data", late.bad)
+    sink("delinquencies_public_records", late.public_records)
 
     catalog.create_database(spark, p.db)
     if p.table_buckets > 0:
@@ -109,9 +87,10 @@ def run_batch(spark: SparkSession, p: BatchPaths) -> dict[str, str]:
         for name in schemas.PUBLISHED:
             catalog.create_external_table(spark, f"{p.db}.{name}", schemas.PUBLISHED[name], out[name])
 
+    catalog.create_view(spark, mart.mart_view_sql(p.db))
     t = {name: spark.table(f"{p.db}.{name}") for name in schemas.PUBLISHED}
     scores = score.credit_score(t["repayments"], t["loans"], t["delinquencies_public_records"],
-                                t["delinquencies"], t["customers"], partitions=default_parallelism(spark))
+                                t["delinquencies"], t["customers"])
     processed = f"{p.out_root.rstrip('/')}/processed"
     files.write_csv(scores, f"{processed}/credit_score")
     out["credit_score"] = f"{processed}/credit_score"

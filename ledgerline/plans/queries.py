@@ -21,14 +21,16 @@ from ledgerline.functions import cleaning as fx
 from ledgerline.functions import rules
 from ledgerline.operators import clean, mart, profile, score
 from ledgerline.operators.quality import split_unique
-from ledgerline.session import default_parallelism, scratch_path
+from ledgerline.operators.skew import key_row_counts, rows_per_task
+from ledgerline.plans.batch import BatchPaths, run_batch
+from ledgerline.session import scratch_path
 from ledgerline.sources import catalog, files
 from ledgerline.sources.fixtures import RAW_SCHEMAS, LendingInputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SCORE_DOUBLE = ["payment_history_pts", "defaulters_history_pts", "financial_health_pts", "credit_score"]
+SCORE_DOUBLE = ["payment_history_pts", "defaulters_history_pts", "financial_health_pts", "credit_score", "n_rows"]
 
 
 def query(fn: Query) -> Query:
@@ -71,17 +73,16 @@ def _score_args(t: clean.CleanTables):
     return t.repayments, t.loans, t.public_records, t.delinquencies, t.customers
 
 
-def _published(t: clean.CleanTables) -> dict[str, DataFrame]:
-    return {"customers": t.customers, "loans": t.loans, "repayments": t.repayments,
-            "delinquencies": t.delinquencies, "delinquencies_public_records": t.public_records}
-
-
-def _publish_catalog(spark, sf_dir) -> str:
-    """Write the five cleaned tables as CSV and register external tables."""
+def _publish_catalog(spark, sf_dir, names=tuple(schemas.PUBLISHED)) -> str:
+    """Write cleaned tables as CSV and register external tables."""
+    tables = {
+        "customers": lambda t: t.customers, "loans": lambda t: t.loans, "repayments": lambda t: t.repayments,
+        "delinquencies": lambda t: t.delinquencies, "delinquencies_public_records": lambda t: t.public_records}
+    chosen = {name: tables[name](_tables(spark, sf_dir)) for name in names}
     db = f"lending_{uuid.uuid4().hex[:12]}"
     root = scratch_path(spark, db)
     catalog.create_database(spark, db, f"{root}/_warehouse")
-    catalog.publish(spark, _published(_tables(spark, sf_dir)), db, root, fmt="csv")
+    catalog.publish(spark, chosen, db, root, fmt="csv")
     return db
 
 
@@ -107,6 +108,15 @@ def scan_loans(spark, sf_dir):
     return _scan_roundtrip(spark, sf_dir, "loans")
 
 
+@query
+def scan_loans_ingest_time(spark, sf_dir):
+    """A scan with the ingest time pinned, so that the column can be compared (as text)."""
+    path = scratch_path(spark, "raw_loans")
+    files.write_csv(_inputs(spark, sf_dir).raw("loans", ingest=False), path, keep_whitespace=True)
+    loans = files.read_loans(spark, path, ingest_ts="2024-01-02 03:04:05")
+    return loans.withColumn("ingest_date", F.date_format("ingest_date", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def scan_repayments(spark, sf_dir):
     return _scan_roundtrip(spark, sf_dir, "repayments")
@@ -137,7 +147,7 @@ def rename_raw_columns(spark, sf_dir):
 
 @query
 def scan_external_table(spark, sf_dir):
-    db = _publish_catalog(spark, sf_dir)
+    db = _publish_catalog(spark, sf_dir, ["loans"])
     return _drop(spark.table(f"{db}.loans"))
 
 
@@ -152,7 +162,7 @@ def sink_csv_roundtrip(spark, sf_dir):
 @query
 def sink_parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "credit_score_parquet")
-    scores = score.credit_score(*_score_args(_tables(spark, sf_dir)), partitions=default_parallelism(spark))
+    scores = score.credit_score(*_score_args(_tables(spark, sf_dir)))
     files.write_parquet(scores, path)
     return _as_double(spark.read.parquet(path), SCORE_DOUBLE)
 
@@ -160,7 +170,7 @@ def sink_parquet_roundtrip(spark, sf_dir):
 @query
 def customers_loan_view(spark, sf_dir):
     db = _publish_catalog(spark, sf_dir)
-    catalog.create_view(spark, mart.mart_view_sql(db))
+    catalog.create_view(spark, mart.mart_view_sql(db, limit=rows_per_task(spark.table(f"{db}.loans"))))
     return spark.table(f"{db}.customers_loan_v")
 
 
@@ -394,20 +404,18 @@ def grade_points(spark, sf_dir):
 def loan_history_points(spark, sf_dir):
     t = _tables(spark, sf_dir)
     pay = score.payment_points(t.repayments, t.loans)
-    return score.loan_history_points(pay, score.defaulter_points(t.public_records, t.delinquencies))
+    return score.loan_history_points(pay, score.defaulter_points(t.public_records, t.delinquencies),
+                                     key_row_counts(t.loans, "member_id"))
 
 
 @query
 def financial_health_points(spark, sf_dir):
-    fh = score.financial_health_points(*_score_args(_tables(spark, sf_dir)),
-                                       partitions=default_parallelism(spark))
-    return fh.withColumn("grade_pts", F.col("grade_pts").cast("double"))
+    return _as_double(score.financial_health_points(*_score_args(_tables(spark, sf_dir))), ["grade_pts", "n_rows"])
 
 
 @query
 def credit_score(spark, sf_dir):
-    s = score.credit_score(*_score_args(_tables(spark, sf_dir)), partitions=default_parallelism(spark))
-    return _as_double(s, SCORE_DOUBLE)
+    return _as_double(score.credit_score(*_score_args(_tables(spark, sf_dir))), SCORE_DOUBLE)
 
 
 @query
@@ -448,6 +456,11 @@ def top_duplicate_members(spark, sf_dir):
     return profile.top_k(_cust(spark, sf_dir).state_clean, "member_id", 5)
 
 
+@query
+def bottom_last_payment_dates(spark, sf_dir):
+    return profile.bottom_k(_rep(spark, sf_dir).nonzero, "last_payment_date", 178)
+
+
 @query
 def profile_null_loan_amount(spark, sf_dir):
     l = _inputs(spark, sf_dir).raw("loans")
@@ -507,15 +520,11 @@ def profile_null_delinq(spark, sf_dir):
 @query
 def row_counts(spark, sf_dir):
     i = _inputs(spark, sf_dir)
-    t = _tables(spark, sf_dir)
-    return profile.row_counts({
-        "customers_raw": i.raw("customers"), "customers_clean": t.customers,
-        "customers_bad": t.customers_bad, "loans_raw": i.raw("loans"), "loans_clean": t.loans,
-        "repayments_raw": i.raw("repayments"), "repayments_clean": t.repayments,
-        "delinquencies_raw": i.raw("delinquencies"), "delinquent_members": t.delinquencies,
-        "public_records": t.public_records, "delinquencies_bad": t.delinquencies_bad,
-        "credit_score_per_loan": score.credit_score_per_loan(*_score_args(t)),
-    })
+    per_loan = score.credit_score_per_loan(*_score_args(_tables(spark, sf_dir)))
+    return profile.row_counts([
+        clean.customer_counts(i.raw("customers")), clean.loan_counts(i.raw("loans")),
+        clean.repayment_counts(i.raw("repayments")), clean.delinquency_counts(i.raw("delinquencies")),
+        profile.count_rows(per_loan, None, "credit_score_per_loan")])
 
 
 @query
@@ -523,6 +532,35 @@ def preview_rows(spark, sf_dir):
     return _drop(profile.preview(_tables(spark, sf_dir).loans, 20, ["loan_id"]))
 
 
+# -------------------------------------------------------------------- batch
+def _batch(spark, sf_dir, runs: int) -> dict[str, str]:
+    """The whole job over raw CSV exports, ``runs`` times into the same database and folder."""
+    raw = {name: scratch_path(spark, f"raw_{name}") for name in RAW_SCHEMAS}
+    for name, path in raw.items():
+        files.write_csv(_inputs(spark, sf_dir).raw(name, ingest=False), path, keep_whitespace=True)
+    db = f"lending_{uuid.uuid4().hex[:12]}"
+    root = scratch_path(spark, db)
+    catalog.create_database(spark, db, f"{root}/_warehouse")
+    for _ in range(runs):
+        out = run_batch(spark, BatchPaths(out_root=root, db=db, write_parquet_score=True, **raw))
+    return out
+
+
+@query
+def batch_credit_score(spark, sf_dir):
+    """Run twice: the second run drops, replaces and overwrites what the first made."""
+    return _as_double(spark.read.parquet(_batch(spark, sf_dir, 2)["credit_score_parquet"]), SCORE_DOUBLE)
+
+
+@query
+def batch_customers_bad_data(spark, sf_dir):
+    path = _batch(spark, sf_dir, 1)["customers_bad_data"]
+    bad = [f for f in schemas.RAW_CUSTOMERS.fields if f.name != "emp_length"]
+    columns = {f.name: f.dataType for f in bad} | {"emp_length": schemas.PUBLISHED_CUSTOMERS["emp_length"].dataType}
+    written = spark.read.csv(path, header=True)
+    return written.select(*[F.col(f.name).cast(columns[f.name]) for f in schemas.RAW_CUSTOMERS.fields])
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

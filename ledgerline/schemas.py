@@ -9,69 +9,59 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "float": T.FloatType(),
-    "timestamp": T.TimestampType(),
-}
-
 
-def _struct(spec: str) -> T.StructType:
-    """Build a StructType from ``"name type, name type, ..."`` text."""
-    fields = []
-    for item in spec.split(","):
-        name, typ = item.split()
-        fields.append(T.StructField(name, _TYPES[typ], True))
-    return T.StructType(fields)
+def _struct(**columns: str) -> T.StructType:
+    """Nullable columns in order (``StructType.fromDDL`` needs a session, which there is none of at import)."""
+    schema = T.StructType()
+    for name, kind in columns.items():
+        schema.add(name, kind)
+    return schema
 
 
 # ---- fixed values: column names, order and types of the lending relations ----
 RAW_CUSTOMERS = _struct(
-    "member_id string, emp_title string, emp_length string, home_ownership string, "
-    "annual_income string, address_state string, address_zipcode string, "
-    "address_country string, grade string, sub_grade string, verification_status string, "
-    "total_high_credit_limit int, application_type string, join_annual_income string, "
-    "verification_status_joint string")
+    member_id="string", emp_title="string", emp_length="string", home_ownership="string",
+    annual_income="string", address_state="string", address_zipcode="string", address_country="string",
+    grade="string", sub_grade="string", verification_status="string", total_high_credit_limit="integer",
+    application_type="string", join_annual_income="string", verification_status_joint="string")
 
 RAW_LOANS = _struct(
-    "loan_id string, member_id string, loan_amount float, funded_amount float, "
-    "loan_term_months string, interest_rate float, monthly_installment float, "
-    "issue_date string, loan_status string, loan_purpose string, loan_title string")
+    loan_id="string", member_id="string", loan_amount="float", funded_amount="float", loan_term_months="string",
+    interest_rate="float", monthly_installment="float", issue_date="string", loan_status="string",
+    loan_purpose="string", loan_title="string")
 
 RAW_REPAYMENTS = _struct(
-    "loan_id string, total_principal_received float, total_interest_received float, "
-    "total_late_fee_received float, total_payment_received float, last_payment_amount float, "
-    "last_payment_date string, next_payment_date string")
+    loan_id="string", total_principal_received="float", total_interest_received="float",
+    total_late_fee_received="float", total_payment_received="float", last_payment_amount="float",
+    last_payment_date="string", next_payment_date="string")
 
 RAW_DELINQUENCIES = _struct(
-    "member_id string, delinq_2yrs float, delinq_amnt float, pub_rec float, "
-    "pub_rec_bankruptcies float, inq_last_6mths float, total_rec_late_fee float, "
-    "mths_since_last_delinq float, mths_since_last_record float")
+    member_id="string", delinq_2yrs="float", delinq_amnt="float", pub_rec="float", pub_rec_bankruptcies="float",
+    inq_last_6mths="float", total_rec_late_fee="float", mths_since_last_delinq="float",
+    mths_since_last_record="float")
 
 PUBLISHED_CUSTOMERS = _struct(
-    "member_id string, emp_title string, emp_length int, home_ownership string, "
-    "annual_income float, address_state string, address_zipcode string, "
-    "address_country string, grade string, sub_grade string, verification_status string, "
-    "total_high_credit_limit float, application_type string, join_annual_income float, "
-    "verification_status_joint string, ingest_date timestamp")
+    member_id="string", emp_title="string", emp_length="integer", home_ownership="string",
+    annual_income="float", address_state="string", address_zipcode="string", address_country="string",
+    grade="string", sub_grade="string", verification_status="string", total_high_credit_limit="float",
+    application_type="string", join_annual_income="float", verification_status_joint="string",
+    ingest_date="timestamp")
 
 PUBLISHED_LOANS = _struct(
-    "loan_id string, member_id string, loan_amount float, funded_amount float, "
-    "loan_term_years int, interest_rate float, monthly_installment float, "
-    "issue_date string, loan_status string, loan_purpose string, loan_title string, "
-    "ingest_date timestamp")
+    loan_id="string", member_id="string", loan_amount="float", funded_amount="float", loan_term_years="integer",
+    interest_rate="float", monthly_installment="float", issue_date="string", loan_status="string",
+    loan_purpose="string", loan_title="string", ingest_date="timestamp")
 
 PUBLISHED_REPAYMENTS = _struct(
-    "loan_id string, total_principal_received float, total_interest_received float, "
-    "total_late_fee_received float, total_payment_received float, last_payment_amount float, "
-    "last_payment_date string, next_payment_date string, ingest_date timestamp")
+    loan_id="string", total_principal_received="float", total_interest_received="float",
+    total_late_fee_received="float", total_payment_received="float", last_payment_amount="float",
+    last_payment_date="string", next_payment_date="string", ingest_date="timestamp")
 
 PUBLISHED_DELINQUENCIES = _struct(
-    "member_id string, delinq_2yrs int, delinq_amnt float, mths_since_last_delinq int")
+    member_id="string", delinq_2yrs="integer", delinq_amnt="float", mths_since_last_delinq="integer")
 
 PUBLISHED_PUBLIC_RECORDS = _struct(
-    "member_id string, pub_rec int, pub_rec_bankruptcies int, inq_last_6mths int")
+    member_id="string", pub_rec="integer", pub_rec_bankruptcies="integer", inq_last_6mths="integer")
 
 # Header names used by the upstream customer export; the notebook renames them.
 RAW_CUSTOMER_HEADER_RENAMES = {
@@ -98,7 +88,3 @@ PUBLISHED = {
 def ddl_columns(schema: T.StructType) -> str:
     """Column list for CREATE TABLE, e.g. ``member_id STRING, pub_rec INT``."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
-
-
-def without_ingest(schema: T.StructType) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != INGEST_COLUMN])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -45,19 +45,19 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``. Only when
-    it is unset (local tests) a private folder is created and registered.
+    Uses the folder the cluster names in ``spark.checkpoint.dir`` (or the
+    checkpoint folder set on the context). Where neither is set, a ``local``
+    master, whose tasks all run on this machine, gets a private folder; any
+    other master is refused, because a folder made here would be missing on
+    its executors.
     """
     sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        current = sc.getCheckpointDir()
-        if current:
-            base = current
-        else:
-            base = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-            sc.setCheckpointDir(base)
-    elif not sc.getCheckpointDir():
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
@@ -69,15 +69,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def default_parallelism(spark: SparkSession) -> int:
-    """Partition count for user-sized repartitions (never smaller than 1)."""
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always present in practice
-        n = os.cpu_count() or 8
-    return max(1, n)
+    """Partition count of shuffles in this session."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+#: A shuffle has partitions times map tasks blocks to fetch; beyond this count they cost more than larger partitions do.
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -94,14 +92,15 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 def size_shuffle_partitions(spark: SparkSession, paths: list[str],
                             target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Set ``spark.sql.shuffle.partitions`` so one shuffle partition of the
-    input volume is about ``target_bytes`` (never below the current value).
+    input volume is about ``target_bytes`` (never below the current value, and
+    raised to ``MAX_SHUFFLE_PARTITIONS`` at most: sorts and joins spill).
 
     Adaptive execution coalesces partitions that turn out small and splits
     skewed ones; starting from a count that scales with the input keeps every
     partition within executor memory at any size. Returns the count set.
     """
     current = default_parallelism(spark)
-    wanted = max(current, -(-input_bytes(spark, paths) // target_bytes))
+    wanted = max(current, min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes(spark, paths) // target_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes, 128 * 1024 * 1024)))
     return wanted

@@ -54,17 +54,21 @@ def publish_bucketed(spark: SparkSession, tables: dict[str, DataFrame], db: str,
     without a shuffle: loans and repayments on loan_id is the score's largest
     join. Tables without an entry in ``buckets`` are written plainly. The
     files live at ``root/<name>`` (external tables: dropping keeps the data).
+    All rows of a key are in one bucket, so bucket on keys without hot values:
+    loan_id, and member_id of tables with a row per member.
     """
     create_database(spark, db)
     paths = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
         drop_table(spark, f"{db}.{name}")
-        w = df.write.mode("overwrite").format("parquet").option("path", path)
         if name in buckets:
             col, n = buckets[name]
-            w = w.bucketBy(n, col).sortBy(col)
-        w.saveAsTable(f"{db}.{name}")
+            # one task per bucket, hence one file per bucket
+            w = df.repartition(n, col).write.bucketBy(n, col).sortBy(col)
+        else:
+            w = df.write
+        w.mode("overwrite").format("parquet").option("path", path).saveAsTable(f"{db}.{name}")
         paths[name] = path
     return paths
 

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators import clean
 from ledgerline.schemas import RAW_LOANS, RAW_REPAYMENTS
-from ledgerline.session import scratch_path
 from ledgerline.sources.files import with_ingest_time
 
 ROW_LOCAL_CLEANERS = {
@@ -36,10 +35,12 @@ def raw_stream(spark: SparkSession, kind: str, source_dir: str,
 
 
 def start_cleaning(spark: SparkSession, kind: str, source_dir: str, sink_dir: str,
-                   checkpoint_dir: str | None = None, mode: str = "reference",
+                   checkpoint_dir: str, mode: str = "reference",
                    available_now: bool = True) -> StreamingQuery:
     """Clean new ``kind`` files from ``source_dir`` into Parquet at ``sink_dir``.
 
+    ``checkpoint_dir`` records the files that are done; the same folder on every
+    start makes a restart go on where the last run ended.
     ``available_now`` processes everything present and stops (scheduled
     incremental runs); otherwise the query keeps polling for new files.
     """
@@ -47,6 +48,6 @@ def start_cleaning(spark: SparkSession, kind: str, source_dir: str, sink_dir: st
     cleaned = cleaner(raw_stream(spark, kind, source_dir), mode)
     writer = (cleaned.writeStream.format("parquet").outputMode("append")
               .option("path", sink_dir)
-              .option("checkpointLocation", checkpoint_dir or scratch_path(spark, f"stream_{kind}")))
+              .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -103,21 +103,9 @@ def test_clean_delinquencies(spark):
     assert out.bad.count() == 2  # exact duplicates are quarantined, not merged
 
 
-def test_tagged_split_equals_semi_join_split(spark):
-    from collections import Counter
-    from ledgerline.operators.quality import split_tagged, tag_key_counts
-    rows = [("hot", i) for i in range(500)] + [(f"k{i}", i) for i in range(300)] + [(None, 1), ("k1", 9)]
-    df = spark.createDataFrame(rows, "k string, v int")
-    a, b = split_unique(df, "k"), split_tagged(tag_key_counts(df, "k"))
-    assert Counter(map(tuple, a.clean.collect())) == Counter(map(tuple, b.clean.collect()))
-    assert Counter(map(tuple, a.bad.collect())) == Counter(map(tuple, b.bad.collect()))
-    assert b.clean.columns == ["k", "v"]
-
-
 def test_hot_key_rows_are_spread(spark):
-    """A key holding a third of the rows is joined map-side: its rows stay
-    spread over the input partitions instead of meeting in one task."""
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+    """A duplicated key holding a third of the rows is spread over several tasks."""
+    conf = {"spark.ledgerline.rowsPerTask": "1000",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}

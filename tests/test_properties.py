@@ -5,8 +5,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgerline.operators.expand import expand_weighted
-from ledgerline.operators.quality import split_tagged, split_unique, tag_key_counts
+from ledgerline.operators.quality import split_unique
 
 _keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e", "f"]))
 _fixture = [HealthCheck.function_scoped_fixture]
@@ -20,14 +19,6 @@ def test_split_matches_brute_force(spark, keys):
     n = Counter(k for k in keys if k is not None)
     want_clean = Counter(r for r in rows if r[0] is not None and n[r[0]] == 1)
     want_bad = Counter(r for r in rows if r[0] is not None and n[r[0]] > 1)
-    for split in (split_unique(df, "k"), split_tagged(tag_key_counts(df, "k"))):
+    for split in (split_unique(df, "k"), split_unique(df, "k", lambda d: d.checkpoint())):
         assert Counter(map(tuple, split.clean.collect())) == want_clean
         assert Counter(map(tuple, split.bad.collect())) == want_bad
-
-
-@settings(max_examples=8, deadline=None, suppress_health_check=_fixture)
-@given(weights=st.lists(st.integers(0, 300), min_size=1, max_size=12), chunk=st.integers(1, 50))
-def test_expand_matches_brute_force(spark, weights, chunk):
-    df = spark.createDataFrame([(f"r{i}", w) for i, w in enumerate(weights)], "k string, w long")
-    got = Counter(r.k for r in expand_weighted(df, "w", partitions=3, chunk_rows=chunk).collect())
-    assert got == Counter({f"r{i}": w for i, w in enumerate(weights) if w > 0})

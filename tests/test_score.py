@@ -1,4 +1,4 @@
-"""Score grain, skew-safe expansion and the per-loan variant."""
+"""Score grain, row counts and the per-loan variant."""
 
 from collections import Counter
 
@@ -6,26 +6,9 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.operators import score
-from ledgerline.operators.expand import expand_weighted
 from ledgerline.operators.clean import published_customers
 
 
-def test_expand_weighted_exact_multiplicity(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 0), ("c", 7), ("d", 23)], "k string, w long")
-    out = expand_weighted(df, "w", partitions=4, chunk_rows=5)
-    assert Counter(r.k for r in out.collect()) == {"a": 1, "c": 7, "d": 23}
-    assert out.columns == ["k"]
-
-
-def test_expand_weighted_spreads_a_heavy_row(spark):
-    df = spark.createDataFrame([("hot", 10_000)], "k string, w long")
-    out = expand_weighted(df, "w", partitions=8, chunk_rows=100)
-    sizes = out.rdd.glom().map(len).collect()
-    assert sum(sizes) == 10_000
-    assert max(sizes) < 10_000  # not all copies in one task
-    assert sum(1 for s in sizes if s > 0) >= 4
-
-
 def _tables(spark):
     """A hot member m1 (many loans and repayments) plus two ordinary members."""
     loans, reps = [], []
@@ -67,23 +50,72 @@ def _naive_score(reps, loans, records, delinq, cust):
     return joined.select("member_id", *score._score_exprs())
 
 
+def _expanded(rows):
+    return Counter({tuple(r)[:-1]: int(r.n_rows) for r in rows})
+
+
 def test_factorized_score_equals_join_chain(spark):
     t = _tables(spark)
-    fast = score.credit_score(*t, partitions=4, chunk_rows=7)
-    slow = _naive_score(*t)
-    fast_rows, slow_rows = Counter(map(tuple, fast.collect())), Counter(map(tuple, slow.collect()))
-    assert fast_rows == slow_rows
+    fast = _expanded(score.credit_score(*t).collect())
+    assert fast == Counter(map(tuple, _naive_score(*t).collect()))
     # m1: 18 repaid loans x 24 loans; m2 has NULL home points -> NULL scores
-    assert sum(fast_rows.values()) == 18 * 24 + 3 * 4 + 2 * 2
-    assert all(r[4] is None for r in fast_rows if r[0] == "m2")
+    assert sum(fast.values()) == 18 * 24 + 3 * 4 + 2 * 2
+    assert all(r[4] is None for r in fast if r[0] == "m2")
 
 
 def test_financial_health_points_grain(spark):
-    t = _tables(spark)
-    rows = score.financial_health_points(*t, partitions=4, chunk_rows=11).collect()
-    assert len(rows) == 18 * 24 + 3 * 4 + 2 * 2
-    assert [c for c in score.financial_health_points(*t, partitions=2).columns] == \
-        ["member_id", *score.PAYMENT_PTS, *score.DEFAULTER_PTS, *score.HEALTH_PTS]
+    points = score.financial_health_points(*_tables(spark))
+    assert points.columns == ["member_id", *score.PAYMENT_PTS, *score.DEFAULTER_PTS, *score.HEALTH_PTS, "n_rows"]
+    rows = points.collect()
+    assert len({tuple(r)[:-1] for r in rows}) == len(rows)
+    assert sum(r.n_rows for r in rows) == 18 * 24 + 3 * 4 + 2 * 2
+
+
+def test_row_counts_beyond_bigint(spark, monkeypatch):
+    """A member with 2 * 10^10 repaid loans of one kind and as many loans has 4 * 10^20 published rows."""
+    side = spark.createDataFrame([("m1", 20_000_000_000)], "member_id string, n long")
+    points = {c: F.lit(100) for c in [*score.PAYMENT_PTS, *score.DEFAULTER_PTS]}
+    health = {c: F.lit(100).cast("decimal(12,2)") for c in score.HEALTH_PTS}
+    monkeypatch.setattr(score, "_weighted_history", lambda *a: side.withColumns(points).withColumnRenamed("n", "_wl"))
+    monkeypatch.setattr(score, "_weighted_health", lambda *a: side.withColumns(health).withColumnRenamed("n", "_wr"))
+    (row,) = score.credit_score(None, None, None, None, None).collect()
+    assert int(row.n_rows) == 4 * 10**20
+
+
+def _third_of_all_loans(spark, n=3000):
+    """Loans and repayments of which member m1 holds a third, and their members."""
+    owner = F.when(F.col("id") % 3 == 0, "m1").otherwise(F.concat(F.lit("x"), F.col("id")))
+    loan = F.concat(F.lit("l"), F.col("id"))
+    base = spark.range(0, n, numPartitions=8)
+    loans = base.select(loan.alias("loan_id"), owner.alias("member_id"), F.lit(100.0).cast("float").alias("monthly_installment"),
+                        (1000 + F.col("id") % 7).cast("float").alias("funded_amount"), F.lit("Current").alias("loan_status"))
+    paid = base.select(loan.alias("loan_id"), F.lit(100.0).cast("float").alias("last_payment_amount"),
+                       F.lit(900.0).cast("float").alias("total_payment_received"))
+    members = base.select(owner.alias("member_id")).distinct()
+    customers = members.select("member_id", F.lit("OWN").alias("home_ownership"), F.lit(9000.0).cast("float").alias("total_high_credit_limit"),
+                               F.lit("A").alias("grade"), F.lit("A1").alias("sub_grade"))
+    late = members.select("member_id", F.lit(1).alias("delinq_2yrs"))
+    records = members.select("member_id", *[F.lit(0).alias(c) for c in ("pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")])
+    return paid, loans, records, late, customers
+
+
+def test_hot_member_is_spread(spark):
+    """One member with a third of the loans: no task of the join holds much more than its share."""
+    conf = {"spark.ledgerline.rowsPerTask": "50", "spark.sql.autoBroadcastJoinThreshold": "200",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        t = _third_of_all_loans(spark)
+        per_loan = score.credit_score_per_loan(*t)
+        sizes = [r["count"] for r in per_loan.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 3000 and max(sizes) < 2 * 3000 / 8
+        wide = score.credit_score(*t)
+        assert sum(int(r.n_rows) for r in wide.collect()) == 1000 * 1000 + 2000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_score_range_and_per_loan_grain(spark):

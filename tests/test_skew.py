@@ -3,8 +3,20 @@
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
-from ledgerline.operators.skew import hot_keys, key_row_counts, skew_join
+from ledgerline.operators.skew import ROWS_PER_TASK_CONF, hot_keys, key_row_counts, rows_per_task, skew_join
+from ledgerline.plans import queries as Q
+
+
+@pytest.fixture
+def limit(spark):
+    """Sets the rows per task for one test."""
+    def put(n):
+        spark.conf.set(ROWS_PER_TASK_CONF, str(n))
+    yield put
+    spark.conf.unset(ROWS_PER_TASK_CONF)
 
 
 @pytest.fixture(scope="module")
@@ -16,32 +28,54 @@ def sides(spark):
             spark.createDataFrame(small, "key string, w string"))
 
 
-def test_hot_key_list_is_bounded(spark, sides):
-    big, _ = sides
-    hot = hot_keys(key_row_counts(big, "key"), "key", budget=10).collect()
-    assert [r[0] for r in hot] == ["hot"]  # fewer than `budget` keys, the heavy one
+def test_hot_keys_do_not_depend_on_the_table_size(spark, sides):
+    counts = key_row_counts(sides[0], "key")
+    assert [tuple(r) for r in hot_keys(counts, "key", 100).collect()] == [("hot", 5)]
+    assert hot_keys(counts, "key", 1000).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 3, 100, 10_000])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_matches_plain_join(spark, sides, how):
+def test_matches_plain_join(spark, sides, limit, how, n):
+    limit(n)
     big, small = sides
     want = Counter(map(tuple, big.join(small, "key", how).collect()))
-    got_df = skew_join(big, small, "key", how, budget=10)
+    got_df = skew_join(big, small, "key", how)
     assert got_df.columns == big.join(small, "key", how).columns
     assert Counter(map(tuple, got_df.collect())) == want
 
 
-from hypothesis import HealthCheck, given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
+def test_bad_setting_raises(spark, sides, limit):
+    limit("many")
+    with pytest.raises(ValueError):
+        rows_per_task(sides[0])
+    limit(0)
+    with pytest.raises(ValueError):
+        rows_per_task(sides[0])
+
 
 _keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e"]))
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(big=st.lists(_keys, min_size=1, max_size=60), small=st.lists(_keys, max_size=8),
-       how=st.sampled_from(["inner", "left", "left_semi", "left_anti"]), budget=st.integers(2, 12))
-def test_property_equals_plain_join(spark, big, small, how, budget):
+       how=st.sampled_from(["inner", "left", "left_semi", "left_anti"]), n=st.integers(1, 12))
+def test_property_equals_plain_join(spark, limit, big, small, how, n):
+    limit(n)
     b = spark.createDataFrame([(k, i) for i, k in enumerate(big)], "key string, v int")
     s = spark.createDataFrame([(k, f"w{i}") for i, k in enumerate(small)], "key string, w string")
     want = Counter(map(tuple, b.join(s, "key", how).collect()))
-    assert Counter(map(tuple, skew_join(b, s, "key", how, budget=budget).collect())) == want
+    assert Counter(map(tuple, skew_join(b, s, "key", how).collect())) == want
+
+
+@pytest.mark.parametrize("key", ["credit_score", "credit_score_per_loan", "loan_history_points", "credit_limit_points",
+                                 "customers_loan_view", "customers_loan_table", "customers_bad_rows", "customers_unique_rows",
+                                 "delinquencies_bad_rows"])
+def test_queries_are_the_same_with_salts_forced(spark, sf_dir, limit, key):
+    plain = Counter(map(repr, Q.QUERIES[key](spark, sf_dir).collect()))
+    limit(2)
+    Q._PLANS.clear()
+    try:
+        assert Counter(map(repr, Q.QUERIES[key](spark, sf_dir).collect())) == plain
+    finally:
+        Q._PLANS.clear()

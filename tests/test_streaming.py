@@ -34,3 +34,12 @@ def test_stream_cleans_repayments(spark, sf_dir):
     got = spark.read.parquet(sink).drop("ingest_date")
     want = Q.clean_repayments(spark, sf_dir)
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_restart_goes_on_where_it_ended(spark, sf_dir):
+    raw = LendingInputs(spark, sf_dir).loans(ingest=False)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("src", "sink", "ckpt"))
+    files.write_csv(raw, src, keep_whitespace=True)
+    for _ in range(2):
+        start_cleaning(spark, "loans", src, sink, ckpt).awaitTermination()
+    assert spark.read.parquet(sink).count() == Q.clean_loans(spark, sf_dir).count()
