@@ -31,14 +31,13 @@ ODD_MARKS = r"[#*$%&|<>{}\[\]~^=\\_]+|!{2,}|\?{2,}"
 #: Punctuation rule: a line of fewer words must end a sentence or clause.
 FRAGMENT_WORDS = 4
 LINE_END = r"[.!?:;,…。！？\"'”’»)\]]\s*$"
-#: Navigation rule: separators between entries, or nothing but menu words.
-MENU_SEPARATOR = r"(?:^|\s)[|»›·•>/](?=\s|$)"
+#: Navigation rule: words that only separate entries, or nothing but menu words.
+MENU_SEPARATORS = ("|", "»", "›", "·", "•", ">", "/")
 MIN_SEPARATORS = 2
 WORDS_PER_SEPARATOR = 5
-MENU_LINE = (r"(?i)^\W*(?:(?:home|menu|about(?: us)?|contact(?: us)?|log ?in|log ?out|sign ?in|sign ?up|register|search|"
-             r"site ?map|next|previous|back to top|skip to content|help|faq|share|tweet|print|rss)\W*)+$")
+MENU_WORDS = ("home menu about us contact login logout log in out sign up register search sitemap site map next previous "
+              "back to top skip content help faq share tweet print rss").split()
 #: Boilerplate rule: one word three times or more in a row may fill this share of a line's visible characters.
-STUTTER = r"(?<!\S)(\S++)(?:\s++\1(?!\S)){2,}"
 MAX_STUTTER = 0.5
 #: Boilerplate rule: notices, in lines of at most this many words.
 NOTICE_WORDS = 30
@@ -100,18 +99,41 @@ def base_figures(text: Column) -> Column:
     return let(words(whole), of)
 
 
+def _stuttered(found: Column) -> Column:
+    """Characters of the words that stand in a row of three or more equal ones."""
+    def part(word: Column, i: Column) -> Column:
+        same = [F.coalesce(F.get(found, i + k) == word, F.lit(False)) for k in (-2, -1, 1, 2)]
+        return (same[0] & same[1]) | (same[1] & same[2]) | (same[2] & same[3])
+
+    return F.aggregate(F.filter(found, part), F.lit(0), lambda total, w: total + F.length(w))
+
+
+def _all_menu(found: Column) -> Column:
+    """True if there are menu words and nothing else but marks."""
+    def bare(word: Column) -> Column:
+        return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}]+", ""))
+
+    return (F.forall(found, lambda w: bare(w).isin("", *MENU_WORDS))
+            & F.exists(found, lambda w: bare(w).isin(*MENU_WORDS)))
+
+
 def line_fails(line: Column) -> Column:
-    """True if a rule removes the line; false for a blank line."""
-    def of(n: Column) -> Column:
+    """True if a rule removes the line; false for a blank line.
+
+    Patterns repeat single characters only and rows of words are compared as
+    arrays: a pattern that repeats groups would recurse once per repetition
+    and overflow the stack on a very long line.
+    """
+    def of(found: Column) -> Column:
+        n = F.size(found)
         odd = _matched(line, ODD_MARKS) > MAX_ODD_MARKS * _visible(line)
         fragment = (n < FRAGMENT_WORDS) & ~line.rlike(LINE_END)
-        marks = F.regexp_count(line, F.lit(MENU_SEPARATOR))
-        menu = ((marks >= MIN_SEPARATORS) & (marks * WORDS_PER_SEPARATOR >= n)) | line.rlike(MENU_LINE)
+        marks = F.size(F.filter(found, lambda w: w.isin(*MENU_SEPARATORS)))
+        menu = ((marks >= MIN_SEPARATORS) & (marks * WORDS_PER_SEPARATOR >= n)) | _all_menu(found)
         notice = (n <= NOTICE_WORDS) & line.rlike(NOTICE)
-        stutter = _matched(line, STUTTER) > MAX_STUTTER * _visible(line)
-        return (n > 0) & (odd | fragment | menu | notice | stutter)
+        return (n > 0) & (odd | fragment | menu | notice | (_stuttered(found) > MAX_STUTTER * _visible(line)))
 
-    return let(F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")), of)
+    return let(words(line), of)
 
 
 def clean_lines(text: Column) -> Column:

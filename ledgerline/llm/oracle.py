@@ -1,8 +1,193 @@
-"""DuckDB SQL for the queries that SQL can express over whole tables."""
+"""DuckDB SQL for the queries that SQL can express over whole tables.
+
+Written from the contracts and the operators' definitions, in another way than
+the operators work: windows and positions are unnested and grouped, exponents
+are tried one by one, permutations are sorted in one go. The other queries
+(HTML labelling, licence scan, SimHash, packing, sharding and the pipeline) are
+compared with brute force in the tests.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from ledgerline.llm import chat, line_quality, mixing, queries
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPACES = r"[\x20\x09-\x0D]+"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _words(text: str) -> str:
+    return f"regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
+
+
+# ------------------------------------------------------------------- mixing
+MIXING = f"""
+WITH rows AS (
+  SELECT doc_id, source, COALESCE(md5(text), 'null') AS text_hash, COALESCE(len({_words('text')}), 0) AS tokens FROM documents
+), units AS (
+  SELECT doc_id, source, text_hash, COUNT(*) AS copies, CAST(SUM(tokens) AS BIGINT) AS tokens FROM rows GROUP BY ALL
+), totals AS (
+  SELECT source, CAST(SUM(tokens) AS BIGINT) AS total FROM units GROUP BY source
+), live AS (
+  SELECT total, total / (SELECT SUM(total) FROM totals) AS p FROM totals WHERE total > 0
+), tried AS (
+  SELECT step, ln(SUM(pow(p, step / {mixing.GRID}.0))) - step / {mixing.GRID}.0 * SUM(pow(p, step / {mixing.GRID}.0) * ln(p))
+    / SUM(pow(p, step / {mixing.GRID}.0)) AS entropy,
+    pow(MAX(p) / MIN(p), 1 - step / {mixing.GRID}.0) AS repeats, COUNT(*) AS sources
+  FROM live, range({mixing.GRID} + 1) g(step) GROUP BY step
+), solved AS (
+  SELECT CASE WHEN COALESCE(MAX(sources), 0) < 2 THEN 1.0 ELSE greatest(
+    COALESCE(MAX(step) FILTER (WHERE entropy >= {mixing.TARGET_ENTROPY} * ln(sources) - {mixing.SLACK}), 0),
+    COALESCE(MIN(step) FILTER (WHERE repeats <= {mixing.MAX_REPEATS} + {mixing.SLACK}), {mixing.GRID})) / {mixing.GRID}.0 END AS a
+  FROM tried
+), scale AS (
+  SELECT a, SUM(pow(total, a)) AS power, MAX(pow(total, 1 - a)) * SUM(pow(total, a)) AS whole FROM live, solved GROUP BY a
+), budgets AS (
+  SELECT source, total, CASE WHEN total > 0
+    THEN CAST(floor(round(pow(total, a) / power * whole, 3) + 0.0005) AS BIGINT) ELSE 0 END AS budget
+  FROM totals LEFT JOIN scale ON true
+), laid AS (
+  SELECT u.*, b.total, b.budget, unnest(range(CASE WHEN b.total > 0 THEN CAST(ceil(b.budget / b.total) AS BIGINT) ELSE 1 END)) AS block
+  FROM units u JOIN budgets b ON u.source IS NOT DISTINCT FROM b.source
+), placed AS (
+  SELECT *, COALESCE(SUM(copies) OVER w, 0) AS position, COALESCE(SUM(tokens) OVER w, 0) AS before FROM laid
+  WINDOW w AS (PARTITION BY source, block ORDER BY md5(concat('29/', block, '/', COALESCE(CAST(doc_id AS VARCHAR), 'null'), '/', text_hash))
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+SELECT doc_id, source, copies, tokens, CAST(block AS INTEGER) AS block, CAST(position AS BIGINT) AS position FROM placed
+WHERE total = 0 OR block * total + before < budget OR (block + 1) * total <= budget"""
+
+# --------------------------------------------------------- decontamination
+_ITEM_WORDS = r"regexp_extract_all(translate(text, '%s', '%s'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')" % (UPPER, LOWER)
+DECONTAMINATION = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, COALESCE({_ITEM_WORDS}, []) AS words FROM documents
+), items AS (
+  SELECT item_id, words, least(13, len(words)) AS width FROM (SELECT item_id, {_ITEM_WORDS} AS words FROM benchmark)
+  WHERE item_id IS NOT NULL AND len(words) > 0
+), phrases AS (
+  SELECT DISTINCT item_id, width, array_to_string(words[i:i + width - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(words) - width + 2)) AS i FROM items)
+), windows AS (
+  SELECT r, i, width, array_to_string(words[i:i + width - 1], ' ') AS phrase
+  FROM (SELECT r, words, width, unnest(range(1, len(words) - width + 2)) AS i FROM docs, (SELECT DISTINCT width FROM phrases))
+), met AS (
+  SELECT r, i, width, item_id FROM windows JOIN phrases USING (width, phrase)
+), hits AS (
+  SELECT r, COUNT(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + width)) AS place FROM (SELECT DISTINCT r, i, width FROM met)) GROUP BY r
+), found AS (
+  SELECT r, COUNT(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items, sha256(COALESCE(ids, '')) AS items_sha256,
+  COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN found USING (r)"""
+
+# --------------------------------------------------------------------- chat
+_CONFLICT = r"'<\|im_(start|end)\|>|<\\+\|'"
+_ESCAPED = r"regexp_replace(t, '<(\\*)\|', '<\\\1|', 'g')"
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {_text(queries.CONTROL_TEXT)} UNION ALL SELECT -1, 1, 'assistant', {_text(queries.CONTROL_TEXT)}
+), shown AS (
+  SELECT *, {len(chat.START) + len(chat.END) + 2} + length(role)
+    + CASE WHEN regexp_matches(t, {_CONFLICT}) THEN length({_ESCAPED}) ELSE length(t) END AS chars FROM turns
+), summed AS (
+  SELECT conv_id, COUNT(*) AS n_turns, string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn) AS every,
+    COALESCE(string_agg(CASE WHEN role = {_text(chat.TRAINED_ROLE)} THEN t END, '' ORDER BY turn), '') AS loss, SUM(chars) AS chars
+  FROM shown GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(every) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(chars AS BIGINT) AS formatted_chars FROM summed"""
+
+# --------------------------------------------------------------------- WARC
+WARC = """
+WITH p AS (
+  SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS digest FROM pages
+), kept AS (
+  SELECT digest, MAX(page_id) AS stored FROM p GROUP BY digest
+), bits AS (
+  SELECT digest, array_to_string(list_transform(range(1, 41), lambda i:
+    format('{:04b}', strpos('0123456789abcdef', substr(digest, i, 1)) - 1)), '') AS b FROM kept
+), coded AS (
+  SELECT digest, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + list_sum(list_transform(range(0, 5), lambda k: CAST(substr(b, 5 * i + k + 1, 1) AS INTEGER) * (1 << (4 - k))))::INTEGER, 1)), '') AS base32
+  FROM bits
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, base32 AS payload_digest,
+  CASE WHEN stored IS NOT NULL AND page_id IS DISTINCT FROM stored THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM stored THEN stored END AS refers_to
+FROM p JOIN kept USING (digest) JOIN coded USING (digest)"""
+
+# ------------------------------------------------------------------ quality
+_VISIBLE = f"length(regexp_replace({{}}, '{SPACES}', '', 'g'))"
+
+
+def _visible(text: str) -> str:
+    return _VISIBLE.format(text)
+
+
+_lq = line_quality
+QUALITY = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS t FROM documents
+), worded AS (
+  SELECT *, {_words('t')} AS words FROM docs
+), runs AS (
+  SELECT r, i, array_to_string(words[i:i + {_lq.WINDOW_WORDS - 1}], ' ') AS run
+  FROM (SELECT r, words, unnest(range(1, len(words) - {_lq.WINDOW_WORDS - 2})) AS i FROM worded WHERE len(words) >= {_lq.WINDOW_WORDS})
+), repeated AS (
+  SELECT r, COUNT(DISTINCT place) AS n FROM (
+    SELECT r, unnest(range(i, i + {_lq.WINDOW_WORDS})) AS place FROM runs
+    WHERE (r, run) IN (SELECT (r, run) FROM runs GROUP BY r, run HAVING COUNT(*) > 1)) GROUP BY r
+), lines AS (
+  SELECT r, line, {_words('line')} AS w, {_visible('line')} AS visible FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+), numbered AS (
+  SELECT row_number() OVER () AS l, *, list_transform(w, lambda x: lower(regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))) AS bare
+  FROM lines WHERE len(w) > 0
+), duplicates AS (
+  SELECT r, COUNT(*) - COUNT(DISTINCT line) AS n FROM numbered GROUP BY r
+), places AS (
+  SELECT l, word, i - row_number() OVER (PARTITION BY l, word ORDER BY i) AS streak
+  FROM (SELECT l, unnest(w) AS word, unnest(range(len(w))) AS i FROM numbered)
+), stutters AS (
+  SELECT l, SUM(chars) AS chars FROM (SELECT l, SUM(length(word)) AS chars FROM places GROUP BY l, word, streak HAVING COUNT(*) >= 3) GROUP BY l
+), judged AS (
+  SELECT r, visible,
+    length(line) - length(regexp_replace(line, {_text(_lq.ODD_MARKS)}, '', 'g')) > {_lq.MAX_ODD_MARKS} * visible
+    OR (len(w) < {_lq.FRAGMENT_WORDS} AND NOT regexp_matches(line, {_text(_lq.LINE_END)}))
+    OR (len(list_filter(w, lambda x: x IN ({', '.join(map(_text, _lq.MENU_SEPARATORS))}))) >= {_lq.MIN_SEPARATORS}
+      AND len(list_filter(w, lambda x: x IN ({', '.join(map(_text, _lq.MENU_SEPARATORS))}))) * {_lq.WORDS_PER_SEPARATOR} >= len(w))
+    OR (len(list_filter(bare, lambda x: x <> '')) > 0 AND len(list_filter(bare, lambda x: x NOT IN ('', {', '.join(map(_text, _lq.MENU_WORDS))}))) = 0)
+    OR (len(w) <= {_lq.NOTICE_WORDS} AND regexp_matches(line, {_text(_lq.NOTICE)}))
+    OR COALESCE(chars, 0) > {_lq.MAX_STUTTER} * visible AS fails
+  FROM numbered LEFT JOIN stutters USING (l)
+), lost AS (
+  SELECT r, SUM(visible) FILTER (WHERE fails) AS n FROM judged GROUP BY r
+), figures AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST({_visible('t')} AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(COALESCE(d.n, 0) AS BIGINT) AS n_dup_lines, CAST(COALESCE(p.n, 0) AS BIGINT) AS n_repeat_words,
+    CAST(COALESCE(l.n, 0) AS BIGINT) AS lost_chars
+  FROM worded w LEFT JOIN repeated p ON p.r = w.r LEFT JOIN duplicates d ON d.r = w.r LEFT JOIN lost l ON l.r = w.r
+)
+SELECT *, n_words < {_lq.MIN_WORDS} OR 100 * n_repeat_words > {_lq.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {_lq.MIN_WORDS} OR 100 * n_repeat_words > {_lq.MAX_REPEAT_PERCENT} * n_words)
+    AND lost_chars <= {_lq.MAX_LOST} * word_chars AS kept
+FROM figures"""
+
+ORACLE = {
+    "op1_temperature_mixing": MIXING,
+    "op3_fm_decontamination": DECONTAMINATION,
+    "op6_chat_format": CHAT,
+    "op7_warc_salvage": WARC,
+    "op8_line_quality": QUALITY,
+}
 
 
 def oracle_sql() -> dict[str, str]:

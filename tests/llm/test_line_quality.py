@@ -44,6 +44,12 @@ def test_rules(spark):
 OTHER = "Nobody had thought to bring a lamp, so we waited by the gate until the moon rose over the hill."
 
 
+def test_very_long_lines(spark):
+    """Whatever repeats, a line of any length is judged."""
+    lines = [f"{w} " * 60_000 for w in ("home", "x", "| a", "### b", "(", "About us,", "!!")] + ["home" * 60_000, "|" * 200_000]
+    assert fails(spark, lines) == [True] * 9
+
+
 def test_lines_go_and_documents_stay(make_docs):
     text = f"Home | News | About | Help\n{PROSE}\n\n{OTHER} Twice."
     rows = [(1, text, "s", 5), (2, PROSE + "\n" + " | ".join(f"x{i}" for i in range(300)), "s", 5),
