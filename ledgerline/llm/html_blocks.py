@@ -47,6 +47,9 @@ IMPLIED_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "option": ({"option"}, {"se
                "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "dt": ({"dt", "dd"}, {"dl"}),
                "dd": ({"dt", "dd"}, {"dl"}), "body": ({"head"}, {"html"})}
 
+#: Elements nested deeper count as neighbours, as browsers do.
+MAX_DEPTH = 512
+
 _TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<decl>[!?])[^>]*>?|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"""
                   r"""(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)(?P<end>>|\Z)|(?P<loose>/?[a-zA-Z][^>]*)(?:>|\Z))""", re.DOTALL)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -80,10 +83,12 @@ def blocks(page: str) -> list[Block]:
         nonlocal now
         if now.parts and "".join(now.parts).strip():
             out.append(now)
-        now = Block(tuple(m for _, m in stack))
+        now = Block(())
 
     def put(text: str) -> None:
         if text:
+            if not now.parts:
+                now.path = tuple(marks for _, marks in stack)
             decoded = entities.unescape(text) if "&" in text else text
             now.parts.append(decoded)
             now.link_chars += len(decoded) if links else 0
@@ -128,7 +133,7 @@ def blocks(page: str) -> list[Block]:
                     if stack[i][0] in ends:
                         del stack[i:]
                         break
-                if name not in VOID_TAGS:
+                if name not in VOID_TAGS and len(stack) < MAX_DEPTH:
                     stack.append((name, _marks(name, attrs)))
             links = 0
             turn()

@@ -24,6 +24,7 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,18 @@ def tokenizer(ranks: bytes, pattern: str = PATTERN) -> tiktoken.Encoding:
                              mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs})
 
 
+#: The tokenizer's pattern matcher gives up on far longer runs of white space; they are tokenized in parts of this length.
+MAX_SPACE_RUN = 1 << 14
+_LONG_SPACE = re.compile(rf"\s{{{MAX_SPACE_RUN}}}")
+
+
+def encode(coder: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Ids of the whole text; special tokens in it are ordinary text."""
+    cuts = [m.end() for m in _LONG_SPACE.finditer(text)] if len(text) > MAX_SPACE_RUN else []
+    parts = [coder.encode_to_numpy(text[a:b], disallowed_special=()) for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+    return np.concatenate(parts).astype(np.int32)
+
+
 class FreeSpace:
     """Rows by free space: a segment tree whose leaf ``c`` counts the rows with ``c`` places free."""
 
@@ -145,8 +158,8 @@ def pack(spark: SparkSession, df: DataFrame, vocabulary: str = VOCABULARY, width
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for i, value in enumerate(batch.column(1)):
-                found = coder.encode_to_numpy(value.as_py() or "", disallowed_special=())
-                block.append((ids[i], np.append(found.astype(np.int32), np.int32(end_id))))
+                found = encode(coder, value.as_py() or "")
+                block.append((ids[i], np.append(found, np.int32(end_id))))
                 size += len(found) + 1
                 if size >= block_ids:
                     yield from packed()

@@ -20,6 +20,15 @@ def test_cut_markup(cut):
     assert all(b.text for b in hb.blocks(page[:cut]))
 
 
+def test_extreme_markup():
+    deep = "<div>" * 200_000 + "x"
+    assert texts(deep) == ["x"] and len(hb.blocks(deep)[0].path) == hb.MAX_DEPTH
+    assert texts("<p " + "a='" * 100_000) == []
+    assert texts("<" * 100_000) == ["<" * 100_000] and texts("<!--" * 100_000) == []
+    assert texts("<b>" * 100_000 + "&" * 1000) == ["&" * 1000]
+    assert len(texts("<p>y" * 50_000)) == 50_000
+
+
 def test_paths():
     (block,) = hb.blocks('<main><div class="side-bar big" id=X2 role="note"><p>hello')
     assert block.path == ("main", "div .side .bar .big .x .note", "p")

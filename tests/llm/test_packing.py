@@ -51,7 +51,8 @@ def test_query(spark, sf_dir):
 
 
 def test_edges(spark, make_docs):
-    docs = [(1, None), (2, ""), (3, "word " * 5000), (4, "é😀 <|endoftext|>"), (5, "x" * 20_000), (6, " \n")]
+    docs = [(1, None), (2, ""), (3, "word " * 5000), (4, "é😀 <|endoftext|>"), (5, "x" * 20_000), (6, " \n"), (8, "a" + " " * 1_500_000 + "b"),
+            (9, "\n" * 900_000)]
     df = make_docs([(i, t, "s", 1) for i, t in docs], ", ids int").coalesce(1)
     rows = packing.pack(spark, df, width=64, block_ids=1000).collect()
     assert sorted(check_rows(rows, docs, 64)) == sorted((i, t or "") for i, t in docs)
