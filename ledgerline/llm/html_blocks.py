@@ -127,7 +127,7 @@ def blocks(page: str) -> list[Block]:
                 ends, barrier = IMPLIED_END.get(name, (set(), set()))
                 if stack and stack[-1][0] == "p":
                     stack.pop()
-                for i in range(len(stack) - 1, -1, -1):
+                for i in range(len(stack) - 1, -1, -1) if ends else ():
                     if stack[i][0] in barrier:
                         break
                     if stack[i][0] in ends:
