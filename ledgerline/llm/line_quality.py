@@ -156,15 +156,17 @@ ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 def judge(df: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
     """``df`` with the base figures, ``clean_text``, ``lost_chars`` and the verdicts ``base_failed`` and ``kept``."""
-    df = df.drop(*ADDED, "_base", "_lines")
-    rows = df.withColumn("_base", base_figures(F.col(text)))
-    base_failed = ((F.col("_base.n_words") < MIN_WORDS)
-                   | (100 * F.col("_base.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_base.n_words")))
-    rows = rows.withColumn("base_failed", base_failed).withColumn("_lines", clean_lines(F.col(text)))
-    small_loss = F.col("_lines.lost_chars") <= F.lit(max_lost) * F.col("_base.word_chars")
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], "_base.n_words", "_base.word_chars", "_base.n_symbols",
-                       "_base.n_dup_lines", "_base.n_repeat_words", "base_failed", "_lines.lost_chars",
-                       F.col("_lines.text").alias("clean_text"), (~F.col("base_failed") & small_loss).alias("kept"))
+    df = df.drop(*ADDED, "_found")
+    found = F.struct(base_figures(F.col(text)).alias("base"), clean_lines(F.col(text)).alias("lines"))
+    # A generator of one row: filters on its output stay above it, so texts are judged once.
+    rows = df.withColumn("_found", F.explode(F.array(found)))
+    base, lines = F.col("_found.base"), F.col("_found.lines")
+    base_failed = ((base["n_words"] < MIN_WORDS)
+                   | (100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"]))
+    small_loss = lines["lost_chars"] <= F.lit(max_lost) * base["word_chars"]
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], "_found.base.*", base_failed.alias("base_failed"),
+                       lines["lost_chars"].alias("lost_chars"), lines["text"].alias("clean_text"),
+                       (~base_failed & small_loss).alias("kept"))
 
 
 def apply_rules(df: DataFrame, text: str = "text", chars: str = "n_chars", max_lost: float = MAX_LOST) -> DataFrame:
