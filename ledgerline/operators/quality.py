@@ -37,18 +37,28 @@ def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFra
     return tagged.select(*df.columns, F.col("_rows").alias(count_col))
 
 
+def unique_rows(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose non-NULL key occurs exactly once.
+
+    One pass and one shuffle: rows fold into one per key with their number, map
+    side first, so a hot key ships one row per task. A group of one row returns
+    that row; larger groups leave, so which of their values survive is of no matter.
+    """
+    rest = [F.first(F.col(f"`{c}`")).alias(c) for c in df.columns if c != key]
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *rest)
+    return counted.filter(F.col("_rows") == 1).select(*df.columns)
+
+
 def split_unique(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> Split:
     """Quarantine rows with a duplicated key.
 
     ``clean`` keeps rows whose key occurs once, ``bad`` keeps all rows of keys
     that occur more than once. Rows with a NULL key are in neither output
-    (``NULL IN (...)`` is never true). Both outputs are filters of the same
-    tagged rows; ``cut`` materialises those once for jobs that write both.
+    (``NULL IN (...)`` is never true). ``cut`` materialises the input once for
+    jobs that write both.
     """
-    tagged = tag_key_counts(df, key)
-    tagged = tagged if cut is None else cut(tagged)
-    return Split(tagged.filter(F.col("_rows") == 1).drop("_rows"),
-                 tagged.filter(F.col("_rows") > 1).drop("_rows"))
+    rows = df if cut is None else cut(df)
+    return Split(unique_rows(rows, key), tag_key_counts(rows, key).filter(F.col("_rows") > 1).drop("_rows"))
 
 
 def all_present(df: DataFrame, columns: list[str]) -> Column:
