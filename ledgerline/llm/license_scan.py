@@ -1,12 +1,14 @@
 """Licence of every file: its own notice, or that of the nearest directory above.
 
 1. Texts are compared with licence templates by the cosine of sparse TF-IDF
-   vectors over words. Each line of a file is compared (a header notice, in
-   any place of the file) and the file as a whole (a licence file). Document
-   frequencies of the template words are counted over all documents; words in
-   no template count in the length of a vector with the weight of a rare word.
-   Files are scored where they are; only template words (a fixed set) and
-   their frequencies are sent around.
+   vectors over words. Each line of a file is compared, each window of a
+   template's length that slides over the whole text (a notice inside other
+   text), and the file as a whole (a licence file). Document frequencies of
+   all words are counted over all documents. Files are scored where they are
+   with the frequencies of the template words and the commonest words; only
+   lines, windows and texts that can still be the best of their file send their
+   other words to a join with the frequencies. The cosine returned is the best
+   of these; windows below the notice limit are left out of it.
 2. A file close to a template as a whole is the licence file of its directory.
    Directories are made distinct, spread out to their ancestors (one row per
    level) and joined by path with the directories that have a licence file;
@@ -26,9 +28,11 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +41,9 @@ from ledgerline.llm.common import cut
 #: Least cosine of a line that is a licence notice, and of a whole text that is a licence file.
 NOTICE_COSINE = 0.6
 FILE_COSINE = 0.35
+#: Words whose weights go to every task (others by a join), and distinct words that a task counts before it passes them on.
+COMMON_WORDS = 1 << 14
+FLUSH_WORDS = 1 << 20
 
 #: Wording of licence notices and licences, by SPDX identifier.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -85,89 +92,228 @@ def template_words() -> list[str]:
     return sorted({w for texts in TEMPLATES.values() for t in texts for w in words_of(t)})
 
 
-def document_frequencies(spark: SparkSession, df: DataFrame, text: str) -> tuple[int, dict[str, int]]:
-    """Number of documents and, for each template word, of those that have it; counted over all documents."""
-    words = set(template_words())
-
+def document_frequencies(df: DataFrame, text: str) -> DataFrame:
+    """(word, n): documents that have the word, for every word; "" has the number of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = 0, Counter()
+        seen: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([*seen], pa.string()), pa.array([*seen.values()], pa.int64())],
+                                              names=["word", "n"])
+
         for batch in batches:
-            total += batch.num_rows
             for value in batch.column(0):
-                seen.update(words.intersection(words_of(value.as_py())))
-        yield pa.RecordBatch.from_arrays([pa.array(["", *seen], pa.string()), pa.array([total, *seen.values()], pa.int64())],
-                                         names=["word", "n"])
+                seen.update({"", *words_of(value.as_py())})
+                if len(seen) >= FLUSH_WORDS:
+                    yield flush()
+                    seen.clear()
+        if seen:
+            yield flush()
+
+    counted = df.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return cut(counted, "license_words")
 
-    rows = df.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    found = {r["word"]: r["n"] for r in rows}  # at most one row per template word
-    return found.pop("", 0), found
+
+def weight(total: int, n: int) -> float:
+    """Weight of a word that ``n`` of ``total`` documents have."""
+    return 1 + math.log((1 + total) / (1 + n))
+
+
+@dataclass(frozen=True)
+class Unit:
+    """A line, window or whole text against a template, but for the weights of ``words``."""
+    low: float
+    high: float
+    template: int
+    dot: float
+    square: float
+    words: tuple[str, ...]
+    counts: tuple[int, ...]
 
 
 class Scorer:
-    """Cosines between a text and the templates."""
+    """Cosines between a text and the templates.
 
-    def __init__(self, total: int, frequencies: dict[str, int]):
-        self.idf = {w: 1 + math.log((1 + total) / (1 + frequencies.get(w, 0))) for w in template_words()}
-        self.rare = 1 + math.log(1 + total)
-        self.templates = []
+    ``frequencies`` holds the template words and the commonest words; every
+    other word is in 1 to ``rest`` documents. A cosine with such words lies
+    between two bounds; what cannot be the best of its text is left out here,
+    the rest gets its exact weights by a join.
+    """
+
+    def __init__(self, total: int, frequencies: dict[str, int], rest: int, notice_cosine: float, file_cosine: float):
+        self.idf = {w: weight(total, n) for w, n in frequencies.items()}
+        self.idf.update({w: weight(total, 0) for w in template_words() if w not in frequencies})
+        self.light, self.heavy = weight(total, max(1, rest)), weight(total, 1)
+        self.least, self.least_file = notice_cosine, file_cosine
+        self.templates: list[str] = []
+        self.vectors: list[dict[str, float]] = []
+        self.sizes: list[int] = []
         self.having: dict[str, list[tuple[int, float]]] = {}
+        self.anchors: dict[str, list[int]] = {}
         for name, texts in sorted(TEMPLATES.items()):
             for t in texts:
-                weights = {w: n * self.idf[w] for w, n in Counter(words_of(t)).items()}
-                norm = math.sqrt(sum(x * x for x in weights.values()))
-                for w, x in weights.items():
-                    self.having.setdefault(w, []).append((len(self.templates), x / norm))
-                self.templates.append(name)
-
-    def best(self, counts: Counter) -> tuple[str | None, float]:
-        """The closest template's name and cosine (rounded, so that ties are ties)."""
+                self._add(name, words_of(t))
+
+    def _add(self, name: str, found: list[str]) -> None:
+        at, weights = len(self.templates), {w: n * self.idf[w] for w, n in Counter(found).items()}
+        norm = math.sqrt(sum(x * x for x in weights.values()))
+        vector = {w: x / norm for w, x in weights.items()}
+        for w, x in vector.items():
+            self.having.setdefault(w, []).append((at, x))
+        self.templates.append(name)
+        self.vectors.append(vector)
+        self.sizes.append(len(found))
+        # A cosine is at most the root of the squares of the template's words that are present: without
+        # one of its heaviest words (the anchors) a window cannot reach the limit.
+        left = 1.0
+        for w, x in sorted(vector.items(), key=lambda p: (-p[1], p[0])):
+            if left < self.least * self.least - 1e-6:
+                break
+            self.anchors.setdefault(w, []).append(at)
+            left -= x * x
+
+    def near(self, counts: Counter, only: int | None = None) -> list[Unit]:
+        """The units of a text's words, one per template with a common word (or of one template)."""
         dots: dict[int, float] = {}
-        square = 0.0
+        square, words = 0.0, []
         for w, n in counts.items():
-            weight = n * self.idf.get(w, self.rare)
-            square += weight * weight
+            idf = self.idf.get(w)
+            if idf is None:
+                words.append(w)
+                continue
+            square += n * n * idf * idf
             for template, x in self.having.get(w, ()):
-                dots[template] = dots.get(template, 0.0) + weight * x
-        if not dots:
-            return None, 0.0
-        score, first = max((round(d / math.sqrt(square), 6), -t) for t, d in dots.items())
-        return self.templates[-first], score
-
-    def scan(self, text: str | None) -> tuple[str | None, float, str | None, float]:
-        """Best line's licence and cosine, then those of the whole text."""
-        whole: Counter = Counter()
-        line_best: tuple[str | None, float] = (None, 0.0)
+                if only is None or template == only:
+                    dots[template] = dots.get(template, 0.0) + n * idf * x
+        words.sort()
+        numbers = tuple(counts[w] for w in words)
+        open_square = sum(n * n for n in numbers)
+        lower = math.sqrt(square + open_square * self.heavy ** 2)
+        upper = math.sqrt(square + open_square * self.light ** 2)
+        return [Unit(d / lower, d / upper, t, d, square, tuple(words), numbers) for t, d in dots.items()]
+
+    def windows(self, words: list[str]) -> Iterator[Unit]:
+        """Units of the windows of template length, at any place of the text, that can reach the limit."""
+        places: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            for t in self.anchors.get(w, ()):
+                places.setdefault(t, []).append(i)
+        for t, hits in places.items():
+            size = self.sizes[t]
+            last = max(0, len(words) - size)
+            begin, end = -1, -2
+            for i in [*hits, None]:
+                first = None if i is None else max(0, i - size + 1)
+                if first is not None and first <= end + 1 and begin >= 0:
+                    end = min(i, last)
+                    continue
+                if begin >= 0:
+                    for at in self._slide(words, t, begin, end):
+                        yield from (u for u in self.near(Counter(words[at:at + size]), t) if u.high >= self.least - 1e-6)
+                if first is not None:
+                    begin, end = first, min(i, last)
+
+    def _slide(self, words: list[str], t: int, begin: int, end: int) -> Iterator[int]:
+        """Starts from ``begin`` to ``end`` of windows that can reach the limit."""
+        vector, size = self.vectors[t], self.sizes[t]
+        held: dict[str, int] = {}
+        dot = square = 0.0
+        limit = self.least * self.least * (1 - 1e-6)
+        for i in range(begin, min(len(words), end + size)):
+            w = words[i]
+            idf, n = self.idf.get(w, self.light), held.get(w, 0)
+            held[w] = n + 1
+            dot += idf * vector.get(w, 0.0)
+            square += (2 * n + 1) * idf * idf
+            if i - begin >= size:
+                w = words[i - size]
+                idf, n = self.idf.get(w, self.light), held[w]
+                held[w] = n - 1
+                dot -= idf * vector.get(w, 0.0)
+                square -= (2 * n - 1) * idf * idf
+            at = i - size + 1
+            if (at >= begin or i == len(words) - 1) and dot > 0 and dot * dot >= limit * square:
+                yield max(at, begin)
+
+    def scan(self, text: str | None) -> tuple[list[Unit], list[Unit]]:
+        """Units that may be the best line or window, and those that may be the best for the whole text."""
+        lines = [words_of(line) for line in (text or "").split("\n")]
+        whole, notices = Counter(w for line in lines for w in line), []
         known = self.having.keys()
-        for line in (text or "").split("\n"):
-            found = words_of(line)
-            whole.update(found)
-            if not known.isdisjoint(found):
-                name, score = self.best(Counter(found))
-                if score > line_best[1]:
-                    line_best = name, score
-        return *line_best, *self.best(whole)
-
-
-SCORES = T.StructType([T.StructField("line_license", T.StringType()), T.StructField("line_cosine", T.DoubleType()),
-                       T.StructField("file_license", T.StringType()), T.StructField("file_cosine", T.DoubleType())])
-
-
-def score(spark: SparkSession, df: DataFrame, key: str, path: str, text: str) -> DataFrame:
-    """(key, path, line_license, line_cosine, file_license, file_cosine) of every row."""
-    total, frequencies = document_frequencies(spark, df, text)
+        for line in lines:
+            if not known.isdisjoint(line):
+                notices = best_of(notices + self.near(Counter(line)))
+        if not self.anchors.keys().isdisjoint(whole):
+            for unit in self.windows([w for line in lines for w in line]):
+                if not notices or unit.high >= notices[0].low - 1e-6:
+                    notices = best_of([*notices, unit])
+        files = best_of(self.near(whole))
+        # Below its limit, a unit counts only if it may give the row's cosine.
+        floor = max((u.low for u in notices + files), default=0.0) - 1e-6
+        return ([u for u in notices if u.high >= min(floor, self.least - 1e-6)],
+                [u for u in files if u.high >= min(floor, self.least_file - 1e-6)])
+
+
+def best_of(units: list[Unit]) -> list[Unit]:
+    """Without the units that are worse than another whatever their open words weigh; the surest first."""
+    floor = max((u.low for u in units), default=0.0) - 1e-6
+    kept = sorted({u for u in units if u.high >= floor}, key=lambda u: (-u.low, u.template, u.words, u.counts, u.dot))
+    return kept
+
+
+UNIT_SCHEMA = T.ArrayType(T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("template", T.IntegerType()), T.StructField("dot", T.DoubleType()),
+    T.StructField("square", T.DoubleType()), T.StructField("words", T.ArrayType(T.StringType())),
+    T.StructField("counts", T.ArrayType(T.IntegerType()))]))
+UNIT_ROWS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
+                          T.StructField("path", T.StringType()), T.StructField("units", UNIT_SCHEMA)])
+UNITS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("template", pa.int32()), ("dot", pa.float64()), ("square", pa.float64()),
+                                  ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))]))
+
+
+def score(spark: SparkSession, df: DataFrame, key: str, path: str, text: str, notice_cosine: float,
+          file_cosine: float) -> DataFrame:
+    """(doc_id, path, line_license, line_cosine, file_license, file_cosine) of every row.
+
+    Of two cosines below their limits only the larger is worked out; the other may be 0.
+    """
+    frequencies = document_frequencies(df, text)
+    counted = {r["word"]: r["n"] for r in frequencies.filter(F.col("word").isin(["", *template_words()])).collect()}
+    total = counted.pop("", 0)
+    common = frequencies.filter("word <> ''").orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()
+    rest = common[-1]["n"] if len(common) == COMMON_WORDS else 0
+    known = {**counted, **{r["word"]: r["n"] for r in common}}
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(total, frequencies)
+        scorer = Scorer(total, known, rest, notice_cosine, file_cosine)
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            found = [scorer.scan(t.as_py()) for t in batch.column(2)]
-            columns = [list(c) for c in zip(*found, strict=True)] if found else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, pa.float64() if i % 2 else pa.string())
-                                                     for i, c in enumerate(columns))],
-                names=["doc_id", "path", *SCORES.names])
-
-    return rows.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("path", T.StringType()), *SCORES]))
+            units = [[{"kind": kind, "template": u.template, "dot": u.dot, "square": u.square, "words": u.words, "counts": u.counts}
+                      for kind, found in zip(("line", "file"), scorer.scan(t.as_py()), strict=True) for u in found]
+                     for t in batch.column(2)]
+            numbers = pa.array(range(number, number + batch.num_rows), pa.int64())
+            number += batch.num_rows
+            yield pa.RecordBatch.from_arrays([numbers, batch.column(0), batch.column(1), pa.array(units, UNITS_ARROW)],
+                                             names=UNIT_ROWS.names)
+
+    files = cut(rows.mapInArrow(run, UNIT_ROWS), "license_units")
+    units = files.select("row", F.posexplode("units").alias("unit", "u")).select("row", "unit", "u.*")
+    open_words = units.select("row", "unit", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("row", "unit", "w.*")
+    met = open_words.join(frequencies, open_words["words"] == frequencies["word"])
+    squares = met.groupBy("row", "unit").agg(
+        F.sum(F.pow(F.col("counts") * (1 + F.log(F.lit(1.0 + total) / (1 + F.col("n")))), 2)).alias("open_square"))
+    # Rounded, so that ties are ties; equal scores go to the first template.
+    scored = units.join(squares, ["row", "unit"], "left").select(
+        "row", "kind", F.struct(F.round(F.col("dot") / F.sqrt(F.col("square") + F.coalesce("open_square", F.lit(0.0))), 6).alias("cosine"),
+                                (-F.col("template")).alias("first")).alias("s"))
+    best = scored.groupBy("row").agg(F.max(F.when(F.col("kind") == "line", F.col("s"))).alias("line"),
+                                     F.max(F.when(F.col("kind") == "file", F.col("s"))).alias("file"))
+    names = F.array(*map(F.lit, Scorer(total, known, rest, notice_cosine, file_cosine).templates))
+    return files.select("row", "doc_id", "path").join(best, "row", "left").select(
+        "doc_id", "path", *[c for kind in ("line", "file") for c in (
+            F.get(names, -F.col(f"{kind}.first")).alias(f"{kind}_license"),
+            F.coalesce(F.col(f"{kind}.cosine"), F.lit(0.0)).alias(f"{kind}_cosine"))])
 
 
 def directory(path):
@@ -203,7 +349,7 @@ def scan(spark: SparkSession, df: DataFrame, key: str = "doc_id", path: str = "p
     ``origin`` is ``notice``, ``inherited`` or ``none``; ``license_path`` names
     the file that gave the licence.
     """
-    files = cut(score(spark, df, key, path, text).withColumn("file_threshold", F.lit(file_cosine)), "license_scores")
+    files = cut(score(spark, df, key, path, text, notice_cosine, file_cosine).withColumn("file_threshold", F.lit(file_cosine)), "license_scores")
     near = cut(nearest_licenses(files).withColumnsRenamed({"dir": "near_dir", "license": "near_license",
                                                            "license_path": "near_path"}), "license_near")
     rows = files.withColumn("dir", directory(F.col("path"))).join(near, F.col("dir") == near["near_dir"], "left")

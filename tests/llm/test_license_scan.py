@@ -87,3 +87,35 @@ def test_root_directory_and_long_text(spark):
 
 def test_empty(spark):
     assert ls.scan(spark, spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
+
+
+def test_notice_inside_other_text(spark):
+    prose = "the water was cold and we sat by the shore for hours until the moon came up over the far hills " * 4
+    texts = [f"{prose}{ls.TEMPLATES[name][0]} {prose}" for name in ("MIT", "Apache-2.0", "GPL-3.0")]
+    texts += ["// Copyright 2020 Foo Bar Inc. Released under the MIT License.", prose]
+    rows = [(i, f"d{i}/x", t) for i, t in enumerate(texts)] + [(9, "e/x", f"{prose} zebra{i}") for i in range(30)]
+    found = {r.doc_id: (r.license, r.origin, r.cosine) for r in
+             ls.scan(spark, spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [found[i][:2] for i in range(5)] == [
+        ("MIT", "notice"), ("Apache-2.0", "notice"), ("GPL-3.0", "notice"), ("MIT", "notice"), (None, "none")]
+    assert [found[i][2] for i in range(4)] == [1.0] * 4
+
+
+def test_all_words_weigh_by_their_frequency(spark, monkeypatch):
+    """Exact cosines of lines and whole texts, with all weights sent to the tasks and with most by the join."""
+    texts = ["released mit xa xb xb", "license xa", "xa xb", "this license xa xc", None, "xa released under", "xa"] + ["xa xd"] * 5
+    seen = Counter(w for t in texts for w in set(ls.words_of(t)))
+
+    def vector(text):
+        return {w: n * (1 + math.log((1 + len(texts)) / (1 + seen[w]))) for w, n in Counter(ls.words_of(text)).items()}
+
+    def cosine(a, b):
+        dot = sum(a[w] * b[w] for w in a.keys() & b.keys())
+        return dot and dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    want = [round(max(cosine(vector(x), vector(t)) for ts in ls.TEMPLATES.values() for t in ts), 6) for x in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "'p/' || doc_id path", "text")
+    for common in (1 << 14, 1):
+        monkeypatch.setattr(ls, "COMMON_WORDS", common)
+        got = {r.doc_id: r.cosine for r in ls.scan(spark, df, notice_cosine=0.99).collect()}
+        assert [got[i] for i in range(len(texts))] == want
