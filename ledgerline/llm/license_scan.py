@@ -14,6 +14,10 @@
    level) and joined by path with the directories that have a licence file;
    the deepest match is the nearest. Files then take their directory's licence.
 
+3. A licence is named by its version or identifier: near a template of another
+   version or variant, the licence that the text names counts, or ``unknown``
+   if it names none of the known ones.
+
 Defined cases: null and empty texts have no notice; a null path has no
 directory and inherits nothing; a path with no slash lies in the root
 directory ""; equal scores go to the template that is first by name, of several
@@ -28,7 +32,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from importlib import resources
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -41,6 +46,11 @@ from ledgerline.llm.common import cut
 #: Least cosine of a line that is a licence notice, and of a whole text that is a licence file.
 NOTICE_COSINE = 0.6
 FILE_COSINE = 0.35
+#: Least cosine with a full licence text, and that of a whole text whose licence goes before notices inside it.
+FULL_COSINE = 0.8
+WHOLE_COSINE = 0.9
+#: A notice of a licence that is not known.
+UNKNOWN = "unknown"
 #: Words whose weights go to every task (others by a join), and distinct words that a task counts before it passes them on.
 COMMON_WORDS = 1 << 14
 FLUSH_WORDS = 1 << 20
@@ -52,6 +62,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
         "with the License.",
         "SPDX-License-Identifier: Apache-2.0"),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
+        "SPDX-License-Identifier: BSD-2-Clause"),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
@@ -65,12 +84,39 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0.",
         "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "CC-BY-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-SA 4.0.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    "CC0-1.0": (
+        "This work is dedicated to the public domain under CC0 1.0 Universal.",
+        "SPDX-License-Identifier: CC0-1.0"),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+        "SPDX-License-Identifier: GPL-2.0-only"),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
         "later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later"),
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC"),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later"),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -81,6 +127,35 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: MPL-2.0"),
 }
 
+_GNU = r"public license(?: (?!version\b|v\b|v?\d)\S+){0,12}? (?:version |v )?v?"
+_CC = r"\b(?:cc|creative commons)(?: license)? (?:attribution|by)"
+_FOUR = r" (?:version |v )?v?4(?:\.0)?(?!\S)"
+#: What names a licence and its version in a text's words; other versions and variants do not match.
+NAMES: dict[str, re.Pattern] = {name: re.compile(rule) for name, rule in {
+    "AGPL-3.0": rf"\baffero general {_GNU}3(?:\.0)?(?!\S)|\bagpl ?(?:version |v )?v?3(?:\.0)?(?!\S)",
+    "Apache-2.0": r"\bapache (?:software )?(?:license )?(?:version |v )?v?2(?:\.0)?(?!\S)",
+    "BSD-2-Clause": r"\bbsd (?:license )?2 clause|\b2 clause bsd|\bsimplified bsd",
+    "BSD-3-Clause": r"\bbsd (?:license )?3 clause|\b3 clause bsd|\b(?:new|modified) bsd",
+    "CC-BY-4.0": _CC + _FOUR,
+    "CC-BY-NC-4.0": rf"{_CC} (?:nc|non ?commercial){_FOUR}",
+    "CC-BY-SA-4.0": rf"{_CC} (?:sa|share ?alike){_FOUR}",
+    "CC0-1.0": r"\bcc0(?: (?:version |v )?v?1(?:\.0)?)?(?! (?:version |v )?v?\d)(?!\S)",
+    "GPL-1.0": rf"(?<!lesser )(?<!library )(?<!affero )\bgeneral {_GNU}1(?:\.0)?(?!\S)|\bgpl ?(?:version |v )?v?1(?:\.0)?(?!\S)",
+    "GPL-2.0": rf"(?<!lesser )(?<!library )(?<!affero )\bgeneral {_GNU}2(?:\.0)?(?!\S)|\bgpl ?(?:version |v )?v?2(?:\.0)?(?!\S)",
+    "GPL-3.0": rf"(?<!lesser )(?<!library )(?<!affero )\bgeneral {_GNU}3(?:\.0)?(?!\S)|\bgpl ?(?:version |v )?v?3(?:\.0)?(?!\S)",
+    "ISC": r"\bisc license|\blicense identifier isc(?!\S)",
+    "LGPL-2.0": rf"\b(?:lesser|library) general {_GNU}2(?:\.0)?(?!\S)|\blgpl ?(?:version |v )?v?2(?:\.0)?(?!\S)",
+    "LGPL-2.1": rf"\b(?:lesser|library) general {_GNU}2\.1(?!\S)|\blgpl ?(?:version |v )?v?2\.1(?!\S)",
+    "LGPL-3.0": rf"\b(?:lesser|library) general {_GNU}3(?:\.0)?(?!\S)|\blgpl ?(?:version |v )?v?3(?:\.0)?(?!\S)",
+    "MIT": r"\bmit license|\b(?:license identifier|licensed under|under the) mit(?! \d)(?!\S)",
+    "MPL-1.1": r"\bmozilla public license (?:version |v )?v?1\.1(?!\S)|\bmpl (?:version |v )?v?1\.1(?!\S)",
+    "MPL-2.0": r"\bmozilla public license (?:version |v )?v?2(?:\.0)?(?!\S)|\bmpl (?:version |v )?v?2(?:\.0)?(?!\S)",
+}.items()}
+#: Licences whose full text need not name them, words of a full text that do, and words around a window that may.
+UNNAMED_TEXTS = {"BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT"}
+HEAD_WORDS = 100
+MARGIN = 3
+
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*|[^\W_a-z0-9A-Z]+")
 
 
@@ -92,6 +167,39 @@ def template_words() -> list[str]:
     return sorted({w for texts in TEMPLATES.values() for t in texts for w in words_of(t)})
 
 
+def known_words(full: dict[str, list[str]]) -> list[str]:
+    return sorted({*template_words(), *(w for found in full.values() for w in found)})
+
+
+def full_texts() -> dict[str, list[str]]:
+    """Words of the full licence texts in ``licenses``, by SPDX identifier."""
+    folder = resources.files(__package__) / "licenses"
+    return {f.name.removesuffix(".txt"): words_of(f.read_text(encoding="utf-8"))
+            for f in sorted(folder.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
+
+
+def named(template: str, wording: str, words: list[str], whole: str, full: bool = False) -> str | None:
+    """The licence that a text near a template names.
+
+    Wording without a name (as MIT's permission) stands for its template. Where
+    a name is due, another licence's name gives that licence, and none gives
+    ``UNKNOWN`` if a licence is spoken of (a full text needs no name).
+    """
+    if template.startswith("BSD") and "redistributions in binary form" in whole:
+        return "BSD-3-Clause" if "neither the name" in whole else "BSD-2-Clause"
+    rule, text = NAMES.get(template), " ".join(words)
+    if rule is None or not rule.search(wording) or rule.search(text) or (full and template in UNNAMED_TEXTS):
+        return template
+    others = [name for name, r in NAMES.items() if r.search(text)]
+    if len(others) == 1:
+        return others[0]
+    return template if full and not others else UNKNOWN if "licens" in text else None
+
+
+def rank_of(license: str | None) -> int:
+    return -1 if license is None else 0 if license == UNKNOWN else 1
+
+
 def document_frequencies(df: DataFrame, text: str) -> DataFrame:
     """(word, n): documents that have the word, for every word; "" has the number of documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +237,7 @@ class Unit:
     square: float
     words: tuple[str, ...]
     counts: tuple[int, ...]
+    license: str | None = None
 
 
 class Scorer:
@@ -140,12 +249,14 @@ class Scorer:
     the rest gets its exact weights by a join.
     """
 
-    def __init__(self, total: int, frequencies: dict[str, int], rest: int, notice_cosine: float, file_cosine: float):
+    def __init__(self, total: int, frequencies: dict[str, int], rest: int, notice_cosine: float, file_cosine: float,
+                 full: dict[str, list[str]]):
         self.idf = {w: weight(total, n) for w, n in frequencies.items()}
-        self.idf.update({w: weight(total, 0) for w in template_words() if w not in frequencies})
+        self.idf.update({w: weight(total, 0) for w in known_words(full) if w not in frequencies})
         self.light, self.heavy = weight(total, max(1, rest)), weight(total, 1)
         self.least, self.least_file = notice_cosine, file_cosine
         self.templates: list[str] = []
+        self.wordings: list[str] = []
         self.vectors: list[dict[str, float]] = []
         self.sizes: list[int] = []
         self.having: dict[str, list[tuple[int, float]]] = {}
@@ -153,6 +264,13 @@ class Scorer:
         for name, texts in sorted(TEMPLATES.items()):
             for t in texts:
                 self._add(name, words_of(t))
+        self.full: list[tuple[int, list[tuple[str, float]]]] = []
+        for name, found in full.items():
+            weights = {w: n * self.idf[w] for w, n in Counter(found).items()}
+            norm = math.sqrt(sum(x * x for x in weights.values()))
+            self.full.append((len(self.templates), sorted(((w, x / norm) for w, x in weights.items()), key=lambda p: (-p[1], p[0]))))
+            self.templates.append(name)
+            self.wordings.append(" ".join(found[:HEAD_WORDS]))
 
     def _add(self, name: str, found: list[str]) -> None:
         at, weights = len(self.templates), {w: n * self.idf[w] for w, n in Counter(found).items()}
@@ -163,6 +281,7 @@ class Scorer:
         self.templates.append(name)
         self.vectors.append(vector)
         self.sizes.append(len(found))
+        self.wordings.append(" ".join(found))
         # A cosine is at most the root of the squares of the template's words that are present: without
         # one of its heaviest words (the anchors) a window cannot reach the limit.
         left = 1.0
@@ -192,8 +311,8 @@ class Scorer:
         upper = math.sqrt(square + open_square * self.light ** 2)
         return [Unit(d / lower, d / upper, t, d, square, tuple(words), numbers) for t, d in dots.items()]
 
-    def windows(self, words: list[str]) -> Iterator[Unit]:
-        """Units of the windows of template length, at any place of the text, that can reach the limit."""
+    def windows(self, words: list[str]) -> Iterator[tuple[Unit, list[str]]]:
+        """Units of the windows of template length, at any place of the text, that can reach the limit; and the words there."""
         places: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             for t in self.anchors.get(w, ()):
@@ -209,7 +328,8 @@ class Scorer:
                     continue
                 if begin >= 0:
                     for at in self._slide(words, t, begin, end):
-                        yield from (u for u in self.near(Counter(words[at:at + size]), t) if u.high >= self.least - 1e-6)
+                        around = words[max(0, at - MARGIN):at + size + MARGIN]
+                        yield from ((u, around) for u in self.near(Counter(words[at:at + size]), t) if u.high >= self.least - 1e-6)
                 if first is not None:
                     begin, end = first, min(i, last)
 
@@ -235,19 +355,57 @@ class Scorer:
             if (at >= begin or i == len(words) - 1) and dot > 0 and dot * dot >= limit * square:
                 yield max(at, begin)
 
+    def full_near(self, counts: Counter) -> list[Unit]:
+        """Units against the full licence texts that can reach their limit."""
+        out = []
+        for t, vector in self.full:
+            missing, dot = 1 - FULL_COSINE * FULL_COSINE + 1e-6, 0.0
+            for w, x in vector:
+                if n := counts.get(w, 0):
+                    dot += n * self.idf[w] * x
+                    continue
+                missing -= x * x
+                if missing < 0:
+                    break
+            else:
+                out.append((t, dot))
+        if not out:
+            return []
+        words = sorted(w for w in counts if w not in self.idf)
+        numbers = tuple(counts[w] for w in words)
+        square = sum((n * self.idf[w]) ** 2 for w, n in counts.items() if w in self.idf)
+        rest = sum(n * n for n in numbers)
+        units = [Unit(d / math.sqrt(square + rest * self.heavy ** 2), d / math.sqrt(square + rest * self.light ** 2), t, d, square,
+                      tuple(words), numbers) for t, d in out]
+        return [u for u in units if u.high >= FULL_COSINE - 1e-6]
+
     def scan(self, text: str | None) -> tuple[list[Unit], list[Unit]]:
         """Units that may be the best line or window, and those that may be the best for the whole text."""
         lines = [words_of(line) for line in (text or "").split("\n")]
-        whole, notices = Counter(w for line in lines for w in line), []
-        known = self.having.keys()
+        words = [w for line in lines for w in line]
+        whole = Counter(words)
+        known, joined = self.having.keys(), None
+
+        def judged(unit: Unit, least: float, found: list[str], full: bool = False) -> Unit:
+            nonlocal joined
+            if unit.high < least - 1e-6:
+                return unit
+            if joined is None:
+                joined = " ".join(words)
+            name = named(self.templates[unit.template], self.wordings[unit.template], found, joined, full)
+            return replace(unit, license=name)
+
+        notices: list[Unit] = []
         for line in lines:
             if not known.isdisjoint(line):
-                notices = best_of(notices + self.near(Counter(line)))
+                notices = best_of(notices + [judged(u, self.least, line) for u in self.near(Counter(line))])
         if not self.anchors.keys().isdisjoint(whole):
-            for unit in self.windows([w for line in lines for w in line]):
-                if not notices or unit.high >= notices[0].low - 1e-6:
-                    notices = best_of([*notices, unit])
-        files = best_of(self.near(whole))
+            for unit, around in self.windows(words):
+                notices = best_of([*notices, judged(unit, self.least, around)])
+        files = [judged(u, self.least_file, words) for u in self.near(whole)]
+        # A whole text that names no known licence is an unknown one only if it is as close as a notice.
+        files = [replace(u, license=None) if u.license == UNKNOWN and u.high < self.least else u for u in files]
+        files = best_of(files + [judged(u, FULL_COSINE, words[:HEAD_WORDS], True) for u in self.full_near(whole)])
         # Below its limit, a unit counts only if it may give the row's cosine.
         floor = max((u.low for u in notices + files), default=0.0) - 1e-6
         return ([u for u in notices if u.high >= min(floor, self.least - 1e-6)],
@@ -255,19 +413,24 @@ class Scorer:
 
 
 def best_of(units: list[Unit]) -> list[Unit]:
-    """Without the units that are worse than another whatever their open words weigh; the surest first."""
-    floor = max((u.low for u in units), default=0.0) - 1e-6
-    kept = sorted({u for u in units if u.high >= floor}, key=lambda u: (-u.low, u.template, u.words, u.counts, u.dot))
-    return kept
+    """Without the units that are worse than another of their rank whatever their open words weigh."""
+    floors: dict[int, float] = {}
+    for u in units:
+        rank = rank_of(u.license)
+        floors[rank] = max(floors.get(rank, 0.0), u.low - 1e-6)
+    return sorted({u for u in units if u.high >= floors[rank_of(u.license)]},
+                  key=lambda u: (-u.low, u.template, u.words, u.counts, u.dot, u.license or ""))
 
 
 UNIT_SCHEMA = T.ArrayType(T.StructType([
-    T.StructField("kind", T.StringType()), T.StructField("template", T.IntegerType()), T.StructField("dot", T.DoubleType()),
+    T.StructField("kind", T.StringType()), T.StructField("license", T.StringType()), T.StructField("rank", T.IntegerType()),
+    T.StructField("least", T.DoubleType()), T.StructField("template", T.IntegerType()), T.StructField("dot", T.DoubleType()),
     T.StructField("square", T.DoubleType()), T.StructField("words", T.ArrayType(T.StringType())),
     T.StructField("counts", T.ArrayType(T.IntegerType()))]))
 UNIT_ROWS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
                           T.StructField("path", T.StringType()), T.StructField("units", UNIT_SCHEMA)])
-UNITS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("template", pa.int32()), ("dot", pa.float64()), ("square", pa.float64()),
+UNITS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("license", pa.string()), ("rank", pa.int32()), ("least", pa.float64()),
+                                  ("template", pa.int32()), ("dot", pa.float64()), ("square", pa.float64()),
                                   ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))]))
 
 
@@ -277,8 +440,9 @@ def score(spark: SparkSession, df: DataFrame, key: str, path: str, text: str, no
 
     Of two cosines below their limits only the larger is worked out; the other may be 0.
     """
+    full = full_texts()
     frequencies = document_frequencies(df, text)
-    counted = {r["word"]: r["n"] for r in frequencies.filter(F.col("word").isin(["", *template_words()])).collect()}
+    counted = {r["word"]: r["n"] for r in frequencies.filter(F.col("word").isin(["", *known_words(full)])).collect()}
     total = counted.pop("", 0)
     common = frequencies.filter("word <> ''").orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()
     rest = common[-1]["n"] if len(common) == COMMON_WORDS else 0
@@ -286,10 +450,12 @@ def score(spark: SparkSession, df: DataFrame, key: str, path: str, text: str, no
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(total, known, rest, notice_cosine, file_cosine)
+        scorer = Scorer(total, known, rest, notice_cosine, file_cosine, full)
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            units = [[{"kind": kind, "template": u.template, "dot": u.dot, "square": u.square, "words": u.words, "counts": u.counts}
+            units = [[{"kind": kind, "license": u.license, "rank": rank_of(u.license), "template": u.template,
+                       "least": notice_cosine if kind == "line" else FULL_COSINE if u.template >= len(scorer.vectors) else file_cosine,
+                       "dot": u.dot, "square": u.square, "words": u.words, "counts": u.counts}
                       for kind, found in zip(("line", "file"), scorer.scan(t.as_py()), strict=True) for u in found]
                      for t in batch.column(2)]
             numbers = pa.array(range(number, number + batch.num_rows), pa.int64())
@@ -303,16 +469,16 @@ def score(spark: SparkSession, df: DataFrame, key: str, path: str, text: str, no
     met = open_words.join(frequencies, open_words["words"] == frequencies["word"])
     squares = met.groupBy("row", "unit").agg(
         F.sum(F.pow(F.col("counts") * (1 + F.log(F.lit(1.0 + total) / (1 + F.col("n")))), 2)).alias("open_square"))
-    # Rounded, so that ties are ties; equal scores go to the first template.
-    scored = units.join(squares, ["row", "unit"], "left").select(
-        "row", "kind", F.struct(F.round(F.col("dot") / F.sqrt(F.col("square") + F.coalesce("open_square", F.lit(0.0))), 6).alias("cosine"),
-                                (-F.col("template")).alias("first")).alias("s"))
+    # Rounded, so that ties are ties; named licences go before others, equal scores to the first template.
+    cosine = F.round(F.col("dot") / F.sqrt(F.col("square") + F.coalesce("open_square", F.lit(0.0))), 6)
+    scored = units.join(squares, ["row", "unit"], "left").withColumn("cosine", cosine).select("row", "kind", F.struct(
+        F.when(F.col("cosine") >= F.col("least"), F.col("rank")).otherwise(-1).alias("rank"), "cosine",
+        (-F.col("template")).alias("first"), "license").alias("s"))
     best = scored.groupBy("row").agg(F.max(F.when(F.col("kind") == "line", F.col("s"))).alias("line"),
                                      F.max(F.when(F.col("kind") == "file", F.col("s"))).alias("file"))
-    names = F.array(*map(F.lit, Scorer(total, known, rest, notice_cosine, file_cosine).templates))
     return files.select("row", "doc_id", "path").join(best, "row", "left").select(
         "doc_id", "path", *[c for kind in ("line", "file") for c in (
-            F.get(names, -F.col(f"{kind}.first")).alias(f"{kind}_license"),
+            F.when(F.col(f"{kind}.rank") >= 0, F.col(f"{kind}.license")).alias(f"{kind}_license"),
             F.coalesce(F.col(f"{kind}.cosine"), F.lit(0.0)).alias(f"{kind}_cosine"))])
 
 
@@ -331,7 +497,7 @@ def ancestors(path):
 
 def nearest_licenses(files: DataFrame) -> DataFrame:
     """(dir, license, license_path) for every directory of ``files`` with a licence file in it or above."""
-    own = files.filter("file_cosine >= file_threshold").groupBy(directory(F.col("path")).alias("dir")).agg(
+    own = files.filter("file_license is not null and file_cosine >= file_threshold").groupBy(directory(F.col("path")).alias("dir")).agg(
         F.min(F.struct((-F.col("file_cosine")).alias("worse"), F.col("path").alias("license_path"),
                        F.col("file_license").alias("license"))).alias("best"))
     held = cut(own.select(F.col("dir").alias("held"), "best.license", "best.license_path"), "license_dirs")
@@ -353,9 +519,8 @@ def scan(spark: SparkSession, df: DataFrame, key: str = "doc_id", path: str = "p
     near = cut(nearest_licenses(files).withColumnsRenamed({"dir": "near_dir", "license": "near_license",
                                                            "license_path": "near_path"}), "license_near")
     rows = files.withColumn("dir", directory(F.col("path"))).join(near, F.col("dir") == near["near_dir"], "left")
-    is_notice = F.col("line_cosine") >= notice_cosine
-    is_file = F.col("file_cosine") >= file_cosine
-    own = F.when(is_notice, F.col("line_license")).when(is_file, F.col("file_license"))
+    # A licence text as a whole goes before the notices inside it.
+    own = F.coalesce(F.when(F.col("file_cosine") >= WHOLE_COSINE, F.col("file_license")), "line_license", "file_license")
     return rows.select(
         "doc_id", "path", F.coalesce(own, "near_license").alias("license"),
         F.when(own.isNotNull(), "notice").when(F.col("near_license").isNotNull(), "inherited").otherwise("none").alias("origin"),

@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter
 
 from ledgerline.llm import license_scan as ls
@@ -117,5 +118,32 @@ def test_all_words_weigh_by_their_frequency(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("doc_id", "'p/' || doc_id path", "text")
     for common in (1 << 14, 1):
         monkeypatch.setattr(ls, "COMMON_WORDS", common)
-        got = {r.doc_id: r.cosine for r in ls.scan(spark, df, notice_cosine=0.99).collect()}
+        got = {r.doc_id: r.cosine for r in ls.scan(spark, df, notice_cosine=0.99, file_cosine=0.99).collect()}
         assert [got[i] for i in range(len(texts))] == want
+
+
+def test_other_licences_and_versions(spark):
+    cases = {"This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+             "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+             "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "unknown",
+             "This work is licensed under a Creative Commons Attribution 3.0 International License.": "unknown",
+             "SPDX-License-Identifier: ISC": "ISC", "SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0",
+             "SPDX-License-Identifier: EUPL-1.2": "unknown", "SPDX-License-Identifier: MIT": "MIT",
+             "SPDX-License-Identifier: LGPL-2.1-only": "LGPL-2.1"}
+    prose = "the water was cold and we sat by the shore for hours until the moon came up over the far hills"
+    rows = [(i, f"n{i}/x", t) for i, t in enumerate(cases)] + [(99, "p/x", f"{prose} {i}") for i in range(1000)]
+    found = {r.doc_id: r.license for r in ls.scan(spark, spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert {t: found[i] for i, t in enumerate(cases)} == cases
+
+
+def test_whole_licence_files(spark):
+    folder = os.path.join(os.path.dirname(ls.__file__), "licenses")
+    texts = {f.removesuffix(".txt"): open(os.path.join(folder, f), encoding="utf-8").read() for f in sorted(os.listdir(folder))}
+    affero = texts["GPL-3.0"].replace("GENERAL PUBLIC", "AFFERO GENERAL PUBLIC").replace("General Public", "Affero General Public")
+    given = [*texts.items(), ("AGPL-3.0", affero)]
+    prose = "the water was cold and we sat by the shore for hours until the moon came up over the far hills"
+    rows = [(i, f"n{i}/LICENSE", t) for i, (_, t) in enumerate(given)] + [(100 + i, f"n{i}/src/x", prose) for i in range(len(given))]
+    found = {r.doc_id: (r.license, r.origin) for r in
+             ls.scan(spark, spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [found[i] for i in range(len(given))] == [(n, "notice") for n, _ in given]
+    assert [found[100 + i] for i in range(len(given))] == [(n, "inherited") for n, _ in given]
