@@ -111,6 +111,8 @@ def target_budgets(totals: DataFrame, exponent: float, budget_tokens: int | None
     weight = F.when(F.col("tokens") > 0, F.pow(t, F.lit(exponent)) / F.lit(power)).otherwise(F.lit(0.0))
     # Rounded to a millionth first, so that an exact number of blocks is not missed by an ulp.
     budget = F.floor(F.round(weight * F.lit(whole), 3) + F.lit(0.0005)).cast("long")
+    if budget_tokens is None:  # every source at least once; doubles may fall short of that in very large sources
+        budget = F.greatest(budget, F.col("tokens").cast("long"))
     return totals.withColumn("weight", weight).withColumn("budget", budget)
 
 

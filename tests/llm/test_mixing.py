@@ -99,3 +99,11 @@ def test_small_tables(make_docs):
     assert mixing.mix(make_docs([])).count() == 0 and mixing.mixed_documents(make_docs([])).count() == 0
     assert got(mixing.mix(make_docs([(1, "a b", "s")]))) == [(1, "s", 1, 2, 0, 0)]
     assert mixing.mixed_documents(make_docs([(1, None, None), (2, "", None)])).count() == 2
+
+
+def test_every_source_once_at_any_size(spark):
+    """Budgets of sources far beyond the exactness of doubles' products."""
+    rows = [(f"s{i}", 1, 10**14 + 7_919 * i * i + 1) for i in range(200)] + [("big", 1, 9 * 10**15 + 1)]
+    totals = spark.createDataFrame(rows, "source string, docs long, tokens long")
+    for exponent in (0.3, 0.55, 0.7):
+        assert mixing.target_budgets(totals, exponent).filter("budget < tokens").count() == 0
