@@ -55,15 +55,26 @@ def tokenizer(ranks: bytes, pattern: str = PATTERN) -> tiktoken.Encoding:
                              mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs})
 
 
-#: The tokenizer's pattern matcher gives up on far longer runs of white space; they are tokenized in parts of this length.
+#: The tokenizer's pattern matcher gives up on far longer runs of white space (Unicode's White_Space, as in its pattern);
+#: runs from this length on are found here.
 MAX_SPACE_RUN = 1 << 14
-_LONG_SPACE = re.compile(rf"\s{{{MAX_SPACE_RUN}}}")
+_LONG_SPACE = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{MAX_SPACE_RUN},}}")
 
 
 def encode(coder: tiktoken.Encoding, text: str) -> np.ndarray:
-    """Ids of the whole text; special tokens in it are ordinary text."""
-    cuts = [m.end() for m in _LONG_SPACE.finditer(text)] if len(text) > MAX_SPACE_RUN else []
-    parts = [coder.encode_to_numpy(text[a:b], disallowed_special=()) for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+    """Ids of the whole text; special tokens in it are ordinary text.
+
+    A long run of white space is the piece that the pattern makes of it: all of
+    it at the end of the text, else all but the last character, which goes with
+    what follows.
+    """
+    parts, at = [], 0
+    for run in _LONG_SPACE.finditer(text) if len(text) >= MAX_SPACE_RUN else ():
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        parts.append(coder.encode_to_numpy(text[at:run.start()], disallowed_special=()))
+        parts.append(np.array(coder._encode_single_piece(text[run.start():stop]), dtype=np.int32))
+        at = stop
+    parts.append(coder.encode_to_numpy(text[at:], disallowed_special=()))
     return np.concatenate(parts).astype(np.int32)
 
 

@@ -69,3 +69,12 @@ def test_empty(spark, make_docs):
     assert packing.pack(spark, make_docs([])).count() == 0
     with pytest.raises(ValueError):
         packing.pack(spark, make_docs([]), width=0)
+
+
+def test_long_white_space_has_the_ids_of_the_uncut_text():
+    coder, n = packing.tokenizer(packing.load_vocabulary()), packing.MAX_SPACE_RUN
+    for space in (" ", "\n", " \n", "　", "\t "):
+        for size in (n - 1, n, n + 1, 2 * n + 3):
+            run = (space * size)[:size]
+            for text in (f"a{run}b", f"{run}b", f"a {run}", run, f"a{run}, b{run}\x1c1"):
+                assert packing.encode(coder, text).tolist() == coder.encode(text, disallowed_special=()), (space, size)
