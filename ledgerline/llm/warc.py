@@ -41,7 +41,7 @@ from ledgerline.llm.common import cut
 #: Fixed values of the formats.
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 GZIP_MAGIC = b"\x1f\x8b\x08"
-VERSION = b"WARC/1."
+VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A skippable zstd frame of no bytes, all ASCII: the writer's record separator.
 EMPTY_FRAME = "P*M\x18\x00\x00\x00\x00"
@@ -127,7 +127,7 @@ class Record:
 
 def parse_record(data: bytes, at: int = 0) -> tuple[Record, int]:
     """The plain record at ``at`` and the place after it; raises Damaged."""
-    if not re.compile(rb"WARC/\d+\.\d+\r\n").match(data, at):
+    if not VERSION.match(data, at):
         raise Damaged("no version line")
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
@@ -177,21 +177,43 @@ def _skippable(data: bytes, at: int) -> int | None:
     return None
 
 
-def _member(data: bytes, at: int) -> tuple[Record, int]:
+def _inside(plain: bytes) -> list[tuple[Record | None, str | None]]:
+    """The records of an inflated member, and a reason for each gap between them; raises Damaged if it holds no record."""
+    out, at, gap, failure = [], 0, False, None
+    while at < len(plain):
+        try:
+            found, at = parse_record(plain, at)
+        except Damaged as e:
+            if not gap:
+                out.append((None, f"inside a member: {e}"))
+            gap, failure = True, failure or e
+            following = VERSION.search(plain, at + 1)
+            at = following.start() if following else len(plain)
+            continue
+        out.append((found, None))
+        gap = False
+    if not any(found for found, _ in out):
+        raise failure or Damaged("no version line")
+    return out
+
+
+def _member(data: bytes, at: int) -> tuple[list[tuple[Record | None, str | None]], int]:
+    """The records and inner gaps of the member at ``at``, and the place after it; raises Damaged."""
     if data.startswith(ZSTD_MAGIC, at) or data.startswith(GZIP_MAGIC, at):
         plain, end = _inflate(data, at)
-        found, stop = parse_record(plain)
-        if stop != len(plain):
-            raise Damaged("member holds more than a record")
-        return found, end
-    return parse_record(data, at)
+        return _inside(plain), end
+    found, end = parse_record(data, at)
+    return [(found, None)], end
 
 
-_BEGIN = re.compile(b"|".join(map(re.escape, (ZSTD_MAGIC, GZIP_MAGIC, VERSION))))
+_BEGIN = re.compile(b"|".join((re.escape(ZSTD_MAGIC), re.escape(GZIP_MAGIC), VERSION.pattern)))
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, Record | None, str | None]]:
-    """(offset, length, record, None) for each valid record and (offset, length, None, reason) for each gap."""
+    """(offset, length, record, None) for each valid record and (offset, length, None, reason) for each gap.
+
+    Records and gaps inside a compressed member have the member's place.
+    """
     at, gap, reason = 0, None, None
     while at < len(data):
         if gap is None and (end := _skippable(data, at)) is not None:
@@ -208,7 +230,8 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, Record | None, str | None]]
         if gap is not None:
             yield gap, at - gap, None, reason
             gap = None
-        yield at, end - at, found, None
+        for one, why in found:
+            yield at, end - at, one, why
         at = end
     if gap is not None:
         yield gap, len(data) - gap, None, reason

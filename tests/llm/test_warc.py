@@ -95,3 +95,19 @@ def test_reader_logs_gaps(spark):
 def test_nothing_to_read():
     assert list(warc.salvage(b"")) == []
     assert [(o, n) for o, n, _, _ in warc.salvage(b"no records")] == [(0, 10)]
+
+
+def test_members_of_many_records_and_old_versions():
+    records = [warc.record(i, f"http://x/{i}", b"page %d" % i, None, False) for i in range(4)]
+    bad = records[1].replace(b"page 1", b"page 7")
+    pack = zstandard.ZstdCompressor().compress
+    for data in (gzip.compress(b"".join(records)), pack(b"".join(records)), b"".join(map(gzip.compress, records))):
+        found = list(warc.salvage(data))
+        assert [r.payload for _, _, r, _ in found] == [b"page %d" % i for i in range(4)]
+    for squeeze in (gzip.compress, pack):
+        data = squeeze(records[0] + bad + records[2] + records[3])
+        found = list(warc.salvage(data))
+        assert [r and r.payload for _, _, r, _ in found] == [b"page 0", None, b"page 2", b"page 3"]
+        assert {(at, n) for at, n, _, _ in found} == {(0, len(data))}
+    old = b"".join(r.replace(b"WARC/1.1", b"WARC/0.18", 1) for r in (records[0], bad, records[2], records[3]))
+    assert [r and r.payload for _, _, r, _ in warc.salvage(old)] == [b"page 0", None, b"page 2", b"page 3"]
