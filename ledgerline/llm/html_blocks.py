@@ -25,6 +25,7 @@ import html as entities
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property, lru_cache
@@ -76,6 +77,8 @@ def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order, those of white space only left out."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
+    deep: list[str] = []  # names of the open elements beyond MAX_DEPTH, all of them inside those of the stack
+    held: Counter = Counter()
     now = Block(())
     links = 0
 
@@ -120,9 +123,15 @@ def blocks(page: str) -> list[Block]:
             put(" ")
         elif name in BLOCK_TAGS:
             if closing:
-                if any(t == name for t, _ in stack):
+                if held[name]:
+                    while (last := deep.pop()) != name:
+                        held[last] -= 1
+                    held[name] -= 1
+                elif any(t == name for t, _ in stack):
                     while stack.pop()[0] != name:
                         pass
+                    deep.clear()
+                    held.clear()
             else:
                 ends, barrier = IMPLIED_END.get(name, (set(), set()))
                 if stack and stack[-1][0] == "p":
@@ -135,6 +144,11 @@ def blocks(page: str) -> list[Block]:
                         break
                 if name not in VOID_TAGS and len(stack) < MAX_DEPTH:
                     stack.append((name, _marks(name, attrs)))
+                    deep.clear()  # an implied end made room: what lay inside is closed
+                    held.clear()
+                elif name not in VOID_TAGS:
+                    deep.append(name)
+                    held[name] += 1
             links = 0
             turn()
     turn()

@@ -110,3 +110,10 @@ def test_batches_do_not_matter():
     pages = [hb.blocks(source.page()[0]) for _ in range(60)]
     together = hb.label(pages, w)
     assert all((hb.label([p], w)[0] == t).all() for p, t in zip(pages, together, strict=True) if p)
+
+
+def test_end_tags_of_elements_beyond_the_depth_limit():
+    n = hb.MAX_DEPTH + 50
+    page = f"<div class='content'><p>first</p>{'<div>' * n}deep{'</div>' * n}<p>last</p></div><p>out</p>"
+    by = {b.text: b.path for b in hb.blocks(page)}
+    assert by["last"] == by["first"] and len(by["last"]) == 2 and len(by["out"]) == 1
