@@ -181,12 +181,53 @@ SELECT *, n_words < {_lq.MIN_WORDS} OR 100 * n_repeat_words > {_lq.MAX_REPEAT_PE
     AND lost_chars <= {_lq.MAX_LOST} * word_chars AS kept
 FROM figures"""
 
+# ------------------------------------------------------------ periodic runs
+#: Pairs of equal five-word windows at most a quarter of the text apart, in streaks of neighbouring places.
+_BIT = "lambda c, bit: xor(c >> 1, 3988292384 * (c & 1))"
+_CRC32 = (f"xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), "
+          f"lambda c, x: list_reduce(range(8), {_BIT}, xor(c, x)), 4294967295), 4294967295)")
+PERIODIC = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, COALESCE({_words('text')}, []) AS w, {_CRC32} AS h FROM documents
+), s AS (
+  SELECT *, len(w) AS n, h // 10 AS g FROM d
+), t AS (
+  SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM s WHERE h % 10 = 0 AND n > 0
+), v AS (
+  SELECT r, doc_id, n, w FROM s WHERE NOT (h % 10 = 0 AND n > 0) OR doc_id IS NULL
+  UNION ALL SELECT r, doc_id, n, list_transform(range(n), lambda i: w[1 + (CASE WHEN i < a THEN i ELSE a + (i - a) % p END)]) FROM t WHERE doc_id IS NOT NULL
+), grams AS (
+  SELECT r, i, n, array_to_string(w[i + 1:i + 5], ' ') AS five FROM (SELECT r, w, n, unnest(range(n - 4)) AS i FROM v WHERE n > 5)
+), pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.r = y.r AND x.five = y.five AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), streaks AS (
+  SELECT r, q, MIN(i) AS start, COUNT(*) + 4 + q AS length
+  FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs) GROUP BY r, q, island
+), long AS (
+  SELECT * FROM streaks WHERE length >= greatest(6, 4 * q)
+), runs AS (
+  SELECT * FROM long x WHERE NOT EXISTS (
+    SELECT 1 FROM long y WHERE y.r = x.r AND y.q < x.q AND y.start <= x.start AND y.start + y.length >= x.start + x.length)
+), dropped AS (
+  SELECT DISTINCT r, unnest(range(start + q, start + length)) AS i FROM runs
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM v)
+  ANTI JOIN dropped USING (r, i) GROUP BY r
+), listed AS (
+  SELECT r, COUNT(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines,
+    first(struct_pack(s := start, l := length, q := q) ORDER BY CAST(length AS DOUBLE) / q DESC, start, q) AS best FROM runs GROUP BY r
+)
+SELECT doc_id, COALESCE(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length, CAST(best.q AS BIGINT) AS period,
+  CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli, sha256(COALESCE(lines, '')) AS runs_sha256, sha256(COALESCE(text, '')) AS collapsed_sha256
+FROM v LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)"""
+
 ORACLE = {
     "op1_temperature_mixing": MIXING,
     "op3_fm_decontamination": DECONTAMINATION,
     "op6_chat_format": CHAT,
     "op7_warc_salvage": WARC,
     "op8_line_quality": QUALITY,
+    "op13_periodic_runs": PERIODIC,
 }
 
 

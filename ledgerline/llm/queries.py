@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, fm_decontam, html_blocks, license_scan, line_quality, mixing, packing, sharding, simhash, warc
-from ledgerline.llm.common import table
+from ledgerline.llm import (chat, fm_decontam, html_blocks, license_scan, line_quality, mixing, packing, periodic_runs, sharding,
+                            simhash, warc)
+from ledgerline.llm.common import let, table, words
 from ledgerline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,5 +119,41 @@ def op10_feistel_sharding(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def with_periodic_tail(key: Column, text: Column) -> Column:
+    """The text; where crc32 of the decimal key ends in 0, its words from some place on repeat with one period."""
+    h = F.crc32(key.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeat(found: Column) -> Column:
+        n = F.size(found)
+        a = F.pmod(g, n)
+        p = F.floor((n - a) / (g % 8 + 3)) + 1
+        head = F.slice(found, 1, a.cast("int"))
+        period = F.slice(found, a.cast("int") + 1, p.cast("int"))
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(period, times)), 1, (n - a).cast("int"))
+        return F.array_join(F.concat(head, tail), " ")
+
+    planted = let(words(text), lambda found: F.when(F.size(found) > 0, repeat(found)).otherwise(text))
+    return F.when(h % 10 == 0, planted).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_periodic_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.detect(docs)
+    # greatest exact length / period: compared by cross products, ties to the smallest start, then period
+    before = lambda x, y: (x["length"] * y["period"] > y["length"] * x["period"]) | (
+        (x["length"] * y["period"] == y["length"] * x["period"])
+        & ((x["start"] < y["start"]) | ((x["start"] == y["start"]) & (x["period"] < y["period"]))))
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(before(r, b), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        sha256_hex(listed).alias("runs_sha256"), sha256_hex(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

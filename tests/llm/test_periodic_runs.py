@@ -1,0 +1,128 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from ledgerline.llm import periodic_runs as pr
+
+
+def brute_runs(words, min_length=6, min_exponent=4):
+    """Every maximal stretch for every period; those with a smaller period inside the same stretch leave."""
+    n, found = len(words), []
+    for q in range(1, n // min_exponent + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            stretch = words[i:i + length]
+            smaller = any(stretch[:-p] == stretch[p:] for p in range(1, q))
+            if length >= max(min_length, min_exponent * q) and not smaller:
+                found.append((i, length, q))
+            i = j
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def planted(doc_id, text):
+    """Words of the query's text: every tenth document gets a periodic tail."""
+    words = (text or "").encode("utf-8", "surrogatepass").split()
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n = len(words)
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    return words
+
+
+def brute_row(doc_id, text):
+    words = planted(doc_id, text)
+    runs = brute_runs(words)
+    best = max(runs, key=lambda r: (r[1] / r[2], -r[0], -r[2]), default=(None,) * 3)
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    return (doc_id, len(runs), *best, None if best[0] is None else 1000 * best[1] // best[2],
+            sha(b"".join(b"%d,%d,%d\n" % r for r in runs)),
+            sha(b" ".join(w for i, w in enumerate(words) if i not in dropped)))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_random_sequences(seed):
+    rng = random.Random(seed)
+    for _ in range(150):
+        n, letters = rng.randrange(0, 70), rng.choice([1, 2, 3, 6])
+        words = [rng.randrange(letters) for _ in range(n)]
+        if rng.random() < 0.5 and n > 4:  # periodic stretches with a damaged word
+            p, at = rng.randrange(1, 6), rng.randrange(n - 2)
+            words[at:] = [words[at + (i % p) % (n - at)] for i in range(n - at)]
+            if rng.random() < 0.5:
+                words[rng.randrange(n)] = 9
+        least, times = rng.choice([(6, 4), (2, 2), (4, 3), (9, 2)])
+        assert pr.find_runs(np.array(words, dtype=np.int64), least, times) == brute_runs(words, least, times)
+
+
+def test_known_runs():
+    assert pr.find_runs(np.array([7, 1, 1, 1, 1, 1, 1, 8])) == [(1, 6, 1)]
+    assert pr.find_runs(np.array([1] * 5)) == []  # five words are too few
+    assert pr.find_runs(np.array([1, 2] * 4 + [1])) == [(0, 9, 2)]
+    assert pr.find_runs(np.array([1, 2] * 3 + [1])) == []  # 3.5 periods are too few
+    # a run inside a longer period's run
+    inner = [1, 1, 1, 1, 1, 1, 2]
+    found = pr.find_runs(np.array(inner * 4))
+    assert (0, 28, 7) in found and [r for r in found if r[2] == 1] == [(7 * k, 6, 1) for k in range(4)]
+
+
+def test_ordered_positions_split_and_merge():
+    rng = random.Random(5)
+    values = rng.sample(range(100_000), 6000)
+    big, small = values[:5000], sorted(values[5000:])
+    a, b = pr.Positions(big[0]), pr.Positions(small[0])
+    for x in big[1:]:
+        a.add(x)
+    for x in small[1:]:
+        b.add(x)
+    whole, of_small = sorted(values), set(small)
+    expected = {(x, y) for x, y in zip(whole, whole[1:], strict=False) if (x in of_small) != (y in of_small)}
+    assert set(a.take(b)) == expected and list(a) == whole and a.size == 6000
+    assert max(map(len, a.blocks)) <= pr.SET_BLOCK
+
+
+def test_long_sequences_end_soon():
+    n = 60_000
+    assert pr.find_runs(np.zeros(n, dtype=np.int64)) == [(0, n, 1)]
+    assert pr.find_runs(np.arange(n) % 977) == [(0, n, 977)]
+
+
+def test_detect_defined_cases(spark):
+    rows = [(1, "a b a b a b a b a b", "x", 1), (2, None, "y", 2), (3, "", "z", 3), (4, " \n\t ", "z", 4),
+            (None, "w w w w w w w", "n", 5), (1, "a b a b a b a b a b", "x", 6), (5, "é " * 9 + "end", "u", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, runs string, n_words int")
+    got = {(r.doc_id, r.collapsed): (r.n_words, [tuple(x) for x in r.runs]) for r in pr.detect(df).collect()}
+    assert got == {(1, "a b"): (10, [(0, 10, 2)]), (2, ""): (0, []), (3, ""): (0, []), (4, ""): (0, []),
+                   (None, "w"): (7, [(0, 7, 1)]), (5, "é end"): (10, [(0, 9, 1)])}
+    assert pr.detect(df).count() == 7
+    assert pr.detect(df.limit(0)).collect() == []
+    assert pr.detect(df.withColumn("id", df["doc_id"].cast("string")), key="id").schema["doc_id"].dataType.simpleString() == "string"
+
+
+def test_query_equals_brute_force(spark, sf_dir, save, make_docs):
+    from ledgerline.llm.queries import queries
+    query = queries()["op13_periodic_runs"]
+    columns = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    got = [tuple(r) for r in query(spark, sf_dir).select(*columns).collect()]
+    assert sorted(got) == sorted(brute_row(d.doc_id, d.text) for d in docs)
+    assert sum(r[1] > 0 for r in got) > 10
+
+    odd = [(i, t, "s") for i, t in enumerate([None, "", "x", "a a a a a a", "q " * 300, "a b c " * 40 + "a b", "\x0b\x0c \r"] * 6)]
+    odd += [(None, "b b b b b b b", None), (7, "a a a a a a", "s")]
+    root = save(documents=make_docs(odd))
+    got = [tuple(r) for r in query(spark, root).select(*columns).collect()]
+    assert sorted(got, key=str) == sorted((brute_row(i, t) for i, t, _ in odd), key=str)
