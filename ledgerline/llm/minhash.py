@@ -16,11 +16,14 @@ Two texts are linked when the Jaccard similarity of their sets of distinct
    paired with the bucket's smallest node only; the signatures and then the full
    sets of these pairs are compared, and the links found give a first set of
    components. Buckets whose members all lie in one component are done: a
-   further link inside a component changes nothing. In the others, pairs across
-   components are compared by signature inside tasks (numpy, blocks of at most
-   ``BLOCK`` members, members ordered into classes of similar set size first),
-   so a pair leaves a task only when it lies in two components and its
-   signatures agree; the full sets of those pairs are compared as well.
+   further link inside a component changes nothing. In the others, members of
+   different components are compared by signature inside tasks (numpy, blocks of
+   at most ``BLOCK`` members, classes of similar set size first). Members that
+   agree with one across are tied to a local group, one row each; the connected
+   groups are then dealt out with their full sets, again in blocks, and all
+   intersections of a block are counted by an inverted index over its shingles.
+   A block returns a spanning forest of its links: as many as it has members at
+   most, however many links there are.
 5. Components of all confirmed links by alternating large-star and small-star
    steps (``simhash.components``), each written to the shared folder.
 
@@ -58,8 +61,10 @@ BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 #: Agreeing signature bytes below which a pair is not compared in full (5.6 standard deviations below 80 %).
 MIN_AGREE = 128
-#: Members of a bucket that are compared with each other at a time.
-BLOCK = 2048
+#: Members of a bucket, and shingles of a group, that a block has at most; pairs of blocks are compared at a time.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 18
+#: Rows of an Arrow batch that carry two full sets each.
+SET_BATCH = 256
 SEED = 42
 #: Shingles whose hash values are worked out at a time (8 bytes each, for one hash function).
 HASH_BLOCK = 1 << 14
@@ -220,19 +225,62 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: in
                 linked[i] = 100 * shared >= percent * (len(a) + len(b) - shared)
             yield batch.select([0, 1]).filter(pa.array(linked))
 
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "first"), "node")
-    same = texts["doc_id"].eqNullSafe(needed["first.doc_id"]) & (texts["text_hash"] == needed["first.text_hash"])
-    chosen = texts.join(needed, same).select("node", "text")
-    sets = cut(_sets_of(chosen, shingle), "sets")  # rows repeating a key and its text give equal sets: kept once below
-    sets = sets.groupBy("node").agg(F.first("members").alias("members"))
+    sets = _full_sets(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), nodes, texts, shingle)
     left = sets.select(F.col("node").alias("u"), F.col("members").alias("set_u"))
     right = sets.select(F.col("node").alias("v"), F.col("members").alias("set_v"))
     both = pairs.join(right, "v").join(left, "u").select("u", "v", "set_u", "set_v")
-    return cut(both.mapInArrow(run, "u long, v long"), "links")
+    return _cut_in_batches(both.mapInArrow(run, "u long, v long"), "links")
+
+
+def _cut_in_batches(df: DataFrame, name: str) -> DataFrame:
+    """``cut`` with Arrow batches of at most ``SET_BATCH`` rows, as these hold full sets."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(SET_BATCH))
+    try:
+        return cut(df, name)
+    finally:
+        conf.set(key, before)
+
+
+def _full_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, members) of the wanted nodes, from the text of the row that stands for each."""
+    needed = wanted.join(nodes.select("node", "first"), "node")
+    same = texts["doc_id"].eqNullSafe(needed["first.doc_id"]) & (texts["text_hash"] == needed["first.text_hash"])
+    sets = _sets_of(texts.join(needed, same).select("node", "text"), shingle)
+    # rows repeating a key and its text give equal sets
+    return cut(sets.groupBy("node").agg(F.first("members").alias("members")), "sets")
+
+
+class _Forest:
+    """Union-find over a few labels of one task."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.parent.setdefault(x, x)
+        while up != self.parent[up]:
+            self.parent[up] = up = self.parent[self.parent[up]]
+        self.parent[x] = up
+        return up
+
+    def unite(self, x: int, y: int) -> bool:
+        """True if the two were apart; the smaller label becomes the root."""
+        a, b = sorted((self.root(x), self.root(y)))
+        self.parent[b] = a
+        return a != b
+
+
+def _dealt(placed: DataFrame) -> DataFrame:
+    """Rows with ``block`` of ``blocks``, once for each pair of blocks (low, high) that theirs is part of."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return placed.select("*", other.alias("other")).withColumns(
+        {"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks")
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Pairs (u, v) of one bucket whose components differ and whose signatures agree.
+    """(u, v): each member that agrees by signature with one of another component, tied to its local group's first.
 
     ``members``: (bucket, node, root, n_shingles, signature). Sets that reach
     80 % differ in size by a factor of 1.25 at most, so members meet within a
@@ -246,32 +294,71 @@ def _across(members: DataFrame) -> DataFrame:
     held = classed.groupBy("bucket", "class").agg(F.count("*").alias("rows"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     held = held.filter("r0 != r1").select("bucket", "class", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     placed = classed.join(held, ["bucket", "class"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = placed.select("*", other.alias("other")).select(
-        "bucket", "class", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "own", "node", "root", "signature")
+    dealt = _dealt(placed).select("bucket", "class", "low", "high", "block", "own", "node", "root", "signature")
 
-    def pairs_of(group: tuple, table: pa.Table) -> pa.Table:
+    def tie(group: tuple, table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
         root, block, own = (table.column(c).to_numpy() for c in ("root", "block", "own"))
         sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
         low, high = group[2].as_py(), group[3].as_py()
-        u, v = [], []
-        for i in range(len(node)):
-            if block[i] != low:
-                continue
+        ties, met = _Forest(), set()
+        for i in np.flatnonzero(block == low).tolist():
             # one side of the class's own size at least; within a block every pair once
             fit = (root != root[i]) & (own | own[i]) & (block == high)
             if low == high:
                 fit &= node > node[i]
             at = np.flatnonzero(fit)
             at = at[(sig[at] == sig[i]).sum(axis=1) >= MIN_AGREE]
-            u.append(np.minimum(node[i], node[at]))
-            v.append(np.maximum(node[i], node[at]))
-        empty = [np.empty(0, dtype=np.int64)]
-        return pa.table({"u": np.concatenate(u or empty), "v": np.concatenate(v or empty)})
+            for other in node[at].tolist():
+                ties.unite(int(node[i]), other)
+            if len(at):
+                met.add(int(node[i]))
+                met.update(node[at].tolist())
+        found = sorted(met)
+        return pa.table({"u": pa.array([ties.root(x) for x in found], pa.int64()), "v": pa.array(found, pa.int64())})
+
+    return dealt.groupBy("bucket", "class", "low", "high").applyInArrow(tie, "u long, v long").distinct()
+
+
+def _links_within(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Spanning forests (u, v) of the links between members of a group that lie in different components.
+
+    ``groups``: (group, node, root, n_shingles); every pair of a group meets in one pair of blocks.
+    """
+    size = groups.groupBy("group").agg(F.sum("n_shingles").alias("shingles"), F.count("*").alias("rows"))
+    blocks = F.greatest(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("rows") / BLOCK)).cast("int")
+    placed = groups.join(size.select("group", blocks.alias("blocks")), "group").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = _dealt(placed).join(sets, "node").select("group", "low", "high", "block", "node", "root", "members")
+
+    def link(group: tuple, table: pa.Table) -> pa.Table:
+        low, high = group[1].as_py(), group[2].as_py()
+        node, root, block = (table.column(c).to_numpy() for c in ("node", "root", "block"))
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("members")]
+        size = np.array([len(x) for x in sets], dtype=np.int64)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        every = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), size)
+        number = np.unique(every, return_inverse=True)[1]
+        order = np.argsort(number, kind="stable")
+        lists = owner[order]  # members of each shingle, one shingle after the other
+        begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=1))])
+        ties, u, v = _Forest(), [], []
+        for i in np.flatnonzero(block == low).tolist():
+            own = number[ends[i]:ends[i + 1]]
+            first, many = begin[own], begin[own + 1] - begin[own]
+            at = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+            shared = np.bincount(lists[at], minlength=len(sets))
+            near = (100 * shared >= percent * (size + size[i] - shared)) & (block == high) & (root != root[i])
+            if low == high:
+                near &= node > node[i]
+            for j in np.flatnonzero(near).tolist():
+                if ties.unite(int(root[i]), int(root[j])):
+                    u.append(int(node[i]))
+                    v.append(int(node[j]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return dealt.groupBy("bucket", "class", "low", "high").applyInArrow(pairs_of, "u long, v long").distinct()
+    return dealt.groupBy("group", "low", "high").applyInArrow(link, "u long, v long")
 
 
 def near_duplicates(df: DataFrame, shingle: int = SHINGLE_WORDS, percent: int = PERCENT, key: str = "doc_id",
@@ -304,7 +391,11 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE_WORDS, percent: int =
     labelled = cut(labelled, "labelled")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("bucket")
     members = labelled.join(mixed, "bucket").join(signatures, "node")
-    rest = _confirmed(cut(_across(members), "across"), nodes, texts, shingle, percent)
+    tied = components(cut(_across(members), "across").filter("u != v"))
+    groups = cut(tied.select(F.col("root").alias("group"), "node").join(
+        labelled.select("node", "n_shingles", "root").distinct(), "node"), "groups")
+    sets = _full_sets(groups.select("node"), nodes, texts, shingle)
+    rest = cut(_links_within(groups, sets, percent), "rest")
 
     found = components(links.union(rest))
     roots = nodes.join(found, nodes["node"] == found["node"], "left").select(
