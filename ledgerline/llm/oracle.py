@@ -9,7 +9,7 @@ compared with brute force in the tests.
 
 from __future__ import annotations
 
-from ledgerline.llm import chat, line_quality, mixing, queries
+from ledgerline.llm import chat, collocations, line_quality, mixing, queries
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -181,6 +181,41 @@ SELECT *, n_words < {_lq.MIN_WORDS} OR 100 * n_repeat_words > {_lq.MAX_REPEAT_PE
     AND lost_chars <= {_lq.MAX_LOST} * word_chars AS kept
 FROM figures"""
 
+# ------------------------------------------------------------- collocations
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT COALESCE(lang, '{collocations.UNKNOWN}') AS lang,
+      unnest(regexp_split_to_array(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (
+  SELECT lang, CAST(SUM(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), f AS (
+  SELECT lang, words, phrase, COUNT(*) AS a FROM (
+    SELECT lang, size AS words, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM (
+      SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, range(1, {collocations.LONGEST + 1}) g(size) WHERE len(w) >= size))
+  GROUP BY ALL
+), known AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE a >= {collocations.MIN_COUNT}
+), inside AS (
+  SELECT lang, sub, MAX(a) AS most FROM (
+    SELECT lang, a, array_to_string(w[i:i + size - 1], ' ') AS sub FROM (
+      SELECT lang, a, w, size, unnest(range(1, words - size + 2)) AS i FROM known, range(2, {collocations.LONGEST}) g(size) WHERE size < words))
+  GROUP BY ALL
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:], ' ') AS q
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM known WHERE words > 1)
+), scored AS (
+  SELECT c.*, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a::HUGEINT + y.a) AS score
+  FROM cuts c JOIN known x ON x.lang = c.lang AND x.phrase = p JOIN known y ON y.lang = c.lang AND y.phrase = q
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, phrase) AS rank
+  FROM lowest s LEFT JOIN inside i ON i.lang = s.lang AND i.sub = s.phrase
+  WHERE most IS NULL OR 100 * most::HUGEINT < {collocations.CONTAINED} * s.a::HUGEINT
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}"""
+
 # ------------------------------------------------------------ periodic runs
 #: Pairs of equal five-word windows at most a quarter of the text apart, in streaks of neighbouring places.
 _BIT = "lambda c, bit: xor(c >> 1, 3988292384 * (c & 1))"
@@ -227,6 +262,7 @@ ORACLE = {
     "op6_chat_format": CHAT,
     "op7_warc_salvage": WARC,
     "op8_line_quality": QUALITY,
+    "op12_phrase_collocations": COLLOCATIONS,
     "op13_periodic_runs": PERIODIC,
 }
 

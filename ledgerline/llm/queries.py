@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (chat, fm_decontam, html_blocks, license_scan, line_quality, minhash, mixing, packing, periodic_runs,
-                            sharding, simhash, warc)
+from ledgerline.llm import (chat, collocations, fm_decontam, html_blocks, license_scan, line_quality, minhash, mixing, packing,
+                            periodic_runs, sharding, simhash, warc)
 from ledgerline.llm.common import let, table, words
 from ledgerline.session import scratch_path
 
@@ -126,6 +126,11 @@ def op11_minhash_near_dedup(spark, sf_dir):
                          F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+@query
+def op12_phrase_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 def with_periodic_tail(key: Column, text: Column) -> Column:
     """The text; where crc32 of the decimal key ends in 0, its words from some place on repeat with one period."""
     h = F.crc32(key.cast("string"))
