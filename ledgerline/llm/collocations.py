@@ -9,17 +9,19 @@ has at least ``CONTAINED`` percent of its count.
 
 Method:
 
-1. Sketch of pairs. Neighbouring words (and single words) are hashed into
+1. Sketches. Words and pairs of neighbouring words are hashed into
    2^``SKETCH_BITS`` counters, summed over all texts. Counters never undercount, so a
    pair whose counter stays below ``min_count`` is no part of any candidate, and
    pieces may be cut there without changing any count that matters: a frequent
    phrase has only frequent pairs, so all its occurrences lie inside what is
-   left. The counters come to the driver as one bit each (2^27 bits, 16 MB,
-   whatever the input) and are broadcast. With very many different pairs the
-   sketch fills up and cuts less; the result stays the same.
+   left. A second sketch counts three and four words in what is left, and ends
+   grams early that cannot be frequent. Each sketch comes to the driver as one bit
+   a counter (2^27 bits, 16 MB, whatever the input) and is broadcast. With very many
+   different phrases the sketches fill up and cut less; the result stays the same.
 2. Edges. Every place of what is left of a piece starts a four-word gram, an edge
    from the node of its first three words to that of its last three. At the last
-   three places grams are shorter: these are the piece-end corrections. Equal
+   three places, and where the sketch ends it early, a gram is shorter: these are
+   the piece-end corrections. Equal
    grams are counted within a slice of texts first, then by one shuffle on
    language and first node.
 3. Flow. The count of a three-word node is the sum of its outgoing edges plus
@@ -49,6 +51,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,16 +96,25 @@ class Places:
         self.joined = np.zeros(n, dtype=bool)
         self.joined[:n - 1] = (piece[1:] == piece[:-1]) & (doc[1:] == doc[:-1])
 
-    def buckets(self, sketch_bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sketch counters of each place's word, and of its pair with the next word (meaningless where not joined)."""
+    def counters(self, sketch_bits: int) -> list[np.ndarray]:
+        """Sketch counters of the one to four words from each place (meaningless where they leave the piece)."""
         hashed = lambda values: np.array([xxhash.xxh64_intdigest(v, SEED) for v in values.cast(pa.binary()).to_pylist()],
                                          dtype=np.uint64)
+        if not len(self.ids):
+            return [np.empty(0, dtype=np.int64)] * LONGEST
         with np.errstate(over="ignore"):
-            word = hashed(self.words)[self.ids] if len(self.ids) else np.empty(0, dtype=np.uint64)
-            own = _mix(word ^ _mix(hashed(self.langs) + _U(1))[self.lang]) if len(word) else word
-            pair = _mix((own + _U(0x9E3779B97F4A7C15)) ^ np.roll(word, -1))
-        shift = _U(64 - sketch_bits)
-        return (own >> shift).astype(np.int64), (pair >> shift).astype(np.int64)
+            word = hashed(self.words)[self.ids]
+            grown = [_mix(word ^ _mix(hashed(self.langs) + _U(1))[self.lang])]
+            for k in range(1, LONGEST):
+                grown.append(_mix((grown[-1] + _U(0x9E3779B97F4A7C15)) ^ np.roll(word, -k)))
+        return [(x >> _U(64 - sketch_bits)).astype(np.int64) for x in grown]
+
+    def room(self, linked: np.ndarray) -> np.ndarray:
+        """Words from each place on to the end of its run of linked places, four at most."""
+        length = np.ones(len(linked), dtype=np.int64)
+        for _ in range(LONGEST - 1):
+            length[:-1] = np.where(linked[:-1], np.minimum(length[1:] + 1, LONGEST), 1)
+        return length
 
 
 def _slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Places]:
@@ -111,23 +123,34 @@ def _slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Places]:
             yield Places(batch.column(0).slice(start, count), batch.column(1).slice(start, count))
 
 
-def frequent_buckets(rows: DataFrame, min_count: int, sketch_bits: int = SKETCH_BITS) -> np.ndarray:
-    """Sketch of (lang, text): for each counter whether it reached ``min_count``, packed into 2^``sketch_bits`` bits."""
+def sketch(rows: DataFrame, min_count: int, sketch_bits: int = SKETCH_BITS, pairs: Broadcast | None = None) -> np.ndarray:
+    """For each counter whether it reached ``min_count``, packed into 2^``sketch_bits`` bits.
+
+    ``rows``: (lang, text). Counts words and pairs, or three and four words where
+    the sketch of ``pairs`` lets all their pairs pass.
+    """
     width = 1 << SEGMENT_BITS
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for places in _slices_of(batches):
-            own, pair = places.buckets(sketch_bits)
-            found, counts = np.unique(np.concatenate([own, pair[places.joined]]), return_counts=True)
+            at = places.counters(sketch_bits)
+            if pairs is None:
+                counted = [at[0], at[1][places.joined]]
+            else:
+                room = places.room(places.joined & _is_set(pairs.value, at[1]))
+                counted = [at[2][room >= 3], at[3][room >= 4]]
+            found, counts = np.unique(np.concatenate(counted), return_counts=True)
+            if not len(found):
+                continue
             counts = np.minimum(counts, min_count).astype(np.uint32)
             segment = found >> SEGMENT_BITS
-            edges = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])) if len(found) else np.empty(0, np.int64)
+            edges = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
             ends = np.append(edges[1:], len(found))
-            at = (found & (width - 1)).astype(np.uint16)
+            within = (found & (width - 1)).astype(np.uint16)
             narrow = counts.astype(np.uint8) if min_count < 256 else counts
             yield pa.RecordBatch.from_arrays(
                 [pa.array(segment[edges].astype(np.int32)),
-                 pa.array([at[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary()),
+                 pa.array([within[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary()),
                  pa.array([narrow[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary())],
                 names=["segment", "at", "counts"])
 
@@ -169,31 +192,31 @@ def grams(rows: DataFrame, min_count: int, sketch_bits: int = SKETCH_BITS) -> Da
     """(lang, head, last, n): counted grams of slices of texts, and (lang, null, null, words).
 
     ``head`` has the first three words; ``last`` the fourth, or null where the
-    piece (or what the sketch leaves of it) ends before.
+    piece (or what the sketches leave of it) ends before.
     """
-    bits = rows.sparkSession.sparkContext.broadcast(frequent_buckets(rows, min_count, sketch_bits))
+    context = rows.sparkSession.sparkContext
+    pairs = context.broadcast(sketch(rows, min_count, sketch_bits))
+    longer = context.broadcast(sketch(rows, min_count, sketch_bits, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for places in _slices_of(batches):
-            yield from _grams_of(places, bits.value, sketch_bits)
+            yield from _grams_of(places, pairs.value, longer.value, sketch_bits)
 
     return rows.mapInArrow(run, "lang string, head string, last string, n long")
 
 
-def _grams_of(places: Places, bits: np.ndarray, sketch_bits: int) -> Iterator[pa.RecordBatch]:
+def _grams_of(places: Places, pairs: np.ndarray, longer: np.ndarray, sketch_bits: int) -> Iterator[pa.RecordBatch]:
     names = ["lang", "head", "last", "n"]
     if not len(places.ids):
         return
     lang, words = np.unique(places.lang, return_counts=True)
     none = pa.nulls(len(lang), pa.string())
     yield pa.RecordBatch.from_arrays([places.langs.take(pa.array(lang)), none, none, pa.array(words)], names=names)
-    own, pair = places.buckets(sketch_bits)
-    linked = places.joined & _is_set(bits, pair)
-    # places left to the end of the run, up to four
-    length = np.ones(len(linked), dtype=np.int64)
-    for _ in range(LONGEST - 1):
-        length[:-1] = np.where(linked[:-1], np.minimum(length[1:] + 1, LONGEST), 1)
-    starts = np.flatnonzero((length > 1) | _is_set(bits, own))
+    at = places.counters(sketch_bits)
+    length = places.room(places.joined & _is_set(pairs, at[1]))
+    length = np.where((length >= 3) & ~_is_set(longer, at[2]), 2, length)
+    length = np.where((length >= 4) & ~_is_set(longer, at[3]), 3, length)
+    starts = np.flatnonzero((length > 1) | _is_set(pairs, at[0]))
     length = length[starts]
     # word numbers of each gram, 0 for none
     number = np.zeros((LONGEST, len(starts)), dtype=np.int64)
@@ -205,10 +228,10 @@ def _grams_of(places: Places, bits: np.ndarray, sketch_bits: int) -> Iterator[pa
     first = np.unique((tongue * size + number[0]) * size + number[1], return_inverse=True)[1]
     second = np.unique(number[2] * size + number[3], return_inverse=True)[1]
     both = first.astype(np.int64) * (int(second.max(initial=0)) + 1) + second
-    _, at, counts = np.unique(both, return_index=True, return_counts=True)
-    word = [pc.take(places.words, pa.array(number[k, at] - 1, mask=number[k, at] == 0)) for k in range(LONGEST)]
+    _, one, counts = np.unique(both, return_index=True, return_counts=True)
+    word = [pc.take(places.words, pa.array(number[k, one] - 1, mask=number[k, one] == 0)) for k in range(LONGEST)]
     head = pc.binary_join_element_wise(word[0], word[1], word[2], " ", null_handling="skip")
-    yield pa.RecordBatch.from_arrays([places.langs.take(pa.array(tongue[at])), head, word[3], pa.array(counts)], names=names)
+    yield pa.RecordBatch.from_arrays([places.langs.take(pa.array(tongue[one])), head, word[3], pa.array(counts)], names=names)
 
 
 def phrase_counts(df: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT,

@@ -91,7 +91,7 @@ def test_full_sketch_changes_nothing(spark, monkeypatch, rows):
     df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
     expected = brute(rows)
     assert mined(df, sketch_bits=16) == expected
-    monkeypatch.setattr(co, "frequent_buckets", lambda rows, min_count, bits: np.full(1 << (bits - 3), 255, dtype=np.uint8))
+    monkeypatch.setattr(co, "sketch", lambda rows, min_count, bits, pairs=None: np.full(1 << (bits - 3), 255, dtype=np.uint8))
     assert mined(df) == expected
 
 
@@ -106,22 +106,25 @@ def test_counts_come_from_flow(spark, rows):
 
 def test_sketch_never_undercounts(spark):
     rng = random.Random(2)
-    rows = [(" ".join(f"v{rng.randrange(40)}" for _ in range(50)), rng.choice("ab")) for _ in range(60)]
-    bits = co.frequent_buckets(spark.createDataFrame(rows, "text string, lang string").select("lang", "text").repartition(4), 5)
-    assert bits.nbytes * 8 == 1 << co.SKETCH_BITS
+    rows = [(" ".join(f"v{min(30, int(rng.paretovariate(0.8)))}" for _ in range(50)), rng.choice("ab")) for _ in range(60)]
+    df = spark.createDataFrame(rows, "text string, lang string").select("lang", "text").repartition(4)
+    bits = co.sketch(df, 5)
+    longer = co.sketch(df, 5, pairs=spark.sparkContext.broadcast(bits))
+    assert bits.nbytes * 8 == longer.nbytes * 8 == 1 << co.SKETCH_BITS
     places = co.Places(pa.array([lang for _, lang in rows]), pa.array([t for t, _ in rows]))
-    own, pair = places.buckets(co.SKETCH_BITS)
-    counts = Counter()
-    for text, lang in rows:
-        words = text.split()
-        counts.update((lang, w) for w in words)
-        counts.update((lang, *p) for p in zip(words, words[1:], strict=False))
-    names = [(places.langs[int(x)].as_py(), places.words[int(w)].as_py()) for x, w in zip(places.lang, places.ids, strict=True)]
-    frequent, joint = co._is_set(bits, own), co._is_set(bits, pair)
-    for i, (lang, word) in enumerate(names):
-        assert frequent[i] == (counts[lang, word] >= 5)  # no collisions among so few
-        if places.joined[i]:
-            assert joint[i] == (counts[lang, word, names[i + 1][1]] >= 5)
+    counts = Counter((lang, *text.split()[i:i + k]) for text, lang in rows for k in range(1, 5) for i in range(51 - k))
+    frequent = [co._is_set(b, at) for b, at in zip((bits, bits, longer, longer), places.counters(co.SKETCH_BITS), strict=True)]
+    names = [places.words[int(w)].as_py() for w in places.ids]
+    room = places.room(places.joined)
+    seen = Counter()
+    for i, lang in enumerate(places.lang):
+        for k in range(room[i]):
+            phrase = (places.langs[int(lang)].as_py(), *names[i:i + k + 1])
+            pairs_pass = all(counts[(phrase[0], *names[j:j + 2])] >= 5 for j in range(i, i + k))
+            # no collisions among so few; longer ones are counted where all pairs pass only
+            assert frequent[k][i] == (counts[phrase] >= 5 and (k < 2 or pairs_pass))
+            seen[k, bool(frequent[k][i])] += 1
+    assert all(seen[k, known] for k in (1, 2, 3) for known in (True, False))
 
 
 def test_unary_paths(spark):
