@@ -15,11 +15,18 @@ Stages
    as CSV (and Parquet when asked).
 
 Everything runs as Spark jobs; the driver only issues DDL and returns the
-paths of the outputs. A second run over the same database replaces everything.
+paths of the outputs. A second run over the same database replaces everything:
+table by table in place, or, with ``atomic``, all tables in one step after the
+last output is written (``sources.publication``).
+
+With ``malformed="divert"`` raw rows with a cell that does not parse leave for a
+bad-row sink with their reasons before step 2 (``sources.malformed``); by default
+such cells read as NULL, as published.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline import schemas
 from ledgerline.operators import clean, mart, score
 from ledgerline.session import shared_dir
-from ledgerline.sources import catalog, files
+from ledgerline.sources import catalog, files, malformed
+from ledgerline.sources.publication import Publication, Run
+
+MALFORMED = ("null", "divert")
 
 
 @dataclass
@@ -45,6 +55,10 @@ class BatchPaths:
     # tables bucketed on the join keys with this many buckets, so the score's
     # loan_id join runs without a shuffle.
     table_buckets: int = 0
+    # True: each run writes below out_root/runs/<run id> and its tables are
+    # published together; not with table_buckets.
+    atomic: bool = False
+    malformed: str = "null"
     outputs: dict[str, str] = field(default_factory=dict)
 
 
@@ -54,52 +68,86 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _read_raw(spark: SparkSession, p: BatchPaths, root: str, sink: Callable[[str, DataFrame], None], name: str) -> DataFrame:
+    """A raw relation; malformed rows read as NULL cells or leave for ``<name>_malformed``."""
+    path = getattr(p, name)
+    if p.malformed == "null":
+        return getattr(files, f"read_{name}")(spark, path, p.ingest_ts)
+    sides = malformed.divert(malformed.read_checked(spark, path, RAW[name], p.ingest_ts), f"{root}/staged/{name}")
+    sink(f"{name}_malformed", malformed.malformed_cells(sides.bad))
+    return sides.good
+
+
+RAW = {"customers": schemas.RAW_CUSTOMERS, "loans": schemas.RAW_LOANS, "repayments": schemas.RAW_REPAYMENTS,
+       "delinquencies": schemas.RAW_DELINQUENCIES}
+
+
 def run_batch(spark: SparkSession, p: BatchPaths) -> dict[str, str]:
     """Run the job; returns {output name: path}."""
-    cleaned = f"{p.out_root.rstrip('/')}/cleaned"
+    if p.malformed not in MALFORMED:
+        raise ValueError(f"malformed must be one of {MALFORMED}, got {p.malformed!r}")
+    if p.atomic and p.table_buckets:
+        raise ValueError("bucketed tables are replaced one by one: not with atomic")
+    run = Publication(spark, p.db, p.out_root).begin() if p.atomic else None
+    root = run.folder if run else p.out_root.rstrip("/")
     out: dict[str, str] = {}
 
     def sink(name: str, df: DataFrame) -> None:
-        path = f"{cleaned}/{name}"
+        path = f"{root}/cleaned/{name}"
         files.write_csv(df, path)
         out[name] = path
 
-    customers, customers_bad = clean.clean_customers(files.read_customers(spark, p.customers, p.ingest_ts), p.mode, _cut)
+    def raw(name: str) -> DataFrame:
+        return _read_raw(spark, p, root, sink, name)
+
+    customers, customers_bad = clean.clean_customers(raw("customers"), p.mode, _cut)
     sink("customers", customers)
     sink("customers_bad_data", customers_bad)
-    sink("loans", clean.clean_loans(files.read_loans(spark, p.loans, p.ingest_ts)))
-    sink("repayments", clean.clean_repayments(files.read_repayments(spark, p.repayments, p.ingest_ts), p.mode))
-    late = clean.clean_delinquencies(files.read_delinquencies(spark, p.delinquencies, p.ingest_ts), _cut)
+    sink("loans", clean.clean_loans(raw("loans")))
+    sink("repayments", clean.clean_repayments(raw("repayments"), p.mode))
+    late = clean.clean_delinquencies(raw("delinquencies"), _cut)
     sink("delinquencies", late.delinquents)
     sink("delinquencies_bad_data", late.bad)
     sink("delinquencies_public_records", late.public_records)
 
+    t = _tables(spark, p, root, out, run)
+    scores = score.credit_score(t["repayments"], t["loans"], t["delinquencies_public_records"],
+                                t["delinquencies"], t["customers"])
+    processed = f"{root}/processed"
+    files.write_csv(scores, f"{processed}/credit_score")
+    out["credit_score"] = f"{processed}/credit_score"
+    if p.write_parquet_score:
+        files.write_parquet(spark.read.csv(out["credit_score"], header=True, schema=scores.schema),
+                            f"{processed}/credit_score_parquet")
+        out["credit_score_parquet"] = f"{processed}/credit_score_parquet"
+    if run:
+        run.stage("credit_score", scores.schema, out["credit_score"])
+        run.commit()
+        catalog.create_view(spark, mart.mart_view_sql(p.db))
+    p.outputs = out
+    return out
+
+
+def _tables(spark: SparkSession, p: BatchPaths, root: str, out: dict[str, str], run: Run | None) -> dict[str, DataFrame]:
+    """The five cleaned tables as the score reads them: staged (atomic), or registered in the catalog."""
+    if run:
+        for name in schemas.PUBLISHED:
+            run.stage(name, schemas.PUBLISHED[name], out[name])
+        return {name: run.table(name) for name in schemas.PUBLISHED}
     catalog.create_database(spark, p.db)
     if p.table_buckets > 0:
         csv_tables = {name: spark.read.csv(out[name], header=True, schema=schemas.PUBLISHED[name])
                       for name in schemas.PUBLISHED}
         n = p.table_buckets
-        catalog.publish_bucketed(spark, csv_tables, p.db, f"{p.out_root.rstrip('/')}/tables", {
+        catalog.publish_bucketed(spark, csv_tables, p.db, f"{root}/tables", {
             "loans": ("loan_id", n), "repayments": ("loan_id", n),
             "customers": ("member_id", n), "delinquencies": ("member_id", n),
             "delinquencies_public_records": ("member_id", n)})
     else:
         for name in schemas.PUBLISHED:
             catalog.create_external_table(spark, f"{p.db}.{name}", schemas.PUBLISHED[name], out[name])
-
     catalog.create_view(spark, mart.mart_view_sql(p.db))
-    t = {name: spark.table(f"{p.db}.{name}") for name in schemas.PUBLISHED}
-    scores = score.credit_score(t["repayments"], t["loans"], t["delinquencies_public_records"],
-                                t["delinquencies"], t["customers"])
-    processed = f"{p.out_root.rstrip('/')}/processed"
-    files.write_csv(scores, f"{processed}/credit_score")
-    out["credit_score"] = f"{processed}/credit_score"
-    if p.write_parquet_score:
-        files.write_parquet(spark.read.csv(out["credit_score"], header=True, schema=scores.schema),
-                            f"{processed}/credit_score_parquet")
-        out["credit_score_parquet"] = f"{processed}/credit_score_parquet"
-    p.outputs = out
-    return out
+    return {name: spark.table(f"{p.db}.{name}") for name in schemas.PUBLISHED}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -115,10 +163,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--buckets", type=int, default=0,
                     help="publish bucketed Parquet tables with this many buckets (0: CSV tables)")
     ap.add_argument("--parquet-score", action="store_true", help="also write the score as Parquet")
+    ap.add_argument("--atomic", action="store_true", help="publish all tables of the run in one step")
+    ap.add_argument("--malformed", choices=MALFORMED, default="null",
+                    help="what becomes of raw rows with cells that do not parse")
     a = ap.parse_args(argv)
     spark = build_session()
     paths = BatchPaths(a.customers, a.loans, a.repayments, a.delinquencies, a.out_root, db=a.db,
-                       mode=a.mode, write_parquet_score=a.parquet_score, table_buckets=a.buckets)
+                       mode=a.mode, write_parquet_score=a.parquet_score, table_buckets=a.buckets,
+                       atomic=a.atomic, malformed=a.malformed)
     size_shuffle_partitions(spark, [paths.customers, paths.loans, paths.repayments, paths.delinquencies])
     for name, path in run_batch(spark, paths).items():
         print(f"{name}\t{path}")

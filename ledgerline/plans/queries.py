@@ -24,8 +24,10 @@ from ledgerline.operators.quality import split_unique
 from ledgerline.operators.skew import key_row_counts, rows_per_task
 from ledgerline.plans.batch import BatchPaths, run_batch
 from ledgerline.session import scratch_path
-from ledgerline.sources import catalog, files
-from ledgerline.sources.fixtures import RAW_SCHEMAS, LendingInputs
+from ledgerline.sources import catalog, files, malformed
+from ledgerline.sources.fixtures import RAW_SCHEMAS, LendingInputs, malformed_lines
+from ledgerline.sources.publication import Publication
+from ledgerline.streaming import duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -561,6 +563,117 @@ def batch_customers_bad_data(spark, sf_dir):
     return written.select(*[F.col(f.name).cast(columns[f.name]) for f in schemas.RAW_CUSTOMERS.fields])
 
 
+# ---------------------------------------------------------- malformed cells
+def _diverted(spark, sf_dir, name) -> malformed.Diverted:
+    """A raw relation with malformed rows among it, read once and split."""
+    path, staging = scratch_path(spark, f"raw_{name}"), scratch_path(spark, f"staged_{name}")
+    malformed_lines(_inputs(spark, sf_dir).raw(name, ingest=False), name).write.text(path)
+    return malformed.divert(malformed.read_checked(spark, path, RAW_SCHEMAS[name], header=False), staging)
+
+
+@query
+def malformed_loan_cells(spark, sf_dir):
+    return malformed.malformed_cells(_diverted(spark, sf_dir, "loans").bad, "loan_id").drop("record")
+
+
+@query
+def loans_well_formed(spark, sf_dir):
+    return _drop(_diverted(spark, sf_dir, "loans").good)
+
+
+@query
+def malformed_counts(spark, sf_dir):
+    """Reasons of all four raw relations with the number of rows that have them."""
+    counts = [malformed.malformed_counts(_diverted(spark, sf_dir, name).bad, name) for name in RAW_SCHEMAS]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2]).unionAll(counts[3])
+
+
+@query
+def corrupt_row_counts(spark, sf_dir):
+    """Rows of each raw relation whose malformed cells a plain read turns into NULL."""
+    out = None
+    for name in RAW_SCHEMAS:
+        path = scratch_path(spark, f"raw_{name}")
+        malformed_lines(_inputs(spark, sf_dir).raw(name, ingest=False), name).write.text(path)
+        one = files.corrupt_row_count(spark, path, RAW_SCHEMAS[name], header=False).select(F.lit(name).alias("relation"), "corrupt_rows")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+# ------------------------------------------------------- atomic publication
+def _atomic_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Published customers as readers see them after a run and a failed second one, and after a third."""
+    raw = {name: scratch_path(spark, f"raw_{name}") for name in RAW_SCHEMAS}
+    for name, path in raw.items():
+        files.write_csv(_inputs(spark, sf_dir).raw(name, ingest=False), path, keep_whitespace=True)
+    db = f"lending_{uuid.uuid4().hex[:12]}"
+    root = scratch_path(spark, db)
+    catalog.create_database(spark, db, f"{root}/_warehouse")
+    run_batch(spark, BatchPaths(out_root=root, db=db, atomic=True, **raw))
+    failing = Publication(spark, db, root).begin()
+    intended = clean.clean_customers(files.read_customers(spark, raw["customers"]), "intended").clean
+    files.write_csv(intended, f"{failing.folder}/cleaned/customers")
+    failing.stage("customers", schemas.PUBLISHED_CUSTOMERS, f"{failing.folder}/cleaned/customers")
+    # its next sink was never written: nothing of the run may become visible
+    failing.stage("loans", schemas.PUBLISHED_LOANS, f"{failing.folder}/cleaned/loans")
+    try:
+        failing.commit()
+    except RuntimeError:
+        before = spark.table(f"{db}.customers")
+    run_batch(spark, BatchPaths(out_root=root, db=db, atomic=True, mode="intended", **raw))
+    return before, spark.table(f"{db}.customers")
+
+
+@query
+def atomic_publication_customers(spark, sf_dir):
+    before, after = _atomic_batches(spark, sf_dir)
+    return _drop(before.withColumn("seen", F.lit("after a failed run")).unionByName(
+        after.withColumn("seen", F.lit("after the next run"))))
+
+
+# ------------------------------------------------- duplicates across files
+ARRIVALS = 3
+
+
+def _taken_in(spark, sf_dir, name: str, number, distinct_rows: bool = False, keep: str = "true") -> duplicates.Arriving:
+    """A raw relation that arrives in three parts, each taken in before the next one comes."""
+    raw = _inputs(spark, sf_dir).raw(name, ingest=False)
+    root = scratch_path(spark, f"arriving_{name}")
+    a = duplicates.Arriving(RAW_SCHEMAS[name], "member_id", f"{root}/source/*", f"{root}/state", distinct_rows, keep)
+    for part in range(ARRIVALS):
+        files.write_csv(raw.filter(number % ARRIVALS == part), f"{root}/source/part{part}", keep_whitespace=True)
+        duplicates.take_in(spark, a)
+    return a
+
+
+def _arriving_delinquencies(spark, sf_dir) -> duplicates.Arriving:
+    # the two versions of a member's row come in different parts
+    number = F.substring("member_id", 2, 20).cast("long") + F.col("delinq_amnt").cast("int") % 250
+    return _taken_in(spark, sf_dir, "delinquencies", number)
+
+
+@query
+def arriving_delinquencies_split(spark, sf_dir):
+    clean_rows, bad = duplicates.split(spark, _arriving_delinquencies(spark, sf_dir))
+    return _drop(clean_rows.withColumn("side", F.lit("clean")).unionByName(bad.withColumn("side", F.lit("bad"))))
+
+
+@query
+def arriving_delinquency_retractions(spark, sf_dir):
+    return duplicates.retractions(spark, _arriving_delinquencies(spark, sf_dir))
+
+
+@query
+def arriving_customers_split(spark, sf_dir):
+    """Equal rows count once; rows without income take no part."""
+    version = F.coalesce(F.substring("annual_income", -2, 2).cast("int"), F.lit(0))
+    number = version + F.substring("address_zipcode", 1, 3).cast("int")
+    a = _taken_in(spark, sf_dir, "customers", number, distinct_rows=True, keep="annual_income IS NOT NULL")
+    clean_rows, bad = duplicates.split(spark, a)
+    both = clean_rows.withColumn("side", F.lit("clean")).unionByName(bad.withColumn("side", F.lit("bad")))
+    return _drop(both.withColumn("emp_length", fx.emp_length_years("emp_length")))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -29,23 +29,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
 CORRUPT_COLUMN = "_corrupt_record"
 
 
-def read_csv_flagging_corrupt(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_flagging_corrupt(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
     """Schema'd CSV scan that keeps the raw line of any row with a malformed
     typed cell in ``_corrupt_record`` (the typed value itself reads as NULL,
     exactly as in the plain read)."""
     flagged = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
     return (spark.read.option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-            .csv(path, header=True, schema=flagged))
+            .csv(path, header=header, schema=flagged))
 
 
-def corrupt_row_count(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def corrupt_row_count(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
     """One row: how many input rows had a cell that did not parse as its type.
 
     A positional schema silently turns such cells into NULL (for example
     "178050.0" in an INTEGER column); this count makes the loss visible.
     """
-    df = read_csv_flagging_corrupt(spark, path, schema)
+    df = read_csv_flagging_corrupt(spark, path, schema, header)
     # Every typed column is referenced: the CSV parser only parses (and so
     # only validates) the columns a query needs, and a scan of the
     # corrupt-record column alone is refused.

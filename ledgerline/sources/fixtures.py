@@ -152,6 +152,29 @@ def derive_delinquencies(customer: DataFrame) -> DataFrame:
     )
 
 
+#: Cells that do not parse as their column's type.
+BAD_FLOAT, BAD_INT = "12,5oo", "178050.0"
+
+
+def malformed_lines(raw: DataFrame, name: str) -> DataFrame:
+    """CSV lines (one column ``value``, no header) of a raw relation with malformed rows among them.
+
+    Every row is there; a number taken from its key chooses which get a cell
+    that does not parse, a cell too many, or no last cell.
+    """
+    number = {"customers": F.substring("address_zipcode", 1, 3), "loans": F.substring("loan_id", 2, 20),
+              "repayments": F.substring("loan_id", 2, 20), "delinquencies": F.substring("member_id", 2, 20)}[name]
+    k = number.cast("long")
+    typed = [f for f in raw.schema.fields if f.dataType.simpleString() != "string"]
+    planted = {f.name: F.when(k % (83 + 2 * i) == 0, BAD_INT if f.dataType.simpleString() == "int" else BAD_FLOAT)
+               .otherwise(_s(F.col(f.name))) for i, f in enumerate(typed)}
+    cells = [planted.get(c, F.col(c)).alias(c) for c in raw.columns]
+    options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    whole, short = F.to_csv(F.struct(*cells), options), F.to_csv(F.struct(*cells[:-1]), options)
+    return raw.select(F.when(k % 127 == 0, F.concat(whole, F.lit(",surplus"))).when(k % 131 == 0, short)
+                      .otherwise(whole).alias("value"))
+
+
 class LendingInputs:
     """Raw lending relations of one scale-factor directory (lazy DataFrames)."""
 
