@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import rules
+from ledgerline.operators.bloom import reduce_by
 from ledgerline.operators.skew import key_row_counts, skew_join
 
 PAYMENT_PTS = ["last_payment_pts", "total_payment_pts"]
@@ -101,6 +102,11 @@ def loan_health_points(loans: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------ weighted member sides
+def loans_of_late_members(loans: DataFrame, delinquents: DataFrame) -> DataFrame:
+    """Loans that may belong to a delinquent member: the others are dropped where they are scanned."""
+    return reduce_by(loans, delinquents, "member_id")
+
+
 def _weighted_history(repayments, loans, public_records, delinquents) -> DataFrame:
     """(member_id, 6 points, _wl): distinct payment/defaulter combinations."""
     pay = (payment_points(repayments, loans)
@@ -140,25 +146,31 @@ def financial_health_points(repayments, loans, public_records, delinquents, cust
     return _weighted_fanout(repayments, loans, public_records, delinquents, customers)
 
 
-def credit_score(repayments, loans, public_records, delinquents, customers) -> DataFrame:
+def credit_score(repayments, loans, public_records, delinquents, customers, reduce_loans: bool = False) -> DataFrame:
     """(member_id, payment_history_pts, defaulters_history_pts,
     financial_health_pts, credit_score, n_rows), one row per distinct score of a member.
 
     Weights: 20 % payment history, 45 % defaulters history, 35 % financial
-    health; decimal arithmetic; NULL when any part is NULL.
+    health; decimal arithmetic; NULL when any part is NULL. ``reduce_loans``
+    probes a Bloom filter of the delinquent members before loans are shuffled:
+    worth its extra scan of the (small) delinquency table where few members are late.
     """
+    if reduce_loans:
+        loans = loans_of_late_members(loans, delinquents)
     combos = _weighted_fanout(repayments, loans, public_records, delinquents, customers)
     return (combos.select("member_id", *_score_exprs(), "n_rows").groupBy("member_id", *SCORE_COLS)
             .agg(F.sum("n_rows").cast(COUNT_TYPE).alias("n_rows")))
 
 
-def credit_score_per_loan(repayments, loans, public_records, delinquents, customers) -> DataFrame:
+def credit_score_per_loan(repayments, loans, public_records, delinquents, customers, reduce_loans: bool = False) -> DataFrame:
     """One row per repaid loan of a delinquent member; no member fan-out.
 
     Repayment and loan meet on loan_id; the member-grain tables (customer,
     delinquency points) join on member_id and share one partitioning, then
     meet the loans in one salted join.
     """
+    if reduce_loans:
+        loans = loans_of_late_members(loans, delinquents)
     paid = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
     owed = loans.select("loan_id", "member_id", "monthly_installment", "funded_amount", "loan_status")
     members = _credit_profile(customers).join(defaulter_points(public_records, delinquents), "member_id")

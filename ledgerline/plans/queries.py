@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from ledgerline import schemas
 from ledgerline.functions import cleaning as fx
 from ledgerline.functions import rules
-from ledgerline.operators import clean, mart, profile, score
+from ledgerline.operators import clean, mart, mart_refresh, observe, profile, score, sketches
 from ledgerline.operators.quality import split_unique
 from ledgerline.operators.skew import key_row_counts, rows_per_task
 from ledgerline.plans.batch import BatchPaths, run_batch
 from ledgerline.session import scratch_path
-from ledgerline.sources import catalog, files, malformed
+from ledgerline.sources import catalog, files, malformed, statistics
 from ledgerline.sources.fixtures import RAW_SCHEMAS, LendingInputs, malformed_lines
 from ledgerline.sources.publication import Publication
 from ledgerline.streaming import duplicates
@@ -425,6 +425,21 @@ def credit_score_per_loan(spark, sf_dir):
     return _as_double(score.credit_score_per_loan(*_score_args(_tables(spark, sf_dir))), SCORE_DOUBLE)
 
 
+@query
+def credit_score_reduced_loans(spark, sf_dir):
+    """The same score with loans probed against a filter of late members before their shuffle."""
+    return _as_double(score.credit_score(*_score_args(_tables(spark, sf_dir)), reduce_loans=True), SCORE_DOUBLE)
+
+
+@query
+def severe_delinquency_scores(spark, sf_dir):
+    """Per-loan scores of the few members with six or more late payments in two years."""
+    t = _tables(spark, sf_dir)
+    severe = t.delinquencies.filter("delinq_2yrs >= 6")
+    scores = score.credit_score_per_loan(t.repayments, t.loans, t.public_records, severe, t.customers, reduce_loans=True)
+    return _as_double(scores, SCORE_DOUBLE)
+
+
 # ----------------------------------------------------------------- profiles
 @query
 def profile_emp_length_digits(spark, sf_dir):
@@ -563,6 +578,72 @@ def batch_customers_bad_data(spark, sf_dir):
     return written.select(*[F.col(f.name).cast(columns[f.name]) for f in schemas.RAW_CUSTOMERS.fields])
 
 
+# ------------------------------------------------- profiles kept as states
+@query
+def daily_distinct_counts(spark, sf_dir):
+    """Distinct members, purposes and issue dates of all loans from states kept per issue date."""
+    loans = _tables(spark, sf_dir).loans
+    states = sketches.distinct_states(loans, "issue_date", ["member_id", "loan_purpose", "loan_title"])
+    path = scratch_path(spark, "distinct_states")
+    states.write.partitionBy("column").parquet(path)
+    estimated = sketches.distinct_counts(spark.read.parquet(path))
+    exact = loans.select(*[F.count_distinct(c).alias(c) for c in ("member_id", "loan_purpose", "loan_title")])
+    exact = exact.unpivot([], list(exact.columns), "column", "exact")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= sketches.ERROR * F.col("exact") + 1
+    return estimated.join(exact, "column").select("column", "exact", near.alias("within_error"))
+
+
+@query
+def frequent_payment_dates(spark, sf_dir):
+    """The most frequent last payment dates, from states kept per part and merged; counts are exact here
+    because fewer dates occur than a state tracks, which ``max_error`` (0) tells."""
+    paid = _tables(spark, sf_dir).repayments
+    part = F.pmod(F.xxhash64("loan_id"), F.lit(7)).cast("int")
+    path = scratch_path(spark, "frequent_states")
+    sketches.frequent_states(paid.withColumn("part", part), "part", "last_payment_date").write.parquet(path)
+    return sketches.frequent_items(spark.read.parquet(path), 10_000).filter("item is not null")
+
+
+@query
+def observed_batch_profiles(spark, sf_dir):
+    """All filtered counts of a run, observed while its outputs are written: no scan of their own."""
+    t = _inputs(spark, sf_dir)
+    root = scratch_path(spark, "observed")
+    loans = observe.observe(t.raw("loans"), "loans", {"null_loan_amount": F.col("loan_amount").isNull()})
+    required = clean.repayment_stages(t.raw("repayments")).required
+    zero = F.col("total_payment_received") == 0
+    paid = observe.observe(required, "repayments", {
+        "zero_payment": zero, "zero_payment_with_principal": zero & (F.col("total_principal_received") != 0)})
+    for name, observed in (("loans", loans), ("repayments", paid)):
+        observed.rows.write.parquet(f"{root}/{name}")
+    return observe.profile_rows(spark, [loans, paid])
+
+
+# ------------------------------------------------- mart refresh, statistics
+@query
+def customers_loan_refreshed(spark, sf_dir):
+    """The mart built before some loans and delinquencies changed, then refreshed for the members concerned."""
+    t = _tables(spark, sf_dir)
+    now = {"customers": t.customers, "loans": t.loans, "repayments": t.repayments, "delinquencies": t.delinquencies,
+           "delinquencies_public_records": t.public_records}
+    number = F.substring("member_id", 2, 20).cast("long")
+    late = number % 50 == 7  # their loans had another status, their delinquencies were not yet known
+    before = now | {"loans": t.loans.withColumn("loan_status", F.when(late, "Issued").otherwise(F.col("loan_status"))),
+                    "delinquencies": t.delinquencies.filter(~late)}
+    path = scratch_path(spark, "customers_loan")
+    mart_refresh.build(before, path)
+    mart_refresh.refresh(spark, now, t.customers.filter(late).select("member_id"), path)
+    return mart_refresh.read(spark, path)
+
+
+@query
+def published_statistics(spark, sf_dir):
+    """Row and null counts of the published tables' key columns as the catalog has them after publication."""
+    db = _publish_catalog(spark, sf_dir)
+    statistics.analyze(spark, db)
+    return statistics.column_statistics(spark, db).drop("distinct_estimate")
+
+
 # ---------------------------------------------------------- malformed cells
 def _diverted(spark, sf_dir, name) -> malformed.Diverted:
     """A raw relation with malformed rows among it, read once and split."""

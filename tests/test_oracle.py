@@ -37,7 +37,7 @@ KEYS = sorted(_queries.queries())
 
 
 def test_registry_complete():
-    assert set(KEYS) == set(_oracle.oracle_sql()) and len(KEYS) == 81
+    assert set(KEYS) == set(_oracle.oracle_sql()) and len(KEYS) == 88
     assert set(KEYS) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
