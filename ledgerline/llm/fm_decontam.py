@@ -10,19 +10,22 @@ the final intervals are followed back by LF steps to the nearest sampled suffix
 position, which locates each occurrence. Occurrences merge into removal spans.
 
 Benchmark phrases are sent to the executors in blocks of at most
-``BLOCK_BYTES``; a larger benchmark adds passes over the documents, chained in
-one plan, and never a larger broadcast. Nothing is shuffled: each document's
-result is made where its text is.
+``BLOCK_BYTES``; a larger benchmark adds passes over the documents. Each pass but the
+last is written to the shared folder before the next begins, so a task holds
+one block and one broadcast is alive at a time. Nothing is shuffled: each
+document's result is made where its text is.
 
 Defined cases: a null text has no words and no hits; null item ids are left
 out; null or word-less items have no windows; repeated documents and items
-each count; an empty benchmark leaves every document clean; input columns
-named like an output column are replaced.
+each count; an empty benchmark leaves every document clean. ``scan`` and
+``verdicts`` replace input columns named like one that they add;
+``decontaminate`` returns every input column, whatever its name.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.llm.common import cut, shielded
+
 WINDOW_WORDS = 13
 #: Words of one shard (a longer document is a shard of its own).
 SHARD_WORDS = 1 << 20
@@ -295,11 +300,12 @@ def item_blocks(benchmark: DataFrame, key: str, text: str, limit: int) -> Iterat
     block, size = [], 0
     rows = benchmark.select(F.col(key).cast("long"), F.col(text)).filter(F.col(key).isNotNull() & F.col(text).isNotNull())
     for item, value in rows.toLocalIterator():
-        if block and size + len(value) > limit:
+        length = len(value.encode("utf-8", "surrogatepass"))
+        if block and size + length > limit:
             yield block
             block, size = [], 0
         block.append((item, value))
-        size += len(value)
+        size += length
     if block:
         yield block
 
@@ -315,10 +321,14 @@ def scan(spark: SparkSession, df: DataFrame, benchmark: DataFrame, text: str = "
                      F.array().cast("array<bigint>").alias("items"))
     out = df.drop("_found").withColumn("_found", empty)
     blocks = item_blocks(benchmark, item_key, item_text, block_bytes)
-    first = next(blocks, [])
-    for block in ([first], blocks):
-        for items in block:
-            out = _search_block(out, text, spark.sparkContext.broadcast(phrases_of(items, window)), shard_words)
+    sent = None
+    for items in itertools.chain([next(blocks, [])], blocks):
+        if sent is not None:
+            # the pass before ends here: no task runs two passes, and no two broadcasts are alive
+            out = cut(out, "scanned")
+            sent.destroy()
+        sent = spark.sparkContext.broadcast(phrases_of(items, window))
+        out = _search_block(out, text, sent, shard_words)
     return out
 
 
@@ -358,9 +368,9 @@ def items_digest(items) -> str:
 
 def decontaminate(spark: SparkSession, df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The clean rows of ``df``, unchanged, in its columns."""
-    rows = df.drop("_found")
-    marked = scan(spark, rows, benchmark, **options)
+    rows, at = shielded(df)
+    marked = scan(spark, rows, benchmark, **options | {"text": at[options.get("text", "text")]})
     spans = F.aggregate(F.transform("_found.spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)),
                         F.lit(0).cast("long"), lambda a, x: a + x)
     clean = (spans == 0) | (20 * spans < F.col("_found.n_words"))
-    return marked.filter(clean).select(*[F.col(f"`{c}`") for c in rows.columns])
+    return marked.filter(clean).select(*rows.columns).toDF(*df.columns)

@@ -9,8 +9,9 @@ shuffle, no Python, and memory in proportion to one text.
 
 Defined cases: a null or blank text has no words, fails the base check and
 keeps a null or unchanged text; blank lines are kept and judged by no rule;
-repeated rows are judged alike; an empty table gives an empty result; input
-columns named like an output column are replaced.
+repeated rows are judged alike; an empty table gives an empty result. ``judge``
+replaces input columns named like one that it adds; ``apply_rules`` returns every
+input column, whatever its name.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import SPACE_CLASS, let, words
+from ledgerline.llm.common import SPACE_CLASS, let, shielded, unused, words
 
 WINDOW_WORDS = 8
 MIN_WORDS = 20
@@ -156,23 +157,25 @@ ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 def judge(df: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
     """``df`` with the base figures, ``clean_text``, ``lost_chars`` and the verdicts ``base_failed`` and ``kept``."""
-    df = df.drop(*ADDED, "_found")
+    df = df.drop(*ADDED)
+    own = unused(df, "_found")
     found = F.struct(base_figures(F.col(text)).alias("base"), clean_lines(F.col(text)).alias("lines"))
     # A generator of one row: filters on its output stay above it, so texts are judged once.
-    rows = df.withColumn("_found", F.explode(F.array(found)))
-    base, lines = F.col("_found.base"), F.col("_found.lines")
+    rows = df.withColumn(own, F.explode(F.array(found)))
+    base, lines = F.col(f"{own}.base"), F.col(f"{own}.lines")
     base_failed = ((base["n_words"] < MIN_WORDS)
                    | (100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"]))
     small_loss = lines["lost_chars"] <= F.lit(max_lost) * base["word_chars"]
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], "_found.base.*", base_failed.alias("base_failed"),
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], f"{own}.base.*", base_failed.alias("base_failed"),
                        lines["lost_chars"].alias("lost_chars"), lines["text"].alias("clean_text"),
                        (~base_failed & small_loss).alias("kept"))
 
 
 def apply_rules(df: DataFrame, text: str = "text", chars: str = "n_chars", max_lost: float = MAX_LOST) -> DataFrame:
     """Kept documents with their cleaned text, in the columns of ``df``; ``chars`` follows the text where present."""
-    kept = judge(df, text, max_lost).filter("kept")
-    new = {text: F.col("clean_text")}
-    if chars in df.columns and chars not in ADDED:
-        new[chars] = F.length("clean_text").cast(df.schema[chars].dataType)
-    return kept.withColumns(new).select(*[F.col(f"`{c}`") for c in df.columns if c not in ADDED])
+    inner, at = shielded(df)
+    kept = judge(inner, at[text], max_lost).filter("kept")
+    new = {at[text]: F.col("clean_text")}
+    if chars in at:
+        new[at[chars]] = F.length("clean_text").cast(df.schema[chars].dataType)
+    return kept.withColumns(new).select(*inner.columns).toDF(*df.columns)

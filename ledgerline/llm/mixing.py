@@ -24,7 +24,9 @@ lost, and small sources are repeated.
 Defined cases: a null source is a source of its own (output null); documents
 without words have no tokens and come along in whole blocks only, a source of
 none but those is laid out once; repeated rows are laid out together; an empty
-table gives an empty result.
+table gives an empty result; texts of any length are only counted and hashed.
+``mix`` reads doc_id, text and source only; ``mixed_documents`` returns every input
+column, whatever its name.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import cut, shielded
 
 GRID_BITS = 16
 GRID = 1 << GRID_BITS
@@ -174,12 +176,12 @@ def mixed_documents(df: DataFrame, **options) -> DataFrame:
     The schedule is folded to a number of blocks per (doc_id, text, source) and
     the text rows are repeated where they are.
     """
-    blocks = (mix(df, **options).groupBy(*KEY).agg(F.count("*").cast("int").alias("_times"))
+    blocks = (mix(df.select("doc_id", "text", "source"), **options).groupBy(*KEY).agg(F.count("*").cast("int").alias("_times"))
               .withColumnsRenamed({"doc_id": "_d", "text_hash": "_h", "source": "_s"}))
     plan = cut(blocks, "mix_times")
-    rows = df.drop("_hash", "_copy", "_times", "_d", "_h", "_s")
-    found = rows.withColumn("_hash", F.coalesce(F.md5(F.col("text")), F.lit("null"))).join(
-        plan, (F.col("_hash") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d"))
-        & F.col("source").eqNullSafe(F.col("_s")))
+    rows, at = shielded(df)
+    found = rows.withColumn("_hash", F.coalesce(F.md5(F.col(at["text"])), F.lit("null"))).join(
+        plan, (F.col("_hash") == F.col("_h")) & F.col(at["doc_id"]).eqNullSafe(F.col("_d"))
+        & F.col(at["source"]).eqNullSafe(F.col("_s")))
     return (found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*[F.col(f"`{c}`") for c in rows.columns]))
+            .select(*rows.columns).toDF(*df.columns))

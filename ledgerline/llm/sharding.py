@@ -11,8 +11,9 @@ row of any place, through the inverse network) can be computed.
 
 Defined cases: a null key or text takes part in the row hash as ``null``;
 rows equal in key and text are interchangeable and take neighbouring numbers;
-an empty table stays empty; input columns named like an output column are
-replaced.
+an empty table stays empty; input columns ``shard`` and ``slot`` are replaced, all
+others returned, whatever their names. ``number_rows`` uses names of its own:
+give it a table without them, as ``shard_rows`` does.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import shielded, unused
+
 #: Rows that one numbering bucket holds on average, and the least number of buckets.
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 4096
@@ -132,11 +135,13 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 17, key: str = "doc_id",
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
-    df = df.drop("shard", "slot", "row_number", "_permuted", "_bucket", "_inside", "_start", "_n")
+    df = df.drop("shard", "slot")
     n = df.count()
     hashed = row_hash(F.col(key), F.col(text)) if order_hash is None else order_hash
-    numbered = number_rows(df, hashed, n)
+    order = unused(df, "_order")
+    inner, at = shielded(df.withColumn(order, hashed))
+    numbered = number_rows(inner, F.col(at[order]), n)
     return (numbered.withColumn("_permuted", _permuted(F.col("row_number"), n, seed))
             .withColumn("shard", (F.col("_permuted") % shards).cast("int"))
             .withColumn("slot", F.expr(f"_permuted div {int(shards)}"))
-            .drop("_permuted", "row_number"))
+            .select(*[at[c] for c in df.columns], "shard", "slot").toDF(*df.columns, "shard", "slot"))

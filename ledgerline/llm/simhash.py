@@ -20,7 +20,9 @@
 
 Defined cases: null, empty and blank texts have fingerprint 0, linked like any
 other; rows with equal texts share a component; a null doc_id never names a
-component unless all members have none; an empty table gives an empty result.
+component unless all members have none; keys may be of any orderable type; an
+empty table gives an empty result. ``near_duplicates`` reads key and text only;
+``keep_one`` returns every input column, whatever its name.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut
+from ledgerline.llm.common import cut, shielded
 
 SEED = 42
 BITS, BYTES = 64, 8
@@ -70,9 +72,8 @@ def fingerprints(df: DataFrame, shingle: int, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values.view(np.int64))],
                                              names=["doc_id", "text_hash", "fp"])
 
-    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"),
-                     F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    rows = df.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def position_sets() -> list[tuple[int, ...]]:
@@ -170,12 +171,14 @@ def keep_one(df: DataFrame, shingle: int = 3, max_bits: int = 3, key: str = "doc
     The row of the smallest doc_id stays (of rows repeating it with the same
     text, one). Rows travel once, by (doc_id, text hash), which no group shares.
     """
-    marked = near_duplicates(df, shingle, max_bits, key, text)
+    inner, at = shielded(df)
+    key, text = at[key], at[text]
+    marked = near_duplicates(inner, shingle, max_bits, key, text)
     keep = cut(marked.filter("keeper").select(F.col("doc_id").alias("_keep_id"), F.col("text_hash").alias("_keep_hash"))
                .distinct(), "keepers")
-    rows = df.withColumn("_id", F.col(key).cast("long")).withColumn("_hash", F.xxhash64(F.col(text)))
+    rows = inner.withColumn("_id", F.col(key)).withColumn("_hash", F.xxhash64(F.col(text)))
     stay = rows.join(keep, (rows["_hash"] == keep["_keep_hash"]) & rows["_id"].eqNullSafe(keep["_keep_id"]),
                      "left_semi")
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in (key, text)]
+    rest = [F.col(c) for c in inner.columns if c not in (key, text)]
     order = Window.partitionBy("_hash", "_id").orderBy(F.to_json(F.struct(F.lit(0).alias("_"), *rest)))
-    return stay.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_id", "_hash", "_nth")
+    return stay.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").select(*inner.columns).toDF(*df.columns)

@@ -86,3 +86,23 @@ def test_empty_tables(spark, make_docs):
 def test_clean_text():
     assert fm_decontam.clean_text("A b, c! d é.", [1, 3]) == "A  d é."[:2] + "! d é."
     assert fm_decontam.clean_text("x y", []) == "x y" and fm_decontam.clean_text(None, [0, 1]) is None
+
+
+def test_ten_blocks_run_one_pass_at_a_time(spark, make_docs):
+    """No plan holds two passes, and the blocks together find what one block does."""
+    docs, items, df, bench = edge_tables(spark, make_docs)
+    more = [(100 + i, f"extra item {i} " + " ".join(f"w{(i * 3 + k) % 40}" for k in range(15))) for i in range(10)]
+    bench = bench.unionByName(spark.createDataFrame(more, "item_id long, text string").select(*bench.columns))
+    assert len(list(fm_decontam.item_blocks(bench, "item_id", "text", 64))) >= 10
+    split = fm_decontam.verdicts(fm_decontam.scan(spark, df, bench, block_bytes=64))
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "contaminated"]
+    whole = fm_decontam.verdicts(fm_decontam.scan(spark, df, bench))
+    rows = lambda x: sorted(map(str, x.select(*columns).collect()))
+    assert rows(split) == rows(whole)
+
+
+def test_blocks_are_measured_in_bytes(spark):
+    bench = spark.createDataFrame([(i, "é" * 10) for i in range(4)], "item_id long, text string")
+    assert [len(b) for b in fm_decontam.item_blocks(bench, "item_id", "text", 40)] == [2, 2]
