@@ -3,11 +3,15 @@
 1. Texts are compared with licence templates by the cosine of sparse TF-IDF
    vectors over words. Each line of a file is compared, each window of a
    template's length that slides over the whole text (a notice inside other
-   text), and the file as a whole (a licence file). Document frequencies of
-   all words are counted over all documents. Files are scored where they are
-   with the frequencies of the template words and the commonest words; only
-   lines, windows and texts that can still be the best of their file send their
-   other words to a join with the frequencies. The cosine returned is the best
+   text), and the file as a whole (a licence file; it must also hold words that make
+   up ``COVERAGE`` of the template's squared weight, so that a few shared words of a short text
+   are no licence). Document frequencies of all words are counted over all
+   documents. Lines and files of a slice of texts are scored as sparse products in
+   numpy where they are, with the frequencies of the template words and the
+   ``COMMON_WORDS`` commonest words (a sorted array of word hashes, 12 MB for a million words);
+   only lines, windows and texts that can still be the best of their file keep their
+   other words open. The distinct open words of a row go to a join with the
+   frequencies once, and come back as one row. The cosine returned is the best
    of these; windows below the notice limit are left out of it.
 2. A file close to a template as a whole is the licence file of its directory.
    Directories are made distinct, spread out to their ancestors (one row per
@@ -35,13 +39,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from importlib import resources
 
+import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import cut
+from ledgerline.llm.wordlists import slices
 
 #: Least cosine of a line that is a licence notice, and of a whole text that is a licence file.
 NOTICE_COSINE = 0.6
@@ -51,8 +58,11 @@ FULL_COSINE = 0.8
 WHOLE_COSINE = 0.9
 #: A notice of a licence that is not known.
 UNKNOWN = "unknown"
+#: Least share of a template's squared weight whose words a whole text must hold.
+COVERAGE = 0.5
 #: Words whose weights go to every task (others by a join), and distinct words that a task counts before it passes them on.
-COMMON_WORDS = 1 << 14
+COMMON_WORDS = 1 << 20
+SEED = 42
 FLUSH_WORDS = 1 << 20
 
 #: Wording of licence notices and licences, by SPDX identifier.
@@ -156,6 +166,7 @@ UNNAMED_TEXTS = {"BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT"}
 HEAD_WORDS = 100
 MARGIN = 3
 
+_LICENCE = re.compile(r"\blicen[cs]es?(?!\S)")
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*|[^\W_a-z0-9A-Z]+")
 
 
@@ -193,7 +204,8 @@ def named(template: str, wording: str, words: list[str], whole: str, full: bool
     others = [name for name, r in NAMES.items() if r.search(text)]
     if len(others) == 1:
         return others[0]
-    return template if full and not others else UNKNOWN if "licens" in text else None
+    # A licence is spoken of by the noun; "was licensed by the state" names none.
+    return template if full and not others else UNKNOWN if _LICENCE.search(text) else None
 
 
 def rank_of(license: str | None) -> int:
@@ -210,8 +222,14 @@ def document_frequencies(df: DataFrame, text: str) -> DataFrame:
                                               names=["word", "n"])
 
         for batch in batches:
-            for value in batch.column(0):
-                seen.update({"", *words_of(value.as_py())})
+            for start, count in slices(batch.column(0)):
+                found = [words_of(x.as_py()) for x in batch.column(0).slice(start, count)]
+                coded = pa.array([w for words in found for w in words], pa.string()).dictionary_encode()
+                row = np.repeat(np.arange(count), [len(words) for words in found])
+                once = np.unique(row * max(1, len(coded.dictionary)) + np.asarray(coded.indices)) % max(1, len(coded.dictionary))
+                documents = np.bincount(once, minlength=len(coded.dictionary)).tolist()
+                seen.update(dict(zip(coded.dictionary.to_pylist(), documents, strict=True)))
+                seen[""] += count
                 if len(seen) >= FLUSH_WORDS:
                     yield flush()
                     seen.clear()
@@ -227,6 +245,36 @@ def weight(total: int, n: int) -> float:
     return 1 + math.log((1 + total) / (1 + n))
 
 
+class Weights:
+    """Weights of the template words and of the commonest words; other words are open."""
+
+    def __init__(self, total: int, known: dict[str, int], hashes: np.ndarray, counts: np.ndarray):
+        self.total, self.hashes, self.counts = total, hashes, counts
+        self.known = {w: weight(total, n) for w, n in known.items()}
+        self.cache: dict[str, float | None] = {}
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """Weight of each word, NaN for an open one."""
+        out = np.full(len(words), np.nan)
+        if len(self.hashes):
+            found = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), SEED) for w in words], dtype=np.uint64)
+            at = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
+            held = self.hashes[at] == found
+            out[held] = 1 + np.log((1 + self.total) / (1.0 + self.counts[at[held]]))
+        for i, w in enumerate(words):
+            if w in self.known:
+                out[i] = self.known[w]
+        return out
+
+    def get(self, word: str) -> float | None:
+        if word not in self.cache:
+            if len(self.cache) >= FLUSH_WORDS:
+                self.cache.clear()
+            value = self.of([word])[0]
+            self.cache[word] = None if np.isnan(value) else float(value)
+        return self.cache[word]
+
+
 @dataclass(frozen=True)
 class Unit:
     """A line, window or whole text against a template, but for the weights of ``words``."""
@@ -243,16 +291,16 @@ class Unit:
 class Scorer:
     """Cosines between a text and the templates.
 
-    ``frequencies`` holds the template words and the commonest words; every
-    other word is in 1 to ``rest`` documents. A cosine with such words lies
-    between two bounds; what cannot be the best of its text is left out here,
-    the rest gets its exact weights by a join.
+    ``weights`` knows the template words and the commonest words; every other
+    word is in 1 to ``rest`` documents. A cosine with such words lies between two
+    bounds; what cannot be the best of its text is left out here, the rest gets
+    its exact weights by a join.
     """
 
-    def __init__(self, total: int, frequencies: dict[str, int], rest: int, notice_cosine: float, file_cosine: float,
-                 full: dict[str, list[str]]):
-        self.idf = {w: weight(total, n) for w, n in frequencies.items()}
-        self.idf.update({w: weight(total, 0) for w in known_words(full) if w not in frequencies})
+    def __init__(self, weights: Weights, rest: int, notice_cosine: float, file_cosine: float, full: dict[str, list[str]]):
+        total = weights.total
+        self.weights = weights
+        self.idf = weights.known
         self.light, self.heavy = weight(total, max(1, rest)), weight(total, 1)
         self.least, self.least_file = notice_cosine, file_cosine
         self.templates: list[str] = []
@@ -271,6 +319,7 @@ class Scorer:
             self.full.append((len(self.templates), sorted(((w, x / norm) for w, x in weights.items()), key=lambda p: (-p[1], p[0]))))
             self.templates.append(name)
             self.wordings.append(" ".join(found[:HEAD_WORDS]))
+        self._sparse()
 
     def _add(self, name: str, found: list[str]) -> None:
         at, weights = len(self.templates), {w: n * self.idf[w] for w, n in Counter(found).items()}
@@ -296,7 +345,7 @@ class Scorer:
         dots: dict[int, float] = {}
         square, words = 0.0, []
         for w, n in counts.items():
-            idf = self.idf.get(w)
+            idf = self.weights.get(w)
             if idf is None:
                 words.append(w)
                 continue
@@ -333,6 +382,10 @@ class Scorer:
                 if first is not None:
                     begin, end = first, min(i, last)
 
+    def _at_least(self, word: str) -> float:
+        found = self.weights.get(word)
+        return self.light if found is None else found
+
     def _slide(self, words: list[str], t: int, begin: int, end: int) -> Iterator[int]:
         """Starts from ``begin`` to ``end`` of windows that can reach the limit."""
         vector, size = self.vectors[t], self.sizes[t]
@@ -341,13 +394,13 @@ class Scorer:
         limit = self.least * self.least * (1 - 1e-6)
         for i in range(begin, min(len(words), end + size)):
             w = words[i]
-            idf, n = self.idf.get(w, self.light), held.get(w, 0)
+            idf, n = self._at_least(w), held.get(w, 0)
             held[w] = n + 1
             dot += idf * vector.get(w, 0.0)
             square += (2 * n + 1) * idf * idf
             if i - begin >= size:
                 w = words[i - size]
-                idf, n = self.idf.get(w, self.light), held[w]
+                idf, n = self._at_least(w), held[w]
                 held[w] = n - 1
                 dot -= idf * vector.get(w, 0.0)
                 square -= (2 * n - 1) * idf * idf
@@ -371,20 +424,63 @@ class Scorer:
                 out.append((t, dot))
         if not out:
             return []
-        words = sorted(w for w in counts if w not in self.idf)
+        weights = {w: self.weights.get(w) for w in counts}
+        words = sorted(w for w in counts if weights[w] is None)
         numbers = tuple(counts[w] for w in words)
-        square = sum((n * self.idf[w]) ** 2 for w, n in counts.items() if w in self.idf)
+        square = sum((n * weights[w]) ** 2 for w, n in counts.items() if weights[w] is not None)
         rest = sum(n * n for n in numbers)
         units = [Unit(d / math.sqrt(square + rest * self.heavy ** 2), d / math.sqrt(square + rest * self.light ** 2), t, d, square,
                       tuple(words), numbers) for t, d in out]
         return [u for u in units if u.high >= FULL_COSINE - 1e-6]
 
-    def scan(self, text: str | None) -> tuple[list[Unit], list[Unit]]:
-        """Units that may be the best line or window, and those that may be the best for the whole text."""
-        lines = [words_of(line) for line in (text or "").split("\n")]
+    def _sparse(self) -> None:
+        """Template words as a sparse matrix: number of each word, and its templates with their weights."""
+        self.columns = {w: k for k, w in enumerate(self.having)}
+        entries = [self.having[w] for w in self.columns]
+        self.begin = np.concatenate([[0], np.cumsum([len(e) for e in entries])])
+        self.at_template = np.array([t for e in entries for t, _ in e], dtype=np.int64)
+        self.at_weight = np.array([x for e in entries for _, x in e])
+
+    def _products(self, group: np.ndarray, groups: int, word: np.ndarray, words: int, idf: np.ndarray, column: np.ndarray) -> Products:
+        """Sparse products of groups of words (lines or texts) with all templates; ``word`` numbers are below ``words``."""
+        key, counts = np.unique(group * max(1, words) + word, return_counts=True)
+        g, w = np.divmod(key, max(1, words))
+        n = counts * np.nan_to_num(idf[w])
+        square = np.bincount(g, n * n, minlength=groups)
+        open_ = np.isnan(idf[w])
+        open_square = np.bincount(g[open_], (counts[open_] * counts[open_]).astype(float), minlength=groups)
+        own = np.flatnonzero(column[w] >= 0)
+        first = self.begin[column[w[own]]]
+        many = self.begin[column[w[own]] + 1] - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        cell = np.repeat(g[own], many) * len(self.vectors) + self.at_template[at]
+        shape = (groups, len(self.vectors))
+        dot = np.bincount(cell, np.repeat(n[own], many) * self.at_weight[at], minlength=shape[0] * shape[1]).reshape(shape)
+        covered = np.bincount(cell, self.at_weight[at] ** 2, minlength=shape[0] * shape[1]).reshape(shape)
+        return Products(dot, covered, square, open_square, self.light, self.heavy, g, w, counts, open_)
+
+    def scan(self, texts: list[str | None]) -> Iterator[tuple[list[Unit], list[Unit]]]:
+        """For each text: units that may be the best line or window, and those that may be the best for the whole text."""
+        by_line = [[words_of(line) for line in (text or "").split("\n")] for text in texts]
+        flat = [w for lines in by_line for line in lines for w in line]
+        coded = pa.array(flat, pa.string()).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        word = np.asarray(coded.indices, dtype=np.int64)
+        idf = self.weights.of(names)
+        column = np.array([self.columns.get(w, -1) for w in names], dtype=np.int64)
+        line_of = np.repeat(np.arange(sum(map(len, by_line))), [len(line) for lines in by_line for line in lines])
+        first_line = np.concatenate([[0], np.cumsum([len(lines) for lines in by_line])])
+        row_of = np.repeat(np.arange(len(texts)), [sum(map(len, lines)) for lines in by_line])
+        lines_at = self._products(line_of, int(first_line[-1]), word, len(names), idf, column)
+        texts_at = self._products(row_of, len(texts), word, len(names), idf, column)
+        for i, lines in enumerate(by_line):
+            yield self._scan_text(lines, lines_at, slice(int(first_line[i]), int(first_line[i + 1])), texts_at, i, names)
+
+    def _scan_text(self, lines: list[list[str]], at: Products, own: slice, texts: Products, i: int,
+                   names: list[str]) -> tuple[list[Unit], list[Unit]]:
         words = [w for line in lines for w in line]
         whole = Counter(words)
-        known, joined = self.having.keys(), None
+        joined = None
 
         def judged(unit: Unit, least: float, found: list[str], full: bool = False) -> Unit:
             nonlocal joined
@@ -395,23 +491,48 @@ class Scorer:
             name = named(self.templates[unit.template], self.wordings[unit.template], found, joined, full)
             return replace(unit, license=name)
 
+        high, file_high = at.high[own], texts.high[i]
+        # Whatever is below its limit counts only if it may give the row's cosine.
+        floor = max(at.low[own].max(initial=0.0), texts.low[i].max(initial=0.0)) - 1e-6
         notices: list[Unit] = []
-        for line in lines:
-            if not known.isdisjoint(line):
-                notices = best_of(notices + [judged(u, self.least, line) for u in self.near(Counter(line))])
+        for line, t in zip(*np.nonzero((high > 0) & (high >= min(floor, self.least - 1e-6))), strict=True):
+            unit = at.unit(own.start + int(line), int(t), names)
+            notices.append(judged(unit, self.least, lines[line]))
+        notices = best_of(notices)
         if not self.anchors.keys().isdisjoint(whole):
             for unit, around in self.windows(words):
                 notices = best_of([*notices, judged(unit, self.least, around)])
-        files = [judged(u, self.least_file, words) for u in self.near(whole)]
-        # A whole text that names no known licence is an unknown one only if it is as close as a notice.
-        files = [replace(u, license=None) if u.license == UNKNOWN and u.high < self.least else u for u in files]
+        files: list[Unit] = []
+        for t in np.flatnonzero((file_high > 0) & (file_high >= min(floor, self.least_file - 1e-6))).tolist():
+            unit = texts.unit(i, t, names)
+            if texts.covered[i, t] >= COVERAGE:
+                unit = judged(unit, self.least_file, words)
+            # A whole text that names no known licence is an unknown one only if it is as close as a notice.
+            files.append(replace(unit, license=None) if unit.license == UNKNOWN and unit.high < self.least else unit)
         files = best_of(files + [judged(u, FULL_COSINE, words[:HEAD_WORDS], True) for u in self.full_near(whole)])
-        # Below its limit, a unit counts only if it may give the row's cosine.
         floor = max((u.low for u in notices + files), default=0.0) - 1e-6
         return ([u for u in notices if u.high >= min(floor, self.least - 1e-6)],
                 [u for u in files if u.high >= min(floor, self.least_file - 1e-6)])
 
 
+class Products:
+    """Dot products of groups with templates, their bounds, and the open words of each group."""
+
+    def __init__(self, dot, covered, square, open_square, light, heavy, group, word, counts, open_):
+        self.dot, self.covered, self.square = dot, covered, square
+        lower, upper = (np.sqrt(square + open_square * w ** 2)[:, None] for w in (heavy, light))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            self.low, self.high = (np.where(dot > 0, dot / norm, 0.0) for norm in (lower, upper))
+        self.word, self.counts = word[open_], counts[open_]
+        self.ends = np.concatenate([[0], np.cumsum(np.bincount(group[open_], minlength=len(square)))])
+
+    def unit(self, group: int, template: int, names: list[str]) -> Unit:
+        own = slice(int(self.ends[group]), int(self.ends[group + 1]))
+        found = sorted(zip([names[w] for w in self.word[own].tolist()], self.counts[own].tolist(), strict=True))
+        return Unit(float(self.low[group, template]), float(self.high[group, template]), template, float(self.dot[group, template]),
+                    float(self.square[group]), tuple(w for w, _ in found), tuple(n for _, n in found))
+
+
 def best_of(units: list[Unit]) -> list[Unit]:
     """Without the units that are worse than another of their rank whatever their open words weigh."""
     floors: dict[int, float] = {}
@@ -422,16 +543,28 @@ def best_of(units: list[Unit]) -> list[Unit]:
                   key=lambda u: (-u.low, u.template, u.words, u.counts, u.dot, u.license or ""))
 
 
-UNIT_SCHEMA = T.ArrayType(T.StructType([
-    T.StructField("kind", T.StringType()), T.StructField("license", T.StringType()), T.StructField("rank", T.IntegerType()),
-    T.StructField("least", T.DoubleType()), T.StructField("template", T.IntegerType()), T.StructField("dot", T.DoubleType()),
-    T.StructField("square", T.DoubleType()), T.StructField("words", T.ArrayType(T.StringType())),
-    T.StructField("counts", T.ArrayType(T.IntegerType()))]))
-UNIT_ROWS = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-                          T.StructField("path", T.StringType()), T.StructField("units", UNIT_SCHEMA)])
-UNITS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("license", pa.string()), ("rank", pa.int32()), ("least", pa.float64()),
-                                  ("template", pa.int32()), ("dot", pa.float64()), ("square", pa.float64()),
-                                  ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))]))
+UNIT_FIELDS = {"kind": (T.StringType(), pa.string()), "license": (T.StringType(), pa.string()), "rank": (T.IntegerType(), pa.int32()),
+               "least": (T.DoubleType(), pa.float64()), "template": (T.IntegerType(), pa.int32()), "dot": (T.DoubleType(), pa.float64()),
+               "square": (T.DoubleType(), pa.float64()), "at": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+               "counts": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))}
+UNITS_ARROW = pa.list_(pa.struct([(name, arrow) for name, (_, arrow) in UNIT_FIELDS.items()]))
+UNIT_ROWS = T.StructType([
+    T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("path", T.StringType()),
+    T.StructField("open", T.ArrayType(T.StringType())),
+    T.StructField("units", T.ArrayType(T.StructType([T.StructField(name, kind) for name, (kind, _) in UNIT_FIELDS.items()])))])
+
+
+def common_words(frequencies: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted hashes and counts of the commonest words, and the most documents that any other word is in.
+
+    At most ``COMMON_WORDS`` pairs of 8 and 4 bytes reach the driver and the tasks.
+    """
+    top = frequencies.filter("word <> ''").select(F.xxhash64("word").alias("h"), "n").orderBy(F.desc("n"), "h").limit(COMMON_WORDS)
+    held = top.toArrow()
+    hashes = held.column("h").to_numpy().view(np.uint64)
+    counts = np.minimum(held.column("n").to_numpy(), 0xFFFFFFFF).astype(np.uint32)
+    order = np.argsort(hashes)
+    return hashes[order], counts[order], int(counts.min()) if len(counts) == COMMON_WORDS else 0
 
 
 def score(spark: SparkSession, df: DataFrame, key: str, path: str, text: str, notice_cosine: float,
@@ -444,42 +577,58 @@ def score(spark: SparkSession, df: DataFrame, key: str, path: str, text: str, no
     frequencies = document_frequencies(df, text)
     counted = {r["word"]: r["n"] for r in frequencies.filter(F.col("word").isin(["", *known_words(full)])).collect()}
     total = counted.pop("", 0)
-    common = frequencies.filter("word <> ''").orderBy(F.desc("n"), "word").limit(COMMON_WORDS).collect()
-    rest = common[-1]["n"] if len(common) == COMMON_WORDS else 0
-    known = {**counted, **{r["word"]: r["n"] for r in common}}
+    known = {w: counted.get(w, 0) for w in known_words(full)}
+    hashes, numbers, rest = common_words(frequencies)
+    table: Broadcast = spark.sparkContext.broadcast((hashes, numbers))  # 12 bytes a word
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(total, known, rest, notice_cosine, file_cosine, full)
+        scorer = Scorer(Weights(total, known, *table.value), rest, notice_cosine, file_cosine, full)
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            units = [[{"kind": kind, "license": u.license, "rank": rank_of(u.license), "template": u.template,
-                       "least": notice_cosine if kind == "line" else FULL_COSINE if u.template >= len(scorer.vectors) else file_cosine,
-                       "dot": u.dot, "square": u.square, "words": u.words, "counts": u.counts}
-                      for kind, found in zip(("line", "file"), scorer.scan(t.as_py()), strict=True) for u in found]
-                     for t in batch.column(2)]
-            numbers = pa.array(range(number, number + batch.num_rows), pa.int64())
-            number += batch.num_rows
-            yield pa.RecordBatch.from_arrays([numbers, batch.column(0), batch.column(1), pa.array(units, UNITS_ARROW)],
-                                             names=UNIT_ROWS.names)
+            for start, count in slices(batch.column(2)):
+                part = batch.slice(start, count)
+                opened, units = [], []
+                for line_units, file_units in scorer.scan(part.column(2).to_pylist()):
+                    words = sorted({w for u in line_units + file_units for w in u.words})
+                    place = {w: k for k, w in enumerate(words)}
+                    opened.append(words)
+                    units.append([
+                        {"kind": kind, "license": u.license, "rank": rank_of(u.license), "template": u.template,
+                         "least": notice_cosine if kind == "line" else FULL_COSINE if u.template >= len(scorer.vectors) else file_cosine,
+                         "dot": u.dot, "square": u.square, "at": [place[w] for w in u.words], "counts": u.counts}
+                        for kind, found in (("line", line_units), ("file", file_units)) for u in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(number, number + count), pa.int64()), part.column(0), part.column(1),
+                     pa.array(opened, pa.list_(pa.string())), pa.array(units, UNITS_ARROW)], names=UNIT_ROWS.names)
+                number += count
 
     files = cut(rows.mapInArrow(run, UNIT_ROWS), "license_units")
-    units = files.select("row", F.posexplode("units").alias("unit", "u")).select("row", "unit", "u.*")
-    open_words = units.select("row", "unit", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("row", "unit", "w.*")
-    met = open_words.join(frequencies, open_words["words"] == frequencies["word"])
-    squares = met.groupBy("row", "unit").agg(
-        F.sum(F.pow(F.col("counts") * (1 + F.log(F.lit(1.0 + total) / (1 + F.col("n")))), 2)).alias("open_square"))
-    # Rounded, so that ties are ties; named licences go before others, equal scores to the first template.
-    cosine = F.round(F.col("dot") / F.sqrt(F.col("square") + F.coalesce("open_square", F.lit(0.0))), 6)
-    scored = units.join(squares, ["row", "unit"], "left").withColumn("cosine", cosine).select("row", "kind", F.struct(
-        F.when(F.col("cosine") >= F.col("least"), F.col("rank")).otherwise(-1).alias("rank"), "cosine",
-        (-F.col("template")).alias("first"), "license").alias("s"))
-    best = scored.groupBy("row").agg(F.max(F.when(F.col("kind") == "line", F.col("s"))).alias("line"),
-                                     F.max(F.when(F.col("kind") == "file", F.col("s"))).alias("file"))
-    return files.select("row", "doc_id", "path").join(best, "row", "left").select(
-        "doc_id", "path", *[c for kind in ("line", "file") for c in (
-            F.when(F.col(f"{kind}.rank") >= 0, F.col(f"{kind}.license")).alias(f"{kind}_license"),
-            F.coalesce(F.col(f"{kind}.cosine"), F.lit(0.0)).alias(f"{kind}_cosine"))])
+    # Each open word of a row goes out once and comes back as its weight, in the row's order.
+    sent = files.select("row", F.posexplode("open").alias("at", "word"))
+    idf = 1 + F.log(F.lit(1.0 + total) / (1 + F.col("n")))
+    met = sent.join(frequencies, "word").select("row", "at", idf.alias("idf"))
+    weights = met.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "idf"))).alias("weights"))
+    held = files.join(weights, "row", "left")
+
+    def judged(u):
+        open_square = F.aggregate(F.arrays_zip(u["at"], u["counts"]), F.lit(0.0), lambda total, x: total + F.pow(
+            x["counts"] * F.get(F.col("weights"), x["at"])["idf"], F.lit(2)))
+        # Rounded, so that ties are ties; named licences go before others, equal scores to the first template.
+        cosine = F.round(u["dot"] / F.sqrt(u["square"] + open_square), 6)
+        return F.transform(F.array(cosine), lambda c: F.struct(
+            u["kind"].alias("kind"), F.when(c >= u["least"], u["rank"]).otherwise(-1).alias("rank"), c.alias("cosine"),
+            (-u["template"]).alias("first"), u["license"].alias("license")))[0]
+
+    # Bound once: what follows refers to the judged units several times.
+    scored = held.select("doc_id", "path", F.explode(F.array(F.transform("units", judged))).alias("found"))
+
+    def top(kind: str):
+        return F.array_max(F.filter("found", lambda x: x["kind"] == kind))
+
+    best = {kind: top(kind) for kind in ("line", "file")}
+    return scored.select("doc_id", "path", *[c for kind, one in best.items() for c in (
+        F.when(one["rank"] >= 0, one["license"]).alias(f"{kind}_license"), F.coalesce(one["cosine"], F.lit(0.0)).alias(f"{kind}_cosine"))])
 
 
 def directory(path):
