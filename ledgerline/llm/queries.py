@@ -88,7 +88,7 @@ def op6_chat_format(spark, sf_dir):
 def op7_warc_salvage(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    records = warc.read_archives(spark, path, with_payload=False, glob="part-*").filter("gap_reason is null")
+    records = warc.read_frames(spark, path, with_payload=False, glob="part-*").filter("gap_reason is null")
     return records.select(
         warc.page_number(F.col("record_id")).alias("page_id"), F.col("payload_length").alias("payload_bytes"),
         "payload_digest", F.col("warc_type").alias("record_type"),

@@ -12,9 +12,13 @@
    position sets of ``position_sets`` meet every set of five positions, so a
    pair sharing five bytes meets in at least one list, and unrelated
    fingerprints meet with chance 14/2^32.
-4. Count filter: for each pair that meets, the shared positional bytes are
-   tallied and pairs below the minimum leave; the rest are verified by the
-   bit distance. All of it is one equi-join with integer conditions.
+4. Count filter. Members of a posting list meet inside a task, in blocks of at
+   most ``BLOCK``: for each pair the shared positional bytes are tallied, pairs
+   below the minimum leave, the rest are verified by the bit distance, and the list
+   returns a spanning forest of its links (``ties``), as many rows as it has
+   members at most. A list with more than a block of members is first cut by a
+   fifth positional byte, which any pair of it must share too. (``links`` returns all
+   pairs instead, by an equi-join; there sharing five bytes follows from the distance.)
 5. Connected components of the verified links by alternating large-star and
    small-star steps, each written to the shared folder.
 
@@ -39,6 +43,8 @@ from ledgerline.llm.common import cut, shielded
 
 SEED = 42
 BITS, BYTES = 64, 8
+#: Members of a posting list that a block has at most; pairs of blocks are compared at a time.
+BLOCK = 1024
 #: Hashes whose bits are unpacked at a time (64 bytes of memory each).
 TALLY_BLOCK = 1 << 16
 
@@ -117,6 +123,62 @@ def links(values: DataFrame, max_bits: int) -> DataFrame:
     return a.join(b, meets & enough & near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).distinct()
 
 
+def _by_byte(value: Column, position: Column) -> Column:
+    """The byte at a position, in place."""
+    return value.bitwiseAND(F.call_function("shiftleft", F.lit(0xFF).cast("long"), position * 8))
+
+
+def ties(values: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs (u, v) of distinct fingerprints at most ``max_bits`` apart that connect all such pairs."""
+    if not 0 <= max_bits <= 3:
+        raise ValueError("the index guarantees distances of 0 to 3 bits")
+    sets = position_sets()
+    keys = F.array(*[F.struct(F.lit(i).alias("list"), F.col("fp").bitwiseAND(F.lit(_mask(s))).alias("at"))
+                     for i, s in enumerate(sets)])
+    postings = values.select("fp", F.explode(keys).alias("p")).select("fp", "p.list", "p.at")
+    sizes = postings.groupBy("list", "at").agg(F.count("*").alias("n")).filter("n > 1")
+    others = F.array(*[F.array(*[F.lit(p) for p in range(BYTES) if p not in s]) for s in sets])
+    fifth = F.when(F.col("n") > BLOCK, F.get(others, F.col("list"))).otherwise(F.array(F.lit(-1)))
+    members = postings.join(sizes, ["list", "at"]).select("fp", "list", "at", F.explode(fifth).alias("fifth"))
+    byte = F.when(F.col("fifth") < 0, F.lit(0)).otherwise(_by_byte(F.col("fp"), F.col("fifth"))).alias("byte")
+    members = members.select("fp", "list", "at", "fifth", byte)
+    group = ["list", "at", "fifth", "byte"]
+    counts = members.groupBy(*group).agg(F.count("*").alias("n")).filter("n > 1")
+    dealt = (members.join(counts, group).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(*group, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "fp"))
+
+    def forest(key: tuple, table: pa.Table) -> pa.Table:
+        fp, block = table.column("fp").to_numpy(), table.column("block").to_numpy()
+        low, high = key[4].as_py(), key[5].as_py()
+        parent = list(range(len(fp)))
+        u, v = [], []
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        place = np.arange(len(fp))
+        for i in np.flatnonzero(block == low).tolist():
+            meet = np.flatnonzero((block == high) & ((place > i) | (low != high)))
+            differ = (fp[meet] ^ fp[i]).view(np.uint64)
+            shared = (differ[:, None].view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)  # the tally of positional bytes
+            meet, differ = meet[shared >= BYTES - max_bits], differ[shared >= BYTES - max_bits]
+            for j in meet[np.bitwise_count(differ) <= max_bits].tolist():
+                a, b = root(i), root(j)
+                if a != b:
+                    parent[b] = a
+                    u.append(int(fp[i]))
+                    v.append(int(fp[j]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    found = dealt.groupBy(*group, "low", "high").applyInArrow(forest, "u long, v long")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v); root is the least node it can reach."""
     def least(pairs: DataFrame) -> DataFrame:
@@ -155,7 +217,7 @@ def near_duplicates(df: DataFrame, shingle: int = 3, max_bits: int = 3, key: str
     # The smallest doc_id first, a missing one last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
     values = cut(rows.groupBy("fp").agg(first), "values")
-    found = components(links(values.select("fp"), max_bits))
+    found = components(ties(values.select("fp"), max_bits))
     roots = values.join(found, values["fp"] == found["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first")
     heads = cut(roots.groupBy("root").agg(F.min("first").alias("head")), "heads")

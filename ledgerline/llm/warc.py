@@ -8,8 +8,10 @@ payloads the one with the largest page_id is stored, the others are revisits.
 Only payload digests are shuffled to find them; pages meet the (usually few)
 shared digests by a join that adaptive execution broadcasts or splits.
 
-Reading: files are read whole by Spark's binary source and walked member by
-member (zstd frame, gzip member, or plain record). A member counts only if it
+Reading: archives of the writer's layout are read by ranges (``read_frames``):
+Spark's text source splits them at the record separator wherever they are cut. Other
+archives are read whole by its binary source (``read_archives``; a file must
+fit a task). Both are walked member by member (zstd frame, gzip member, or plain record). A member counts only if it
 decompresses, its version line, headers, length and end are in order, and its
 digests hold. Otherwise the reader looks for the next place where a member or
 version line begins *and* a valid record follows, goes on from there, and logs
@@ -100,6 +102,7 @@ def write_archives(df: DataFrame, path: str, key: str = "page_id", url: str = "u
             yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.binary())], names=["frame"])
 
     framed = joined.mapInArrow(frames, "frame binary")
+    # Spark's strings are bytes that neither the cast nor the text source checks or changes.
     (framed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME)
      .option("compression", "none").option("maxRecordsPerFile", records_per_file).text(path))
 
@@ -129,19 +132,21 @@ def parse_record(data: bytes, at: int = 0) -> tuple[Record, int]:
     """The plain record at ``at`` and the place after it; raises Damaged."""
     if not VERSION.match(data, at):
         raise Damaged("no version line")
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
-        raise Damaged("headers do not end")
     headers = {}
-    for line in data[at:end].split(b"\r\n")[1:]:
-        name, colon, value = line.decode("utf-8", "replace").partition(":")
+    # Line by line to the blank one: a damaged run is left at its first line that is no header, not searched to its end.
+    begin = data.find(b"\r\n", at) + 2
+    while (end := data.find(b"\r\n", begin)) != begin:
+        if end < 0:
+            raise Damaged("headers do not end")
+        name, colon, value = data[begin:end].decode("utf-8", "replace").partition(":")
         if not colon:
             raise Damaged("header without a colon")
         headers[name.strip().lower()] = value.strip()
+        begin = end + 2
     length = headers.get("content-length", "")
     if not length.isdecimal():
         raise Damaged("no content length")
-    begin, stop = end + 4, end + 4 + int(length)
+    begin, stop = end + 2, end + 2 + int(length)
     if data[stop:stop + 4] != b"\r\n\r\n":
         raise Damaged("block does not end where its length says")
     found = Record(headers, bytes(data[begin:stop]))
@@ -247,10 +252,30 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True, glo
     Gaps have ``gap_reason`` set and nothing but their place. Without
     ``with_payload`` payloads are checked but not returned.
     """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+             .load(path).select("path", "content"))
+    return files.mapInArrow(_reader(with_payload), READ_SCHEMA)
+
+
+def read_frames(spark: SparkSession, path: str, with_payload: bool = True, glob: str = "*") -> DataFrame:
+    """``read_archives`` for archives whose records are separated by empty frames, as ``write_archives`` does.
+
+    Spark's text source cuts files of any size into ranges and starts each range at
+    the next separator, so a file is read by many tasks, each holding a record at a
+    time. Damaged frames are salvaged; damage to a separator joins its neighbours,
+    which are then salvaged together. ``offset`` counts from the separator before.
+    """
+    frames = (spark.read.option("lineSep", EMPTY_FRAME).option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+              .text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("content")))
+    return frames.mapInArrow(_reader(with_payload), READ_SCHEMA)
+
+
+def _reader(with_payload: bool):
+    """Rows of ``READ_SCHEMA`` for batches of (path, bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                rows, size = [], 0
                 archive, data = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 for offset, length, found, reason in salvage(data):
                     if found is None:
@@ -265,12 +290,11 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True, glo
                     if len(rows) >= 5000 or size >= 16 << 20:
                         yield _batch(rows)
                         rows, size = [], 0
-                if rows:
-                    yield _batch(rows)
+            if rows:
+                yield _batch(rows)
+                rows, size = [], 0
 
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .load(path).select("path", "content"))
-    return files.mapInArrow(run, READ_SCHEMA)
+    return run
 
 
 _TYPES = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary()]

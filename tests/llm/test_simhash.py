@@ -85,3 +85,69 @@ def test_empty(make_docs):
 def test_distance_bound(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 4)
+
+
+def signed(v):
+    return v - (1 << 64) if v >> 63 else v
+
+
+def groups_of(pairs):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[root(a)] = root(b)
+    found = {}
+    for x in parent:
+        found.setdefault(root(x), set()).add(x)
+    return sorted(map(sorted, found.values()))
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_ties_connect_what_links_connect(spark, monkeypatch, block):
+    """Dense clusters, and many fingerprints that share four bytes: the same components, few rows."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(6)
+    values = {rng.getrandbits(64) for _ in range(100)}
+    for _ in range(4):
+        base = rng.getrandbits(64)
+        for _ in range(60):
+            v = base
+            for b in rng.sample(range(64), rng.randint(0, 2)):
+                v ^= 1 << b
+            values.add(v)
+    values |= {0xABCDEF12 << 32 | rng.getrandbits(12) for _ in range(150)}
+    df = spark.createDataFrame([(signed(v),) for v in values], "fp long").repartition(4)
+    all_pairs = [(signed(a), signed(b)) for a, b in itertools.combinations(values, 2) if (a ^ b).bit_count() <= 3]
+    tied = [tuple(r) for r in simhash.ties(df, 3).collect()]
+    assert set(map(tuple, map(sorted, tied))) <= set(map(tuple, map(sorted, all_pairs)))
+    assert groups_of(tied) == groups_of(all_pairs)
+    if block == 1024:
+        assert len(tied) < len(all_pairs) / 3
+
+
+def test_hot_list_grows_with_its_members(spark):
+    """Distinct fingerprints that share four bytes: a fifth byte cuts the list, so work does not grow with its square."""
+    import time
+    took = []
+    for n in (20_000, 40_000):
+        rng = random.Random(n)
+        rows = [(signed(0x12345678 << 32 | v),) for v in rng.sample(range(1 << 32), n)]
+        df = spark.createDataFrame(rows, "fp long").cache()
+        df.count()
+        start = time.perf_counter()
+        simhash.ties(df, 3).count()
+        took.append(time.perf_counter() - start)
+        df.unpersist()
+    assert took[1] < 3 * took[0] + 2
+
+
+def test_keys_of_any_type(spark, make_docs):
+    docs = make_docs([(1, "a b c d", "s"), (2, "a b c d", "s"), (3, "x y z", "t")]).selectExpr("concat('k', doc_id) as id", "text", "source")
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, key="id").collect()}
+    assert groups == {"k1": "k1", "k2": "k1", "k3": "k3"}
+    assert sorted(r.id for r in simhash.keep_one(docs, key="id").collect()) == ["k1", "k3"]

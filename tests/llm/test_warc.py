@@ -111,3 +111,47 @@ def test_members_of_many_records_and_old_versions():
         assert {(at, n) for at, n, _, _ in found} == {(0, len(data))}
     old = b"".join(r.replace(b"WARC/1.1", b"WARC/0.18", 1) for r in (records[0], bad, records[2], records[3]))
     assert [r and r.payload for _, _, r, _ in warc.salvage(old)] == [b"page 0", None, b"page 2", b"page 3"]
+
+
+def test_salvage_is_linear_in_a_damaged_run():
+    import time
+    record = warc.record(1, "u", b"page", None, False)
+    for run in (b"WARC/1.1\r\n" * 800_000, b"WARC/1.1\r\na: b\r\n" * 400_000, b"WARC/1.1\r\nno colon" * 400_000):
+        start = time.perf_counter()
+        found = list(warc.salvage(run + record))
+        assert [(at, r and r.payload) for at, _, r, _ in found] == [(0, None), (len(run), b"page")]
+        assert time.perf_counter() - start < 10
+
+
+@pytest.mark.parametrize("tasks", [1, 8])
+def test_a_file_of_several_splits_reads_the_same(spark, tasks):
+    rng = random.Random(3)
+    rows = [(i, f"u{i}", rng.randbytes(3000).hex()) for i in range(300)]
+    path = scratch_path(spark, "split")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k" if tasks == 8 else "1g")
+    try:
+        read = warc.read_frames(spark, path, glob="part-*")
+        assert (read.rdd.getNumPartitions() >= 3) == (tasks == 8)
+        got = sorted((r.record_id, bytes(r.payload), r.gap_reason) for r in read.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted((f"<{warc.ID_PREFIX}{i}>", h.encode(), None) for i, _, h in rows)
+    whole = sorted((r.record_id, bytes(r.payload), r.gap_reason) for r in warc.read_archives(spark, path, glob="part-*").collect())
+    assert whole == got
+
+
+def test_ranged_reader_salvages(spark):
+    press = zstandard.ZstdCompressor(write_checksum=True).compress
+    good = [press(warc.record(i, None, b"page %d" % i, None, False)) for i in range(6)]
+    empty = warc.EMPTY_FRAME.encode()
+    bad = good[1][:-9] + bytes([good[1][-9] ^ 0x55]) + good[1][-8:]
+    data = good[0] + empty + bad + empty + good[2] + b"P*M\x18\x01\x00\x00\x00x" + good[3] + empty + good[4][:-5] + good[5] + empty
+    path = scratch_path(spark, "damaged")
+    spark.createDataFrame([(bytearray(data),)], "value binary").selectExpr("cast(value as string) value").coalesce(1).write.option(
+        "lineSep", "\x00").text(path)
+    rows = warc.read_frames(spark, path, glob="part-*").collect()
+    assert sorted(bytes(r.payload) for r in rows if r.gap_reason is None) == [b"page 0", b"page 2", b"page 3", b"page 5"]
+    assert sum(r.gap_reason is not None for r in rows) >= 2
