@@ -10,8 +10,11 @@ what stands before and after it.
 The model is trained here, on pages of a generator that wraps invented words
 in common page layouts and so knows every label; the number of training pages
 is a parameter, the seed is fixed, and training takes seconds on the driver.
-The weights (about 100 KB) are broadcast. Pages are labelled where they are:
-no shuffle, and memory in proportion to a batch of pages.
+Two sets of weights are trained: one on layouts whose tags or class words name
+their parts, one on plain layouts (bare ``div``, ``table``, ``section`` or body,
+classes that say nothing), where tags, links, words and order have to do. A page is read by
+that of its kind. The weights (about 200 KB) are broadcast. Pages are labelled
+where they are: no shuffle, and memory in proportion to a batch of pages.
 
 Defined cases: null and empty html give an empty text; markup cut off at any
 place is read as far as it goes; a page without a main block gives an empty
@@ -42,7 +45,9 @@ BLOCK_TAGS = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol option optgroup p pre "
     "search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template iframe object svg math textarea canvas audio video".split())
+RAW_TAGS = frozenset("script style noscript iframe textarea".split())
+#: Elements whose content is shown in place of the element or not at all: left out where they are closed, else read on.
+EMBEDDED_TAGS = frozenset("template object svg canvas audio video".split())
 #: A start tag of the first kind ends an open element of the second, up to one of the third.
 IMPLIED_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}),
                "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "dt": ({"dt", "dd"}, {"dl"}),
@@ -52,10 +57,14 @@ IMPLIED_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "option": ({"option"}, {"se
 MAX_DEPTH = 512
 
 _TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<decl>[!?])[^>]*>?|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"""
-                  r"""(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)(?P<end>>|\Z)|(?P<loose>/?[a-zA-Z][^>]*)(?:>|\Z))""", re.DOTALL)
+                  r"""(?P<attrs>(?:=\s*+"[^"]*"|=\s*+'[^']*'|[^>=]++|=)*+)(?P<end>>|\Z)|(?P<loose>/?[a-zA-Z][^>]*)(?:>|\Z))""", re.DOTALL)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
 
+_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE) for name in RAW_TAGS}
+_EDGE = {name: re.compile(rf"<(?P<close>/)?{name}\b[^>]*>?", re.IGNORECASE) for name in EMBEDDED_TAGS}
+
+
 @dataclass
 class Block:
     path: tuple[str, ...]
@@ -79,6 +88,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     deep: list[str] = []  # names of the open elements beyond MAX_DEPTH, all of them inside those of the stack
     held: Counter = Counter()
+    unclosed: dict[str, int] = {}  # embedded elements known to have no end tag before a place
     now = Block(())
     links = 0
 
@@ -114,9 +124,18 @@ def blocks(page: str) -> list[Block]:
             continue  # comment, declaration, or a tag the page ends in
         attrs, closing = found["attrs"] or "", bool(found["close"])
         if name in RAW_TAGS and not closing:
-            if not attrs.rstrip().endswith("/"):
-                stop = re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE).search(page, at)
-                at = stop.end() if stop else len(page)
+            # HTML knows no script that closes itself: a slash at the end of the tag changes nothing
+            stop = _END[name].search(page, at)
+            at = stop.end() if stop else len(page)
+        elif name in EMBEDDED_TAGS and not closing:
+            # a further start before the end tag belongs to another element: this one was never closed
+            stop = None if attrs.rstrip().endswith("/") or at < unclosed.get(name, 0) else _EDGE[name].search(page, at)
+            if stop and stop["close"]:
+                at = stop.end()
+            elif stop:
+                unclosed[name] = stop.start()
+            else:
+                unclosed[name] = len(page)
         elif name == "a":
             links = 0 if closing else 1
         elif name == "br":
@@ -325,6 +344,9 @@ NOISE = {
                   "div.reader-comments", "section#comments", "div.comment-thread"], "comments"),
     "footer": (["footer", "div.footer", "div#footer", "div.site-footer", "div.copyright", "div.bottom"], "footer"),
 }
+#: Marks of layouts that say nothing of the content.
+PLAIN_MARKS = ["col", "row", "page", "wrap", "inner", "box", "block", "grid", "cell", "container", "left", "right", "center", "outer",
+               "layout", "view", "panel", "frame", "area"]
 MAIN = ["article", "article.post", "main", "div.content", "div.article", "div.post", "div.entry-content", "div.article-body", "div.story",
         "section.content", "div#content", "div#main", "div.main", "div.post-body", "div.text"]
 
@@ -332,8 +354,8 @@ MAIN = ["article", "article.post", "main", "div.content", "div.article", "div.po
 class _Pages:
     """Invented pages with a label per block."""
 
-    def __init__(self, seed: int):
-        self.rng = random.Random(seed)
+    def __init__(self, seed: int, plain: bool = False):
+        self.rng, self.plain = random.Random(seed), plain
 
     def word(self) -> str:
         kind = self.rng.choice(["abcdefghilmnorstu", "eeaiounrstléèàç", "enrstäöüßdhgi", "aeorsnñóílc"])
@@ -383,6 +405,46 @@ class _Pages:
         return self.element(name, inside)
 
     def main(self) -> list:
+        r = self.rng
+        name = r.choice(MAIN)
+        out = self.element(name, self.main_inside(["ad", "share", "sidebar", "form", "notice", "comments"]))
+        return self.element("main", out) if name.startswith("article") and r.random() < 0.3 else out
+
+    def plain_box(self, inside: list) -> list:
+        """A part of a layout whose marks, if any, say nothing."""
+        r = self.rng
+        tag = r.choice(["div", "div", "div", "section", "center", ""])
+        if not tag:
+            return inside
+        word = r.choice(PLAIN_MARKS) if r.random() < 0.7 else "".join(r.choices("abcdefghiklmnoprstu", k=r.randint(2, 8)))
+        attr = r.choice(["", "", f' class="{word}"', f' id="{word}"', f' class="{word}-{r.randint(1, 12)}"'])
+        return [f"<{tag}{attr}>", *inside, f"</{tag}>"]
+
+    def plain_body(self) -> list:
+        """Links, main text, links and a footer, told apart by tags, links, words and order alone."""
+        r = self.rng
+
+        def links() -> list:
+            rows = [["<a href='/x'>", (self.words(1, 3), False), "</a>"] for _ in range(r.randint(2, 8))]
+            if r.random() < 0.5:
+                return ["<ul>", *sum((["<li>", *x, "</li>"] for x in rows), []), "</ul>"]
+            return self.element(r.choice(["p", "div"]), sum(([*x, r.choice([" ", " | "])] for x in rows), []))
+
+        def footer() -> list:
+            said = r.choice(["&copy; ", "Copyright ", "&copy; 20" + str(r.randint(10, 29)) + " "]) + self.words(1, 5)
+            return self.text(r.choice(["p", "div", "small", ""]), said, False)
+
+        top = links() if r.random() < 0.75 else []
+        side = links() if r.random() < 0.3 else []
+        bottom = (links() if r.random() < 0.3 else []) + (footer() if r.random() < 0.8 else [])
+        main = self.main_inside([])
+        if r.random() < 0.25:  # a table of one row
+            cells = [x for x in ([top, main, side] if r.random() < 0.5 else [main, top + side]) if x]
+            table = ["<table>", "<tr>", *sum((["<td>", *x, "</td>"] for x in cells), []), "</tr>", "</table>"]
+            return table + (self.plain_box(bottom) if bottom else [])
+        return sum((self.plain_box(x) for x in (top, main, side, bottom) if x), [])
+
+    def main_inside(self, noise: list[str]) -> list:
         r = self.rng
         inside = self.text("h1", self.words(2, 12), True) if r.random() < 0.85 else []
         for _ in range(r.choice([1, 2, 3, 5, 8, 14])):
@@ -398,21 +460,27 @@ class _Pages:
                 inside += ["<ul>", *sum((self.text("li", self.prose(False), True) for _ in range(r.randint(2, 5))), []), "</ul>"]
             elif kind < 0.92:
                 inside += self.text(r.choice(["blockquote", "pre", "figcaption", "td"]), self.prose(False), True)
+            elif noise:
+                inside += self.noise(r.choice(noise))
             else:
-                inside += self.noise(r.choice(["ad", "share", "sidebar", "form", "notice", "comments"]))
-        name = r.choice(MAIN)
-        out = self.element(name, inside)
-        return self.element("main", out) if name.startswith("article") and r.random() < 0.3 else out
+                inside += self.text("p", self.prose(), True)
+        return inside
 
     def page(self) -> tuple[str, list[bool]]:
         """Markup and the label of each of its blocks."""
         r = self.rng
+        if self.plain:
+            return self.labelled(self.plain_body())
         before = [k for k in ("header", "nav", "notice", "ad", "form", "sidebar") if r.random() < 0.45]
         after = [k for k in ("share", "comments", "ad", "sidebar", "form", "notice", "footer") if r.random() < (0.8 if k == "footer" else 0.35)]
         r.shuffle(before)
         body = sum((self.noise(k) for k in before), []) + (self.main() if r.random() < 0.97 else []) + sum((self.noise(k) for k in after), [])
         if r.random() < 0.3:
             body = self.element(r.choice(["div.wrapper", "div.container", "div.page", "div#wrap"]), body)
+        return self.labelled(body)
+
+    def labelled(self, body: list) -> tuple[str, list[bool]]:
+        r = self.rng
         parts = ["<!DOCTYPE html><html><head><title>", (self.words(2, 8), False), "</title><style>p{}</style></head><body>", *body,
                  *([] if r.random() < 0.2 else ["</body></html>"])]
         # Every text is marked with its label while the page is cut into blocks.
@@ -422,9 +490,9 @@ class _Pages:
 
 
 @lru_cache(maxsize=4)
-def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = SEED) -> Weights:
-    """Weights after Adam on generated pages; the same on every call."""
-    source = _Pages(seed)
+def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = SEED, plain: bool = False) -> Weights:
+    """Weights after Adam on generated pages, of marked or of plain layouts; the same on every call."""
+    source = _Pages(seed, plain)
     data = []
     while len(data) < pages:
         markup, labels = source.page()
@@ -473,16 +541,40 @@ def label(pages: list[list[Block]], w: Weights) -> list[np.ndarray]:
     return out
 
 
-def main_texts(markup: list[str | None], w: Weights) -> list[str]:
+#: Tags and class, id or role words that name a part of a page, from the layouts above.
+KNOWN_MARKS = frozenset(
+    mark for name in [*MAIN, *(n for names, _ in NOISE.values() for n in names)] for tag, *words in [re.split(r"[.#-]", name)]
+    for mark in [*([tag] if tag in ("article", "main", "nav", "header", "footer", "aside", "form", "dialog") else []), *(f".{w}" for w in words)])
+
+
+def is_marked(page: list[Block]) -> bool:
+    """Whether any block lies in an element whose tag or marks name a part of a page."""
+    return any(not KNOWN_MARKS.isdisjoint(element.split(" ")) for b in page for element in b.path)
+
+
+def models(pages: int = TRAIN_PAGES) -> tuple[Weights, Weights]:
+    """Weights for pages with known marks, and for pages without any."""
+    return train(pages), train(pages, plain=True)
+
+
+def main_texts(markup: list[str | None], w: Weights | tuple[Weights, Weights]) -> list[str]:
+    """Main texts, labelled by one model or by that of each page's kind (marked, plain)."""
     pages = [blocks(m or "") for m in markup]
-    return [" ".join(b.text for b, main in zip(page, marks, strict=True) if main)
-            for page, marks in zip(pages, label(pages, w), strict=True)]
+    marks: list = [None] * len(pages)
+    if isinstance(w, tuple):
+        kinds = [[i for i, p in enumerate(pages) if is_marked(p)], [i for i, p in enumerate(pages) if not is_marked(p)]]
+    else:
+        kinds, w = [list(range(len(pages)))], (w,)
+    for own, weights in zip(kinds, w, strict=True):
+        for i, found in zip(own, label([pages[i] for i in own], weights), strict=True):
+            marks[i] = found
+    return [" ".join(b.text for b, main in zip(page, found, strict=True) if main) for page, found in zip(pages, marks, strict=True)]
 
 
 def extract(spark: SparkSession, df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
             training_pages: int = TRAIN_PAGES) -> DataFrame:
     """(page_id, url, text): the main text of every page."""
-    weights = spark.sparkContext.broadcast(train(training_pages))
+    weights = spark.sparkContext.broadcast(models(training_pages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

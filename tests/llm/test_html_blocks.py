@@ -98,7 +98,7 @@ def test_edges(spark, save):
     assert len(got) == len(rows) and all(r.n_chars == len(r.text) for r in got)
     by = {r.page_id: r.text for r in got}
     assert by[1] == by[2] == by[4] == by[6] == ""
-    assert by[5].count("of a long page") > 4950
+    assert by[5].count("of a long page") == 5000
 
 
 def test_empty(spark, save):
@@ -117,3 +117,74 @@ def test_end_tags_of_elements_beyond_the_depth_limit():
     page = f"<div class='content'><p>first</p>{'<div>' * n}deep{'</div>' * n}<p>last</p></div><p>out</p>"
     by = {b.text: b.path for b in hb.blocks(page)}
     assert by["last"] == by["first"] and len(by["last"]) == 2 and len(by["out"]) == 1
+
+
+def test_stray_quotes_in_attributes():
+    assert texts("<p title=it's>I don't know <b>why</b></p>") == ["I don't know why"]
+    assert texts("<p title='a>b' class=\"c>d\">one</p><a href=x\"y>two</a>") == ["one", "two"]
+    assert texts("<p a = 'x>y' b=c'd e=\"f\">z</p>") == ["z"]
+    assert texts("<p title='open>still <b>text</b></p>") == ["still text"]
+
+
+def test_scripts_never_close_themselves():
+    assert texts("<script src=/js/>var x=1;</script>after") == ["after"]
+    assert texts("<script/>alert(1)</script><p>x</p><style/>p{}</style>") == ["x"]
+
+
+def test_unclosed_embedded_elements():
+    for tag in ("video", "audio", "canvas", "object", "svg", "template"):
+        assert texts(f"<p>one</p><{tag} src=a><p>two</p>") == ["one", "two"]
+        assert texts(f"<p>one</p><{tag}><p>two</p><{tag}>gone</{tag}>three") == ["one", "two", "three"]
+        assert texts(f"<p>one <{tag}>no <b>such</b> tag</{tag}> two</p>") == ["one two"]
+        assert texts(f"<p>one <{tag} src=a /> two</p>") == ["one two"]
+    assert texts("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p>") == ["let x=2 be"]
+    assert len(texts("<video>" * 50_000 + "<p>end")) == 1
+
+
+ARTICLE = """<h1>The harbour in winter</h1><p>In January the boats stay in the harbour, and the men mend their nets by the stove.
+The wind comes from the north and brings snow. Nobody goes out before noon, and many do not go out at all.</p><p>When the ice
+is thick enough, children skate between the piers. Their parents watch from the windows, and drink tea with lemon and honey.</p>
+<p>In March the first boat leaves. It is a small feast: somebody plays the accordion, and everybody is tired the next day.</p>"""
+LINKS = "<a href='/'>Home</a> <a href='/news'>News</a> <a href='/sport'>Sport</a> <a href='/mail'>Contact</a>"
+LIST = "<ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li><li><a href='/s'>Sport</a></li></ul>"
+#: Layouts written by hand, none of them from the generator.
+UNSEEN = [
+    f"<html><body><div>{LIST}</div><div>{ARTICLE}</div><div>&copy; 2021 Harbour News</div></body></html>",
+    f"<table width=100%><tr><td>{LIST}</td><td>{ARTICLE}</td></tr></table><p>Copyright Harbour News</p>",
+    f"<div id=page><div class=col-4>{LIST}</div><div class=col-8>{ARTICLE}</div></div>",
+    f"<body><section>{ARTICLE}</section></body>",
+    f"<html><head><title>Harbour</title></head><body>{ARTICLE}</body></html>",
+    f"<div class='xq-17'><p>{LINKS}</p></div><div class='zz'>{ARTICLE}</div><div class='kk'><small>&copy; Harbour News 2020</small></div>",
+    f"<center>{LINKS}</center><div class='main-col'>{ARTICLE}</div><center><p>&copy; 2019 Harbour</p></center>",
+    f"<nav>{LIST}</nav><div class='unknown'>{ARTICLE}</div><footer>&copy; Harbour News</footer>",
+    f"<div class='row'><div class='left'>{ARTICLE}</div><div class='right'>{LIST}</div></div>",
+    f"<article>{ARTICLE}<table><tr><td>Ice</td><td>thick</td></tr></table></article>",
+]
+
+
+def test_unseen_layouts():
+    """0.95 of the characters of hand-written pages are right: neither lost from the article nor taken from the rest."""
+    w = hb.models()
+    right = total = 0
+    for page in UNSEEN:
+        (found,) = hb.main_texts([page], w)
+        body = [b.text for b in hb.blocks(ARTICLE)] + (["Ice", "thick"] if "Ice" in page else [])
+        want = " ".join(body)
+        rest = [b.text for b in hb.blocks(page) if b.text not in body]
+        kept = sum(len(t) for t in body if t in found)
+        wrong = sum(len(t) for t in rest if t in found and t not in want)
+        assert len(found) > 0.5 * len(want), page
+        right += kept - wrong
+        total += len(want) - (len(body) - 1)
+    assert right / total >= 0.95
+
+
+def test_plain_pages_of_the_generator():
+    w, source, right, total = hb.train(plain=True), hb._Pages(4321, plain=True), 0, 0
+    for _ in range(200):
+        markup, labels = source.page()
+        found = hb.blocks(markup)
+        right += int((hb.label([found], w)[0] == np.array(labels)).sum()) if found else 0
+        total += len(labels)
+    assert right / total > 0.97
+    assert not any(hb.is_marked(hb.blocks(hb._Pages(i, plain=True).page()[0])) for i in range(50))
