@@ -12,7 +12,8 @@ row of any place, through the inverse network) can be computed.
 Defined cases: a null key or text takes part in the row hash as ``null``;
 rows equal in key and text are interchangeable and take neighbouring numbers;
 an empty table stays empty; input columns ``shard`` and ``slot`` are replaced, all
-others returned, whatever their names. ``number_rows`` uses names of its own:
+others returned, whatever their names. The input is evaluated three times
+(count, bucket counts, placing): give a table or a written result, not a long plan. ``number_rows`` uses names of its own:
 give it a table without them, as ``shard_rows`` does.
 """
 
