@@ -37,16 +37,29 @@ def tag_key_counts(df: DataFrame, key: str, count_col: str = "_rows") -> DataFra
     return tagged.select(*df.columns, F.col("_rows").alias(count_col))
 
 
-def unique_rows(df: DataFrame, key: str) -> DataFrame:
+#: Types of fixed width: their first value is kept in place, so groups can be hashed.
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def unique_rows(df: DataFrame, key: str, whole: bool = False) -> DataFrame:
     """Rows whose non-NULL key occurs exactly once.
 
     One pass and one shuffle: rows fold into one per key with their number, map
     side first, so a hot key ships one row per task. A group of one row returns
     that row; larger groups leave, so which of their values survive is of no matter.
+
+    Columns that the caller does not use are pruned. ``whole``: for callers that use
+    every column; those of varying width (text) are carried as one value, which is
+    cheaper than one aggregate value per column but keeps them from being pruned.
     """
-    rest = [F.first(F.col(f"`{c}`")).alias(c) for c in df.columns if c != key]
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *rest)
-    return counted.filter(F.col("_rows") == 1).select(*df.columns)
+    rest = [f for f in df.schema.fields if f.name != key]
+    packed = [f.name for f in rest if whole and not isinstance(f.dataType, FIXED_WIDTH)]
+    first = [F.first(F.col(f"`{f.name}`")).alias(f.name) for f in rest if f.name not in packed]
+    if packed:
+        first.append(F.first(F.struct(*[F.col(f"`{c}`") for c in packed])).alias("_packed"))
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *first)
+    return counted.filter(F.col("_rows") == 1).select(
+        *[F.col("_packed").getField(c).alias(c) if c in packed else F.col(f"`{c}`") for c in df.columns])
 
 
 def split_unique(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> Split:
@@ -55,10 +68,10 @@ def split_unique(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame]
     ``clean`` keeps rows whose key occurs once, ``bad`` keeps all rows of keys
     that occur more than once. Rows with a NULL key are in neither output
     (``NULL IN (...)`` is never true). ``cut`` materialises the input once for
-    jobs that write both.
+    jobs that write both, whole.
     """
     rows = df if cut is None else cut(df)
-    return Split(unique_rows(rows, key), tag_key_counts(rows, key).filter(F.col("_rows") > 1).drop("_rows"))
+    return Split(unique_rows(rows, key, whole=cut is not None), tag_key_counts(rows, key).filter(F.col("_rows") > 1).drop("_rows"))
 
 
 def all_present(df: DataFrame, columns: list[str]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from ledgerline import schemas
 from ledgerline.operators import clean
-from ledgerline.operators.quality import drop_missing, impute_floor_mean, split_unique
+from ledgerline.operators.quality import drop_missing, impute_floor_mean, split_unique, unique_rows
 
 
 def test_split_unique_null_keys_in_neither(spark):
@@ -25,6 +25,38 @@ def test_split_unique_hot_key(spark):
     assert good.columns == ["k", "v"]
 
 
+ODD = "k string, `a.b` string, n int, d date, s struct<x: int>, _rows long"
+
+
+def test_unique_rows_whole_or_by_column(spark):
+    """Both ways give the same rows, whatever the types and names of the columns."""
+    rows = [("a", "x", 1, None, (1,), 5), ("b", None, None, None, None, None), ("c", "y", 2, None, (2,), 6), ("c", "y", 2, None, (2,), 6),
+            (None, "z", 3, None, (3,), 7), ("", "", 0, None, (None,), 0)]
+    df = spark.createDataFrame(rows, ODD).drop("_rows")
+    got = [unique_rows(df, "k", whole) for whole in (False, True)]
+    want = sorted(tuple(r)[:5] for r in rows if r[0] in ("a", "b", ""))
+    for out in got:
+        assert out.schema.names == df.schema.names
+        assert sorted((r[0], r[1], r[2], r[3], None if r[4] is None else tuple(r[4])) for r in out.collect()) == want
+    assert unique_rows(df.select("k"), "k", True).count() == 3
+    assert unique_rows(df.limit(0), "k", True).count() == 0
+
+
+def test_unique_rows_plans(spark, tmp_path):
+    """By column: unused columns are not read. Whole: texts are one aggregate value; without texts groups are hashed."""
+    spark.createDataFrame([("a", "x", "y", 1.0)], "k string, t string, u string, f float").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+
+    def plan(out):
+        return out._jdf.queryExecution().executedPlan().toString()
+
+    scan = next(line for line in plan(unique_rows(df, "k").select("k", "t")).splitlines() if "FileScan" in line)
+    assert "struct<k:string,t:string>" in scan
+    whole = plan(unique_rows(df, "k", True))
+    assert whole.count("first(struct(") == 2 and "first(t" not in whole  # partial and final
+    assert "SortAggregate" not in plan(unique_rows(df.select("k", "f"), "k", True))
+
+
 def test_drop_missing_drops_nan(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x float")
     assert drop_missing(df, ["x"]).count() == 1
