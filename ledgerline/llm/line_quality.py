@@ -1,7 +1,8 @@
 """Line-first quality rules, in DataFrame functions only.
 
 Every line of a text is judged by three rules (punctuation, navigation,
-boilerplate); failing lines are removed, and a document whose removed lines
+boilerplate; the last two know English, German, French and Spanish and go by
+the line, not by the document's language); failing lines are removed, and a document whose removed lines
 held too large a share of its word characters is rejected. Base figures of the
 whole text (word count, repeated 8-word windows and so on) reject a document
 before that. Everything is computed inside the row that holds the text: no
@@ -16,6 +17,9 @@ input column, whatever its name.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +40,52 @@ LINE_END = r"[.!?:;,…。！？\"'”’»)\]]\s*$"
 MENU_SEPARATORS = ("|", "»", "›", "·", "•", ">", "/")
 MIN_SEPARATORS = 2
 WORDS_PER_SEPARATOR = 5
-MENU_WORDS = ("home menu about us contact login logout log in out sign up register search sitemap site map next previous "
-              "back to top skip content help faq share tweet print rss").split()
+#: By language: words that name menu entries, and words that only stand beside them. A line
+#: of one language's words alone, with an entry among them, is a menu.
+MENUS = {
+    "en": ("home menu about us contact login logout log in out sign up register search sitemap site map next previous "
+           "back to top skip content help faq share tweet print rss", ""),
+    "de": ("home startseite menü kontakt impressum datenschutz agb anmelden abmelden registrieren suche suchen sitemap hilfe "
+           "faq weiter zurück übersicht inhalt seitenanfang warenkorb konto teilen drucken newsletter rss",
+           "über uns zum zur nach oben mein"),
+    "fr": ("accueil menu contact connexion déconnexion inscription recherche rechercher plan aide faq suivant précédent retour "
+           "sommaire panier compte partager imprimer mentions légales newsletter rss", "à propos de du nous site haut mon en"),
+    "es": ("inicio menú contacto acceder salir registrarse buscar mapa ayuda faq siguiente anterior volver carrito cuenta "
+           "compartir imprimir boletín rss", "sobre nosotros de del al sitio web arriba mi"),
+}
+MENUS = {lang: (tuple(entries.split()), tuple(beside.split())) for lang, (entries, beside) in MENUS.items()}
+MENU_WORDS = tuple(sorted({w for lists in MENUS.values() for part in lists for w in part}))
 #: Boilerplate rule: one word three times or more in a row may fill this share of a line's visible characters.
 MAX_STUTTER = 0.5
 #: Boilerplate rule: notices, in lines of at most this many words.
 NOTICE_WORDS = 30
-NOTICE = (r"(?i)all rights reserved|cookie (?:policy|notice|settings)|(?:uses?|accept) cookies|privacy policy|"
-          r"terms (?:of (?:use|service)|and conditions)|enable javascript|lorem ipsum|click here|subscribe (?:now|to our)|"
-          r"read more|powered by|follow us|sign up for|share this")
+NOTICE_EN = (r"all rights reserved|cookie (?:policy|notice|settings)|(?:uses?|accept) cookies|privacy policy|"
+             r"terms (?:of (?:use|service)|and conditions)|enable javascript|lorem ipsum|click here|subscribe (?:now|to our)|"
+             r"read more|powered by|follow us|sign up for|share this")
+#: Notices of other languages, at a line's start or after a blank or parenthesis.
+NOTICES = {
+    "de": (r"alle rechte vorbehalten|verwende[nt] cookies|cookies (?:akzeptieren|zulassen|ablehnen)|cookie-?(?:richtlinie|einstellungen|hinweis)|"
+           r"datenschutz(?:erklärung|hinweise|bestimmungen)|nutzungsbedingungen|allgemeine geschäftsbedingungen|"
+           r"javascript (?:aktivieren|einschalten)|(?:hier klicken|klicken sie hier)|jetzt abonnieren|newsletter (?:abonnieren|bestellen)|"
+           r"folge(?:n sie)? uns|artikel (?:teilen|drucken)"),
+    "fr": (r"tous droits réservés|politique de (?:cookies|confidentialité)|utilise (?:des|les) cookies|(?:accepter|refuser|gérer) (?:les |des )?cookies|"
+           r"conditions (?:générales d['’](?:utilisation|achat)|d['’]utilisation)|mentions légales|activer javascript|cliquez ici|"
+           r"abonnez-vous|suivez-nous|inscrivez-vous|partage[rz] cet article"),
+    "es": (r"todos los derechos reservados|política de (?:cookies|privacidad)|(?:utiliza|usa|utilizamos|usamos|aceptar|rechazar) (?:las )?cookies|"
+           r"aviso legal|condiciones de uso|términos (?:y condiciones|de (?:uso|servicio))|(?:activar|active|habilite) javascript|"
+           r"ha(?:ga|z) clic aquí|suscríb(?:ete|ase)|síguenos|compart(?:e|ir) este artículo"),
+}
+
+
+def _any_accent(pattern: str) -> str:
+    """Each letter with an accent also as a capital and without it: ``(?i)`` alone folds A to Z only."""
+    def loose(c: str) -> str:
+        return c if c.isascii() or not c.isalpha() else f"[{c}{c.upper()}{unicodedata.normalize('NFD', c)[0]}]"
+
+    return "".join(map(loose, pattern))
+
+
+NOTICE = f"(?i){NOTICE_EN}|(?:^|[ \t(])(?:{_any_accent('|'.join(NOTICES.values()))})"
 
 
 def _visible(text: Column) -> Column:
@@ -110,12 +151,17 @@ def _stuttered(found: Column) -> Column:
 
 
 def _all_menu(found: Column) -> Column:
-    """True if there are menu words and nothing else but marks."""
+    """True if all words but marks are menu words of one language, entries among them."""
     def bare(word: Column) -> Column:
         return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}]+", ""))
 
+    def in_language(entries: tuple[str, ...], beside: tuple[str, ...]) -> Column:
+        return (F.forall(found, lambda w: bare(w).isin("", *entries, *beside))
+                & F.exists(found, lambda w: bare(w).isin(*entries)))
+
+    # the words of all languages first: most lines are done after their first word
     return (F.forall(found, lambda w: bare(w).isin("", *MENU_WORDS))
-            & F.exists(found, lambda w: bare(w).isin(*MENU_WORDS)))
+            & reduce(lambda a, b: a | b, [in_language(*lists) for lists in MENUS.values()]))
 
 
 def line_fails(line: Column) -> Column:

@@ -133,6 +133,16 @@ def _visible(text: str) -> str:
 
 
 _lq = line_quality
+
+
+def _menu_only(entries: tuple[str, ...], beside: tuple[str, ...]) -> str:
+    names = ", ".join(map(_text, entries))
+    others = ", ".join(map(_text, ("", *entries, *beside)))
+    return (f"(len(list_filter(bare, lambda x: x IN ({names}))) > 0 "
+            f"AND len(list_filter(bare, lambda x: x NOT IN ({others}))) = 0)")
+
+
+_MENU_ONLY = "(" + " OR ".join(_menu_only(*lists) for lists in _lq.MENUS.values()) + ")"
 QUALITY = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS t FROM documents
@@ -163,7 +173,7 @@ WITH docs AS (
     OR (len(w) < {_lq.FRAGMENT_WORDS} AND NOT regexp_matches(line, {_text(_lq.LINE_END)}))
     OR (len(list_filter(w, lambda x: x IN ({', '.join(map(_text, _lq.MENU_SEPARATORS))}))) >= {_lq.MIN_SEPARATORS}
       AND len(list_filter(w, lambda x: x IN ({', '.join(map(_text, _lq.MENU_SEPARATORS))}))) * {_lq.WORDS_PER_SEPARATOR} >= len(w))
-    OR (len(list_filter(bare, lambda x: x <> '')) > 0 AND len(list_filter(bare, lambda x: x NOT IN ('', {', '.join(map(_text, _lq.MENU_WORDS))}))) = 0)
+    OR {_MENU_ONLY}
     OR (len(w) <= {_lq.NOTICE_WORDS} AND regexp_matches(line, {_text(_lq.NOTICE)}))
     OR COALESCE(chars, 0) > {_lq.MAX_STUTTER} * visible AS fails
   FROM numbered LEFT JOIN stutters USING (l)

@@ -41,6 +41,24 @@ def test_rules(spark):
     assert fails(spark, good) == [False] * len(good)
 
 
+def test_rules_of_other_languages(spark):
+    """Lines that were written for this test after the lists, not with them."""
+    bad = ["Alle Rechte vorbehalten.", "ALLE RECHTE VORBEHALTEN, Verlag Muster 2019.", "Tous droits réservés sur ce site.",
+           "TOUS DROITS RÉSERVÉS (Éditions du Lac).", "Startseite Über uns Kontakt Impressum", "Accueil Plan du site Contact Mentions légales",
+           "Inicio Sobre nosotros Contacto Mapa web Ayuda", "Diese Seite verwendet Cookies, um Ihren Besuch angenehmer zu machen.",
+           "Ce site utilise des cookies pour mesurer son audience.", "Esta web utiliza cookies propias y de terceros.",
+           "Lesen Sie bitte unsere Datenschutzerklärung.", "Consulte nuestra política de privacidad.", "Para continuar, haga clic aquí.",
+           "Todos los derechos reservados.", "Lisez nos conditions d’utilisation."]
+    good = ["Der Kontakt zu den Nachbarn brach nach dem langen Winter ab.", "Die Suche nach dem Impressum dauerte einen Tag.",
+            "Die Rechte der Bürger sind in der Verfassung festgelegt.", "Le contact avec la ville fut perdu pendant la tempête.",
+            "Il rechercha le plan de la vieille ville pendant deux jours.", "Les droits des enfants sont réservés à la lecture du juge.",
+            "El mapa de la isla estaba sobre la mesa de la cocina.", "Volver al sitio de siempre fue para ella una gran ayuda.",
+            "La política de la ciudad cambió después de las elecciones.", "Er wollte mehr erfahren und fragte die alte Frau.",
+            "De la.", "Nach oben.", "Sobre nosotros.", "Über uns der Himmel, unter uns das Meer."]
+    assert fails(spark, bad) == [True] * len(bad)
+    assert fails(spark, good) == [False] * len(good)
+
+
 OTHER = "Nobody had thought to bring a lamp, so we waited by the gate until the moon rose over the hill."
 
 

@@ -29,7 +29,10 @@ def test_driver_tables(spark, sf_dir, key):
 
 ROWS = [(1, None, "a"), (None, "", "a"), (3, "Home | News | About | Help", None), (3, "Home | News | About | Help", None),
         (4, "one two three four five six seven eight nine ten " * 4, "b"), (5, "x x x x y y y z\nAll rights reserved.\n\n  \nx x x x y y y z", "b"),
-        (6, "A\x0bb\rc\x1cd é Ü, THE the The\nsecond line, all right.", "c"), (7, "word " * 3000, "b"), (8, "cat? dog! ### $$$", "d")]
+        (6, "A\x0bb\rc\x1cd é Ü, THE the The\nsecond line, all right.", "c"), (7, "word " * 3000, "b"), (8, "cat? dog! ### $$$", "d"),
+        (9, "Startseite Über uns Kontakt\nAccueil À propos Contact.\nInicio, Sobre nosotros, Contacto.\nStartseite Accueil Inicio Ayuda.\nDe la du.", "d"),
+        (10, "TOUS DROITS RÉSERVÉS sur ce site.\nhalle Rechte vorbehalten sind hier.\n(Alle Rechte vorbehalten) 2020 GmbH.\n" + "Ein Wort gibt das andere Wort. " * 8, "e"),
+        (11, "Lisez nos conditions d’utilisation.\nSÍGUENOS en la red.\nsiguenos en la red.\n" + "una palabra lleva a la otra " * 5, "e")]
 
 
 @pytest.mark.parametrize("key", ["op1_temperature_mixing", "op3_fm_decontamination", "op8_line_quality"])

@@ -27,7 +27,7 @@ def line_fails(line):
     return (len(line) - len(gone(lq.ODD_MARKS)) > lq.MAX_ODD_MARKS * visible
             or (len(words) < lq.FRAGMENT_WORDS and not re.search(lq.LINE_END, line, re.ASCII))
             or (marks >= lq.MIN_SEPARATORS and marks * lq.WORDS_PER_SEPARATOR >= len(words))
-            or any(bare) and all(w in lq.MENU_WORDS for w in bare if w)
+            or any(any(w in entries for w in bare) and all(w in entries + beside for w in bare if w) for entries, beside in lq.MENUS.values())
             or (len(words) <= lq.NOTICE_WORDS and bool(re.search(lq.NOTICE, line, re.ASCII)))
             or sum(len(list(g)) * len(w) for w, g in ((w, list(g)) for w, g in itertools.groupby(words)) if len(g) > 2)
             > lq.MAX_STUTTER * visible)
