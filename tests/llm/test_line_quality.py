@@ -42,7 +42,7 @@ def test_rules(spark):
 
 
 def test_rules_of_other_languages(spark):
-    """Lines that were written for this test after the lists, not with them."""
+    """Written by hand with the lists in view: what the rules do, not how well they do on unseen pages."""
     bad = ["Alle Rechte vorbehalten.", "ALLE RECHTE VORBEHALTEN, Verlag Muster 2019.", "Tous droits réservés sur ce site.",
            "TOUS DROITS RÉSERVÉS (Éditions du Lac).", "Startseite Über uns Kontakt Impressum", "Accueil Plan du site Contact Mentions légales",
            "Inicio Sobre nosotros Contacto Mapa web Ayuda", "Diese Seite verwendet Cookies, um Ihren Besuch angenehmer zu machen.",
