@@ -62,6 +62,34 @@ def unique_rows(df: DataFrame, key: str, whole: bool = False) -> DataFrame:
         *[F.col("_packed").getField(c).alias(c) if c in packed else F.col(f"`{c}`") for c in df.columns])
 
 
+#: Keys that a join may broadcast, with what their table takes beside their text.
+BROADCAST_BYTES, KEY_BYTES = 32 * 1024 * 1024, 32
+
+
+def _repeated_keys(rows: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, bool]:
+    """(key, _rows) of keys that occur more than once, cut, and whether they are few enough to broadcast."""
+    repeated = cut(key_counts(rows, key).filter(F.col("_rows") > 1))
+    size = F.sum(F.octet_length(F.col(key).cast("string")) + F.lit(KEY_BYTES).cast("long"))
+    return repeated, (repeated.agg(size).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def _split_materialised(rows: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame]) -> Split:
+    """Both sides of a split by the keys that occur more than once.
+
+    Where those keys are few no row is shuffled; else the rows meet them in a salted join.
+    """
+    repeated, few = _repeated_keys(rows, key, cut)
+
+    def side(how: str) -> DataFrame:
+        if few:
+            found = rows.join(F.broadcast(repeated.select(key)), key, how)
+        else:
+            found = skew_join(rows, repeated, key, how, counts=repeated, count_col="_rows")
+        return found.select(*rows.columns)
+
+    return Split(side("left_anti"), side("left_semi"))
+
+
 def split_unique(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame] | None = None) -> Split:
     """Quarantine rows with a duplicated key.
 
@@ -70,8 +98,9 @@ def split_unique(df: DataFrame, key: str, cut: Callable[[DataFrame], DataFrame]
     (``NULL IN (...)`` is never true). ``cut`` materialises the input once for
     jobs that write both, whole.
     """
-    rows = df if cut is None else cut(df)
-    return Split(unique_rows(rows, key, whole=cut is not None), tag_key_counts(rows, key).filter(F.col("_rows") > 1).drop("_rows"))
+    if cut is not None:
+        return _split_materialised(cut(df).filter(F.col(key).isNotNull()), key, cut)
+    return Split(unique_rows(df, key), tag_key_counts(df, key).filter(F.col("_rows") > 1).drop("_rows"))
 
 
 def all_present(df: DataFrame, columns: list[str]) -> Column:

@@ -11,6 +11,8 @@ published rows it stands for (``n_rows``, DECIMAL(38,0)): each side is collapsed
 to its distinct point combinations per member with a row count (both bounded
 by the rule tables, at most 20 and 36 rows per member) and only those meet.
 No pairs of rows are ever formed, however many loans a member has.
+``credit_score`` weighs each side before they meet, so only the distinct partial
+scores of a member do, and what they give is distinct without another grouping.
 ``credit_score_per_loan`` is the one-row-per-loan form (repayment and loan
 matched on loan_id).
 """
@@ -29,7 +31,6 @@ DEFAULTER_PTS = ["delinq_pts", "public_records_pts", "public_bankruptcies_pts",
 HEALTH_PTS = ["loan_status_pts", "home_pts", "credit_limit_pts", "grade_pts"]
 #: Row counts multiply, so they outgrow BIGINT.
 COUNT_TYPE = "decimal(38,0)"
-SCORE_COLS = ["payment_history_pts", "defaulters_history_pts", "financial_health_pts", "credit_score"]
 
 
 # -------------------------------------------------------------- row rules
@@ -53,10 +54,15 @@ def _health_exprs() -> list[Column]:
     ]
 
 
+def _part_exprs() -> tuple[Column, Column, Column]:
+    """Weighted payment history, defaulters history and financial health."""
+    return (rules.payment_history(*[F.col(c) for c in PAYMENT_PTS]),
+            rules.defaulters_history(*[F.col(c) for c in DEFAULTER_PTS]),
+            rules.financial_health(*[F.col(c) for c in HEALTH_PTS]))
+
+
 def _score_exprs() -> list[Column]:
-    ph = rules.payment_history(*[F.col(c) for c in PAYMENT_PTS])
-    dh = rules.defaulters_history(*[F.col(c) for c in DEFAULTER_PTS])
-    fh = rules.financial_health(*[F.col(c) for c in HEALTH_PTS])
+    ph, dh, fh = _part_exprs()
     return [ph.alias("payment_history_pts"), dh.alias("defaulters_history_pts"),
             fh.alias("financial_health_pts"), (ph + dh + fh).alias("credit_score")]
 
@@ -111,33 +117,46 @@ def _weighted_history(repayments, loans, public_records, delinquents) -> DataFra
     """(member_id, 6 points, _wl): distinct payment/defaulter combinations."""
     pay = (payment_points(repayments, loans)
            .groupBy("member_id", *PAYMENT_PTS).agg(F.count(F.lit(1)).alias("_wl")))
-    return (pay.join(defaulter_points(public_records, delinquents), "member_id")
+    # few rows per member by now; all that follows is by member and needs no other shuffle of them
+    return (pay.repartition("member_id").join(defaulter_points(public_records, delinquents), "member_id")
             .select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS, "_wl"))
 
 
 def _weighted_health(loans, customers) -> DataFrame:
-    """(member_id, 4 points, _wr): distinct financial-health combinations.
+    """(member_id, 4 points, _wr): financial-health combinations, to be summed by what a caller makes of them.
 
     Loans are pre-aggregated on (member, status points, amount) before the
-    customer join, so a member with many loans ships few rows.
+    customer join, so a member with many loans ships few rows. The rows per
+    member are counted from that aggregate's shuffle (its loans, so at least its
+    rows): loans are read once. Points of the customer alone are taken before the join.
     """
     per_amount = (loans
+                  .filter(F.col("member_id").isNotNull())
                   .select("member_id", "funded_amount",
                           rules.loan_status_points(F.col("loan_status")).alias("loan_status_pts"))
                   .groupBy("member_id", "loan_status_pts", "funded_amount")
                   .agg(F.count(F.lit(1)).alias("_n")))
     _, home, limit, grade = _health_exprs()
-    scored = skew_join(per_amount, _credit_profile(customers), "member_id").select(
-        "member_id", "loan_status_pts", home, limit, grade, "_n")
-    return scored.groupBy("member_id", *HEALTH_PTS).agg(F.sum("_n").alias("_wr"))
+    profile = customers.select("member_id", "total_high_credit_limit", home, grade)
+    # the sum keeps _n in the shuffle that both uses share; a count would be pruned to another one
+    counts = per_amount.groupBy("member_id").agg(F.sum("_n").alias("_n"))
+    return skew_join(per_amount, profile, "member_id", counts=counts).select(
+        "member_id", "loan_status_pts", "home_pts", limit, "grade_pts", F.col("_n").alias("_wr"))
+
+
+def _pair_count() -> Column:
+    """Published rows of a pair of combinations; counts of 31 bits meet in a BIGINT, which is cheaper."""
+    left, right = F.col("_wl"), F.col("_wr")
+    wide = (left.cast(COUNT_TYPE) * right.cast(COUNT_TYPE)).cast(COUNT_TYPE)
+    small = (left < 1 << 31) & (right < 1 << 31)
+    return F.when(small, (left * right).cast(COUNT_TYPE)).otherwise(wide).alias("n_rows")
 
 
 def _weighted_fanout(repayments, loans, public_records, delinquents, customers) -> DataFrame:
     left = _weighted_history(repayments, loans, public_records, delinquents)
-    right = _weighted_health(loans, customers)
+    right = _weighted_health(loans, customers).groupBy("member_id", *HEALTH_PTS).agg(F.sum("_wr").alias("_wr"))
     return (left.join(right, "member_id")
-            .select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS, *HEALTH_PTS,
-                    (F.col("_wl").cast(COUNT_TYPE) * F.col("_wr").cast(COUNT_TYPE)).cast(COUNT_TYPE).alias("n_rows")))
+            .select("member_id", *PAYMENT_PTS, *DEFAULTER_PTS, *HEALTH_PTS, _pair_count()))
 
 
 # ------------------------------------------------------------------ results
@@ -157,9 +176,17 @@ def credit_score(repayments, loans, public_records, delinquents, customers, redu
     """
     if reduce_loans:
         loans = loans_of_late_members(loans, delinquents)
-    combos = _weighted_fanout(repayments, loans, public_records, delinquents, customers)
-    return (combos.select("member_id", *_score_exprs(), "n_rows").groupBy("member_id", *SCORE_COLS)
-            .agg(F.sum("n_rows").cast(COUNT_TYPE).alias("n_rows")))
+    ph, dh, fh = _part_exprs()
+    history = (_weighted_history(repayments, loans, public_records, delinquents)
+               .groupBy("member_id", ph.alias("payment_history_pts"), dh.alias("defaulters_history_pts"))
+               .agg(F.sum("_wl").alias("_wl")))
+    health = (_weighted_health(loans, customers)
+              .groupBy("member_id", fh.alias("financial_health_pts")).agg(F.sum("_wr").alias("_wr")))
+    total = F.col("payment_history_pts") + F.col("defaulters_history_pts") + F.col("financial_health_pts")
+    # the parts are distinct on each side and make up the score: each pair is a distinct row
+    return (history.join(health, "member_id")
+            .select("member_id", "payment_history_pts", "defaulters_history_pts", "financial_health_pts",
+                    total.alias("credit_score"), _pair_count()))
 
 
 def credit_score_per_loan(repayments, loans, public_records, delinquents, customers, reduce_loans: bool = False) -> DataFrame:

@@ -550,11 +550,18 @@ def preview_rows(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- batch
+def _export_raw(spark, sf_dir) -> dict[str, str]:
+    """The four raw relations as CSV exports, written side by side."""
+    raw = {name: scratch_path(spark, f"raw_{name}") for name in RAW_SCHEMAS}
+    with files.Writes(spark) as writes:
+        for name, path in raw.items():
+            writes.submit(files.write_csv, _inputs(spark, sf_dir).raw(name, ingest=False), path, keep_whitespace=True)
+    return raw
+
+
 def _batch(spark, sf_dir, runs: int) -> dict[str, str]:
     """The whole job over raw CSV exports, ``runs`` times into the same database and folder."""
-    raw = {name: scratch_path(spark, f"raw_{name}") for name in RAW_SCHEMAS}
-    for name, path in raw.items():
-        files.write_csv(_inputs(spark, sf_dir).raw(name, ingest=False), path, keep_whitespace=True)
+    raw = _export_raw(spark, sf_dir)
     db = f"lending_{uuid.uuid4().hex[:12]}"
     root = scratch_path(spark, db)
     catalog.create_database(spark, db, f"{root}/_warehouse")
@@ -684,9 +691,7 @@ def corrupt_row_counts(spark, sf_dir):
 # ------------------------------------------------------- atomic publication
 def _atomic_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Published customers as readers see them after a run and a failed second one, and after a third."""
-    raw = {name: scratch_path(spark, f"raw_{name}") for name in RAW_SCHEMAS}
-    for name, path in raw.items():
-        files.write_csv(_inputs(spark, sf_dir).raw(name, ingest=False), path, keep_whitespace=True)
+    raw = _export_raw(spark, sf_dir)
     db = f"lending_{uuid.uuid4().hex[:12]}"
     root = scratch_path(spark, db)
     catalog.create_database(spark, db, f"{root}/_warehouse")

@@ -6,6 +6,10 @@ the ingest timestamp. Writers overwrite a directory; CSV keeps a header line.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,3 +103,26 @@ def write_csv(df: DataFrame, path: str, keep_whitespace: bool = False) -> None:
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+class Writes:
+    """Independent writes submitted side by side, so that a small one's tasks run beside a large one's.
+
+    Leaving the block waits for all of them; the first error of a write is raised there.
+    """
+
+    def __init__(self, spark: SparkSession, at_once: int = 4):
+        self.spark, self._pool, self._futures = spark, ThreadPoolExecutor(at_once), []
+
+    def submit(self, write: Callable[..., None], *args, **kwargs) -> None:
+        # each with the job group and local properties of the thread that submits it
+        self._futures.append(self._pool.submit(inheritable_thread_target(self.spark)(write), *args, **kwargs))
+
+    def __enter__(self) -> Writes:
+        return self
+
+    def __exit__(self, failed, *_) -> None:
+        self._pool.shutdown(wait=True, cancel_futures=failed is not None)
+        if failed is None:
+            for f in self._futures:
+                f.result()

@@ -1,8 +1,10 @@
 """End-to-end batch job over raw CSV files."""
 
+import threading
 import uuid
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.plans import queries as Q
@@ -32,6 +34,42 @@ def test_batch_job_matches_query(spark, sf_dir):
     assert got == want and sum(r[-1] for r in got) == 10107
 
 
+def test_score_is_computed_once_for_csv_and_parquet(spark, sf_dir, monkeypatch):
+    inputs = LendingInputs(spark, sf_dir)
+    raw, csv_plans = {}, {}
+    for name in ("customers", "loans", "repayments", "delinquencies"):
+        raw[name] = scratch_path(spark, f"raw_{name}")
+        files.write_csv(inputs.raw(name, ingest=False), raw[name], keep_whitespace=True)
+    write = files.write_csv
+
+    def seen(df, path, *args, **kwargs):
+        csv_plans[path.rsplit("/", 1)[1]] = df._jdf.queryExecution().optimizedPlan().toString()
+        write(df, path, *args, **kwargs)
+    monkeypatch.setattr(files, "write_csv", seen)
+    out = run_batch(spark, BatchPaths(out_root=scratch_path(spark, "out"), db=f"lending_{uuid.uuid4().hex[:8]}",
+                                      write_parquet_score=True, **raw))
+    assert "Join" not in csv_plans["credit_score"] and "parquet" in csv_plans["credit_score"]
+    copy = spark.read.parquet(out["credit_score_parquet"])
+    text = spark.read.csv(out["credit_score"], header=True, schema=copy.schema)
+    assert copy.exceptAll(text).count() == text.exceptAll(copy).count() == 0 < copy.count()
+
+
+def test_writes_run_side_by_side(spark):
+    met = threading.Barrier(2, timeout=60)
+    spark.sparkContext.setLocalProperty("ledgerline.test", "submitter")
+    told = []
+    try:
+        with files.Writes(spark) as writes:
+            for _ in range(2):  # each waits for the other
+                writes.submit(lambda: (met.wait(), told.append(spark.sparkContext.getLocalProperty("ledgerline.test"))))
+    finally:
+        spark.sparkContext.setLocalProperty("ledgerline.test", None)
+    assert told == ["submitter"] * 2
+    with pytest.raises(ZeroDivisionError):
+        with files.Writes(spark) as writes:
+            writes.submit(lambda: 1 / 0)
+
+
 def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
     from ledgerline.operators import score
     inputs = LendingInputs(spark, sf_dir)

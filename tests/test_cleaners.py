@@ -42,6 +42,28 @@ def test_unique_rows_whole_or_by_column(spark):
     assert unique_rows(df.limit(0), "k", True).count() == 0
 
 
+@pytest.mark.parametrize("most_bytes", [None, 0])
+def test_materialised_split_by_repeated_keys(spark, monkeypatch, most_bytes):
+    """Few repeated keys: no row of either side is shuffled; many: a salted join. Both as without a cut."""
+    from ledgerline.operators import quality
+    if most_bytes is not None:
+        monkeypatch.setattr(quality, "BROADCAST_BYTES", most_bytes)
+    hot = [(float(i), "hot", f"h{i}") for i in range(40)]
+    df = spark.createDataFrame([(1.0, "a", "x"), (2.0, "b", None), (2.0, "b", None), (None, None, "n"), (3.0, "c", "")] + hot,
+                               "v double, k string, t string")
+    old = spark.conf.get("spark.ledgerline.rowsPerTask", None)
+    spark.conf.set("spark.ledgerline.rowsPerTask", "7")
+    try:
+        got = split_unique(df, "k", lambda d: d.checkpoint())
+        for side, want in zip(got, split_unique(df, "k")):
+            assert side.columns == df.columns
+            assert sorted(map(str, side.collect())) == sorted(map(str, want.collect()))
+            if most_bytes is None:
+                assert "Exchange hashpartitioning" not in side._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.ledgerline.rowsPerTask") if old is None else spark.conf.set("spark.ledgerline.rowsPerTask", old)
+
+
 def test_unique_rows_plans(spark, tmp_path):
     """By column: unused columns are not read. Whole: texts are one aggregate value; without texts groups are hashed."""
     spark.createDataFrame([("a", "x", "y", 1.0)], "k string, t string, u string, f float").write.parquet(str(tmp_path / "t"))

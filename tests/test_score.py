@@ -82,6 +82,29 @@ def test_row_counts_beyond_bigint(spark, monkeypatch):
     assert int(row.n_rows) == 4 * 10**20
 
 
+def test_score_reads_loans_twice_and_groups_no_pairs(spark, tmp_path):
+    """Once by loan and once by member (their counts share its shuffle); pairs of partial scores are final rows."""
+    names = ["repayments", "loans", "records", "delinq", "customers"]
+    for name, df in zip(names, _tables(spark)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    df = score.credit_score(*[spark.read.parquet(f"{tmp_path}/{name}") for name in names])
+    assert len(df.collect()) == df.distinct().count()
+    ran = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum("FileScan" in line and "/loans]" in line for line in ran.splitlines()) == 2, ran
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Aggregate")
+
+
+def test_distinct_partial_scores_meet(spark):
+    """Combinations of equal weighted parts are one row with all their published rows, nulls too."""
+    reps, loans, records, delinq, cust = _tables(spark)
+    twice = records.unionAll(records.filter("member_id = 'm1'")), delinq.unionAll(delinq.filter("member_id = 'm1'"))
+    t = (reps, loans.unionAll(loans.limit(5)), *twice, cust.unionAll(cust.filter("member_id <> 'm3'")))
+    rows = score.credit_score(*t).collect()
+    assert _expanded(rows) == Counter(map(tuple, _naive_score(*t).collect()))
+    assert len({tuple(r)[:-1] for r in rows}) == len(rows)
+
+
 def _third_of_all_loans(spark, n=3000):
     """Loans and repayments of which member m1 holds a third, and their members."""
     owner = F.when(F.col("id") % 3 == 0, "m1").otherwise(F.concat(F.lit("x"), F.col("id")))
