@@ -1,5 +1,6 @@
 """All tables of a run become visible in one step, or none."""
 
+import threading
 import uuid
 
 import pytest
@@ -128,3 +129,28 @@ def test_atomic_batch_equals_plain_batch(spark, size):
     assert spark.table(f"{dbs[True]}.credit_score").count() > 0
     with pytest.raises(ValueError):
         run_batch(spark, BatchPaths(out_root="x", atomic=True, table_buckets=4, **raw))
+
+
+def test_outputs_of_a_run_are_written_side_by_side(spark, sf_dir, monkeypatch):
+    """Two outputs that wait for each other are written; one that fails keeps the whole run from readers."""
+    inputs = LendingInputs(spark, sf_dir)
+    raw = {name: scratch_path(spark, f"raw_{name}") for name in RAW_SCHEMAS}
+    for name, path in raw.items():
+        files.write_csv(inputs.raw(name, ingest=False), path, keep_whitespace=True)
+    db = f"lending_{uuid.uuid4().hex[:8]}"
+    paths = BatchPaths(out_root=scratch_path(spark, db), db=db, atomic=True, **raw)
+    write, met, broken = files.write_csv, threading.Barrier(2, timeout=60), []
+
+    def watched(df, path, *args, **kwargs):
+        if path.endswith(("/cleaned/loans", "/cleaned/repayments")):
+            met.wait()
+        if any(path.endswith(name) for name in broken):
+            raise OSError("disk full")
+        write(df, path, *args, **kwargs)
+    monkeypatch.setattr(files, "write_csv", watched)
+    run_batch(spark, paths)
+    first = Publication(spark, db, paths.out_root).current()
+    broken.append("/cleaned/repayments")
+    with pytest.raises(OSError):
+        run_batch(spark, paths)
+    assert Publication(spark, db, paths.out_root).current() == first is not None
