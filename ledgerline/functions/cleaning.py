@@ -32,7 +32,7 @@ def emp_length_years(c: str | Column) -> Column:
 
 def term_in_years(c: str | Column) -> Column:
     """" 36 months" -> 3: strip the unit, whole months / 12, truncated."""
-    months = F.regexp_replace(_c(c), TERM_SUFFIX, "").cast("int")
+    months = F.replace(_c(c), F.lit(TERM_SUFFIX), F.lit("")).cast("int")
     return (months / F.lit(12)).cast("int")
 
 

@@ -126,9 +126,10 @@ def _weighted_health(loans, customers) -> DataFrame:
     """(member_id, 4 points, _wr): financial-health combinations, to be summed by what a caller makes of them.
 
     Loans are pre-aggregated on (member, status points, amount) before the
-    customer join, so a member with many loans ships few rows. The rows per
-    member are counted from that aggregate's shuffle (its loans, so at least its
-    rows): loans are read once. Points of the customer alone are taken before the join.
+    customer join, so a member has at most as many rows there as there are status
+    points and amounts, however many loans: none is hot, the join needs no salt, and
+    what follows by member needs no other shuffle. Loans are read once. Points of
+    the customer alone are taken before the join.
     """
     per_amount = (loans
                   .filter(F.col("member_id").isNotNull())
@@ -138,9 +139,7 @@ def _weighted_health(loans, customers) -> DataFrame:
                   .agg(F.count(F.lit(1)).alias("_n")))
     _, home, limit, grade = _health_exprs()
     profile = customers.select("member_id", "total_high_credit_limit", home, grade)
-    # the sum keeps _n in the shuffle that both uses share; a count would be pruned to another one
-    counts = per_amount.groupBy("member_id").agg(F.sum("_n").alias("_n"))
-    return skew_join(per_amount, profile, "member_id", counts=counts).select(
+    return per_amount.join(profile, "member_id").select(
         "member_id", "loan_status_pts", "home_pts", limit, "grade_pts", F.col("_n").alias("_wr"))
 
 

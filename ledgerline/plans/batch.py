@@ -64,7 +64,7 @@ class BatchPaths:
     outputs: dict[str, str] = field(default_factory=dict)
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (lineage cut)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -105,10 +105,10 @@ def run_batch(spark: SparkSession, p: BatchPaths) -> dict[str, str]:
         # the largest first: the cuts below run beside them
         sink("loans", clean.clean_loans(raw("loans")))
         sink("repayments", clean.clean_repayments(raw("repayments"), p.mode))
-        customers, customers_bad = clean.clean_customers(raw("customers"), p.mode, _cut)
+        customers, customers_bad = clean.clean_customers(raw("customers"), p.mode, materialise)
         sink("customers", customers)
         sink("customers_bad_data", customers_bad)
-        late = clean.clean_delinquencies(raw("delinquencies"), _cut)
+        late = clean.clean_delinquencies(raw("delinquencies"), materialise)
         sink("delinquencies", late.delinquents)
         sink("delinquencies_bad_data", late.bad)
         sink("delinquencies_public_records", late.public_records)

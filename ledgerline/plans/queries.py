@@ -22,7 +22,7 @@ from ledgerline.functions import rules
 from ledgerline.operators import clean, mart, mart_refresh, observe, profile, score, sketches
 from ledgerline.operators.quality import split_unique
 from ledgerline.operators.skew import key_row_counts, rows_per_task
-from ledgerline.plans.batch import BatchPaths, run_batch
+from ledgerline.plans.batch import BatchPaths, materialise, run_batch
 from ledgerline.session import scratch_path
 from ledgerline.sources import catalog, files, malformed, statistics
 from ledgerline.sources.fixtures import RAW_SCHEMAS, LendingInputs, malformed_lines
@@ -697,7 +697,7 @@ def _atomic_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     catalog.create_database(spark, db, f"{root}/_warehouse")
     run_batch(spark, BatchPaths(out_root=root, db=db, atomic=True, **raw))
     failing = Publication(spark, db, root).begin()
-    intended = clean.clean_customers(files.read_customers(spark, raw["customers"]), "intended").clean
+    intended = clean.clean_customers(files.read_customers(spark, raw["customers"]), "intended", materialise).clean
     files.write_csv(intended, f"{failing.folder}/cleaned/customers")
     failing.stage("customers", schemas.PUBLISHED_CUSTOMERS, f"{failing.folder}/cleaned/customers")
     # its next sink was never written: nothing of the run may become visible

@@ -88,6 +88,16 @@ def rename_raw_customer_columns(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(present)
 
 
+#: How Spark's CSV writer writes a timestamp by default.
+CSV_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]"
+
+
+def csv_text(df: DataFrame) -> DataFrame:
+    """Timestamps as the CSV writer's text: that of a run's constant ingest time is made once, not per row."""
+    return df.withColumns({f.name: F.date_format(F.col(f"`{f.name}`"), CSV_TIMESTAMP) for f in df.schema.fields
+                           if isinstance(f.dataType, T.TimestampType)})
+
+
 def write_csv(df: DataFrame, path: str, keep_whitespace: bool = False) -> None:
     """Overwrite ``path`` with header CSV.
 
@@ -95,7 +105,7 @@ def write_csv(df: DataFrame, path: str, keep_whitespace: bool = False) -> None:
     published sinks do); ``keep_whitespace`` writes values verbatim, which is
     what a raw export such as " 36 months" needs.
     """
-    w = df.write.mode("overwrite").option("header", True)
+    w = csv_text(df).write.mode("overwrite").option("header", True)
     if keep_whitespace:
         w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     w.csv(path)

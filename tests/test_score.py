@@ -95,6 +95,17 @@ def test_score_reads_loans_twice_and_groups_no_pairs(spark, tmp_path):
     assert plan.index("Join Inner") < plan.index("Aggregate")
 
 
+def test_health_side_meets_customers_in_one_shuffle_of_members(spark, tmp_path):
+    """Rows per amount are shuffled once more, by member alone: no counts, no salts, and none for the sums by member."""
+    names = ["repayments", "loans", "records", "delinq", "customers"]
+    for name, df in zip(names, _tables(spark)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    t = [spark.read.parquet(f"{tmp_path}/{name}").hint("merge") for name in names]
+    health = score._weighted_health(t[1], t[4]).groupBy("member_id").agg(F.sum("_wr"))
+    plan = health._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and "_salt" not in plan and "Broadcast" not in plan, plan
+
+
 def test_distinct_partial_scores_meet(spark):
     """Combinations of equal weighted parts are one row with all their published rows, nulls too."""
     reps, loans, records, delinq, cust = _tables(spark)

@@ -68,3 +68,14 @@ def test_shuffle_partitions_scale_with_input(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
+
+
+def test_csv_timestamps_are_the_writers_own_and_constants_are_made_once(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP'2024-01-02 03:04:05.678901'), (2, TIMESTAMP'1890-01-02 03:04:05'), "
+                   "(3, NULL), (4, TIMESTAMP'0001-01-01 00:00:00') t(k, at)").coalesce(1)
+    mine, plain = scratch_path(spark, "mine"), scratch_path(spark, "plain")
+    files.write_csv(df, mine)
+    df.write.option("header", True).csv(plain)
+    assert [r.value for r in spark.read.text(mine).collect()] == [r.value for r in spark.read.text(plain).collect()]
+    constant = files.csv_text(files.with_ingest_time(spark.range(3)))
+    assert "date_format" not in constant._jdf.queryExecution().optimizedPlan().toString()
