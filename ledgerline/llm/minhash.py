@@ -7,8 +7,9 @@ Two texts are linked when the Jaccard similarity of their sets of distinct
    the hashes of their words (64 bits). A text of fewer words is one shingle of
    all of them; a text without words has an empty set and no links.
 2. Signature: ``BANDS * ROWS`` minima of multiply-add universal hashes modulo
-   2^64, numpy inside Arrow batches. The low byte of each minimum is kept for
-   verification, the minima of a band are hashed into a bucket.
+   2^64, numpy inside Arrow batches, a block of shingles of many texts at a time.
+   The low byte of each minimum is kept for verification, the minima of a band
+   are hashed into a bucket.
 3. Rows with the same set (two independent 64-bit sums of mixed shingle hashes,
    and the size) are folded first, so a group of exact copies is one node from
    here on, however large it is.
@@ -67,7 +68,7 @@ BLOCK, BLOCK_SHINGLES = 512, 1 << 18
 SET_BATCH = 256
 SEED = 42
 #: Shingles whose hash values are worked out at a time (8 bytes each, for one hash function).
-HASH_BLOCK = 1 << 14
+HASH_BLOCK = 1 << 15
 
 _U = np.uint64
 
@@ -120,68 +121,77 @@ def shingle_sets(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def signature(members: np.ndarray) -> np.ndarray:
-    """Minima of all hash functions over one non-empty set."""
+def minima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Minima of all hash functions over each set, a row per set; ``values`` from one start to the next, none empty.
+
+    A function is worked out for a block of shingles at a time, of however many
+    sets, so short texts cost no calls of their own.
+    """
     a, b = _coefficients()
+    least = np.full((HASHES, len(starts) - 1), np.iinfo(np.uint64).max, dtype=np.uint64)
+    work = np.empty(min(len(values), HASH_BLOCK), dtype=np.uint64)
     with np.errstate(over="ignore"):
-        if len(members) <= 64:  # few shingles: all functions at once
-            return (members[:, None] * a + b).min(axis=0)
-        least = np.empty(HASHES, dtype=np.uint64)
-        work = np.empty(min(len(members), HASH_BLOCK), dtype=np.uint64)
-        for at in range(0, len(members), HASH_BLOCK):
-            block = members[at:at + HASH_BLOCK]
-            values = work[:len(block)]
+        for at in range(0, len(values), HASH_BLOCK):
+            block = values[at:at + HASH_BLOCK]
+            hashed = work[:len(block)]
+            # sets with shingles in the block; the first and the last may have others elsewhere
+            low, high = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, at + len(block), "left")
+            begin = np.maximum(starts[low:high] - at, 0)
             for h in range(HASHES):
-                np.multiply(block, a[h], out=values)
-                np.add(values, b[h], out=values)
-                low = values.min()
-                least[h] = low if at == 0 else min(least[h], low)
-        return least
+                np.multiply(block, a[h], out=hashed)
+                np.add(hashed, b[h], out=hashed)
+                own = least[h, low:high]
+                np.minimum(own, np.minimum.reduceat(hashed, begin), out=own)
+    return np.ascontiguousarray(least.T)
+
+
+def signature(members: np.ndarray) -> np.ndarray:
+    """Minima of all hash functions over one non-empty set."""
+    return minima(members, np.array([0, len(members)]))[0]
 
 
 def buckets(least: np.ndarray) -> np.ndarray:
-    """One hash for each band of a signature, different bands apart."""
+    """One hash for each band of each signature (a row), different bands apart."""
+    bands = least.reshape(-1, BANDS, ROWS)
     with np.errstate(over="ignore"):
-        out = np.arange(1, BANDS + 1, dtype=np.uint64) * _U(0xD6E8FEB86659FD93)
-        for column in least.reshape(BANDS, ROWS).T:
-            out = _mix(out ^ column)
+        out = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * _U(0xD6E8FEB86659FD93), (len(bands), 1))
+        for k in range(ROWS):
+            out = _mix(out ^ bands[:, :, k])
     return out.view(np.int64)
 
 
 _SIGNED = "doc_id long, text_hash long, n_shingles long, sum_a long, sum_b long, bands array<long>, signature binary"
 
 
+def signed_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``signed_rows`` for batches of (doc_id, text_hash, text)."""
+    for batch in batches:
+        for start, count in slices(batch.column(2)):
+            part = batch.slice(start, count)
+            values, starts = shingle_sets(part.column(2), shingle)
+            size = np.diff(starts)
+            some = np.flatnonzero(size)
+            least = minima(values, np.append(starts[some], len(values)))
+            sums = np.zeros((2, count), dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                for of, mixed in zip(sums, (_mix(values), _mix(values * _U(0x9E3779B97F4A7C15) + _U(7))), strict=True):
+                    of[some] = np.add.reduceat(mixed, starts[some]) if len(some) else 0
+                # mixed before the byte is taken: the low bits of a product depend on the low bits of its factors only
+                low = _mix(least).astype(np.uint8)
+            bands = pa.ListArray.from_arrays(np.arange(0, BANDS * len(some) + 1, BANDS, dtype=np.int32), buckets(least).ravel())
+            sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(HASHES), len(some), [None, pa.py_buffer(low.tobytes())])
+            at = pa.array(np.cumsum(size > 0) - 1, pa.int64(), mask=size == 0)  # rows without a set have neither
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(size, pa.int64()), *(pa.array(x.view(np.int64)) for x in sums),
+                 bands.take(at), sig.take(at).cast(pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "sum_a", "sum_b", "bands", "signature"])
+
+
 def signed_rows(df: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
     """(doc_id, text_hash, n_shingles, sum_a, sum_b, bands, signature): one row per input row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, count in slices(batch.column(2)):
-                part = batch.slice(start, count)
-                values, starts = shingle_sets(part.column(2), shingle)
-                out: list[tuple] = []
-                with np.errstate(over="ignore"):
-                    mixed_a, mixed_b = _mix(values), _mix(values * _U(0x9E3779B97F4A7C15) + _U(7))
-                for d in range(count):
-                    own = slice(int(starts[d]), int(starts[d + 1]))
-                    members = values[own]
-                    if not len(members):
-                        out.append((0, 0, 0, None, None))
-                        continue
-                    least = signature(members)
-                    with np.errstate(over="ignore"):
-                        sums = np.array([mixed_a[own].sum(), mixed_b[own].sum()], dtype=np.uint64).view(np.int64)
-                    # mixed before the byte is taken: the low bits of a product depend on the low bits of its factors only
-                    out.append((len(members), int(sums[0]), int(sums[1]), buckets(least),
-                                _mix(least).astype(np.uint8).tobytes()))
-                n, a, b, bands, sig = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                     pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                    names=["doc_id", "text_hash", "n_shingles", "sum_a", "sum_b", "bands", "signature"])
-
     rows = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
                      F.col(f"`{text}`").alias("text"))
-    return rows.mapInArrow(run, _SIGNED)
+    return rows.mapInArrow(lambda batches: signed_batches(batches, shingle), _SIGNED)
 
 
 def _sets_of(docs: DataFrame, shingle: int) -> DataFrame:
